@@ -30,6 +30,12 @@ def page_key(text: Column, spec: PageSpec = DEFAULT_SPEC) -> Column:
     )
 
 
+def is_parent_page(text: Column, spec: PageSpec = DEFAULT_SPEC) -> Column:
+    """The page has a key and no sub-entry key, tested without extracting it."""
+    return (text.contains(spec.key_label) & text.rlike(_parent_pattern(spec))
+            & ~text.rlike(_sub_pattern(spec)))
+
+
 def is_sub_entry(key: Column) -> Column:
     return F.coalesce(key.contains("-"), F.lit(False))
 

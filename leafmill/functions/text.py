@@ -44,7 +44,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Runs of whitespace become one blank, ends are trimmed."""
-    return F.btrim(F.regexp_replace(c, rf"(?U){WS}+", " "), F.lit(" "))
+    return F.trim(F.regexp_replace(c, rf"(?U){WS}+", " "))
 
 
 def extract(c: Column, pattern: str, group: int = 1) -> Column:
@@ -72,11 +72,12 @@ def head(c: Column, n: int) -> Column:
     return F.substring(c, 1, n)
 
 
-def camel_case(c: Column) -> Column:
-    """'Serial Number' -> 'serialNumber', for single- or multi-blank separated words."""
-    words = F.split(F.btrim(F.regexp_replace(c, rf"(?U){WS}+", " ")), " ", 2)
-    rest = F.coalesce(F.get(words, 1), F.lit(""))
-    return F.concat(F.lower(F.get(words, 0)), F.replace(F.initcap(rest), F.lit(" "), F.lit("")))
+def camel_case(c: Column, tidy: bool = False) -> Column:
+    """'Serial Number' -> 'serialNumber'; ``tidy`` text has only inner blanks as whitespace."""
+    words = c if tidy else collapse(c)
+    first = F.substring_index(words, " ", 1)
+    rest = F.substr(F.initcap(words), F.length(first) + 1)
+    return F.concat(F.lower(first), F.replace(rest, F.lit(" "), F.lit("")))
 
 
 def empty_to_null(c: Column) -> Column:

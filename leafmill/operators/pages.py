@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import fields as fx
 from leafmill.functions import sections as sx
-from leafmill.functions.keys import is_sub_entry, page_key
+from leafmill.functions.keys import is_parent_page, parent_key
 from leafmill.functions.text import strip
 from leafmill.spec import DEFAULT_SPEC, FIRST_PAGES, PageSpec
 
@@ -20,9 +20,12 @@ def non_empty(pages: DataFrame) -> DataFrame:
 
 
 def parent_pages(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
-    """Non-empty pages with a key of their own (sub-entry pages and keyless pages go)."""
-    keyed = non_empty(pages).withColumn("frn", page_key(F.col("text"), spec))
-    return keyed.filter(F.col("frn").isNotNull() & ~is_sub_entry(F.col("frn")))
+    """Non-empty pages with a key of their own (sub-entry pages and keyless pages go).
+
+    The filter tests the text itself, so the key is extracted once, for kept pages only.
+    """
+    text = F.col("text")
+    return pages.filter(is_parent_page(text, spec)).withColumn("frn", parent_key(text, spec))
 
 
 def with_fields(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
@@ -30,25 +33,27 @@ def with_fields(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
 
     Each step is its own projection so that a value is computed once and then reused.
     """
-    names = spec.field_names
-    labelled = pages.withColumns({
-        "_labelled": fx.label_lines(F.col("text"), spec),
-        "printed_key": fx.printed_key(F.col("text"), spec),
-    })
-    keep = [c for c in labelled.columns if c != "_labelled"]
-    raw = labelled.select(
+    keep = pages.columns
+    found = pages.withColumn("_lines", fx.label_lines(F.col("text"), spec))
+    parts = found.select(*keep, F.transform("_lines", fx.line_parts).alias("_parts"))
+    cut = parts.select(
         *keep,
-        F.when(F.lower("_labelled").contains(spec.indirect_value),
-               fx.raw_notes(F.col("text"), spec)).otherwise("").alias("_notes"),
-        *[fx.raw_value(F.col("_labelled"), label).alias(f"_raw_{n}") for n, label in spec.fields],
+        F.transform("_parts", lambda p: fx.normal_label(F.get(p, 0))).alias("_labels"),
+        F.transform("_parts", lambda p: fx.cut_merged_lines(F.get(p, 1), spec)).alias("_cut"),
     )
-    cut = raw.select(
-        *keep, "_notes",
-        *[fx.cut_merged_lines(F.col(f"_raw_{n}"), spec).alias(f"_cut_{n}") for n in names],
-    )
-    return cut.select(
+    clean = cut.select(
+        *keep, "_labels", F.transform("_cut", lambda v: fx.clean_value(v, spec)).alias("_values"))
+    picked = clean.select(
         *keep,
-        *[fx.resolve(F.col(f"_cut_{n}"), F.col("_notes"), n, spec).alias(n) for n in names],
+        fx.pick(F.col("_labels"), F.col("_values"), spec.key_label.rstrip(":")).alias("printed_key"),
+        *[fx.pick(F.col("_labels"), F.col("_values"), label).alias(f"_{n}")
+          for n, label in spec.fields],
+        F.when(F.exists("_values", fx.is_indirect), fx.raw_notes(F.col("text"), spec)).alias("_notes"),
+    )
+    return picked.select(
+        *keep, "printed_key",
+        *[fx.follow_indirect(F.col(f"_{n}"), F.col("_notes"), n, spec).alias(n)
+          for n in spec.field_names],
     )
 
 
@@ -58,8 +63,8 @@ def with_notes(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
     return (
         pages.withColumn(
             "_section", sx.guarded(text, [spec.notes_header], sx.notes_section(text, spec)))
-        .withColumn("_blocks", sx.note_blocks(F.col("_section")))
-        .withColumn("_notes", sx.parse_note_blocks(F.col("_blocks")))
+        .withColumn("_section", sx.declared_empty_to_null(F.col("_section"), spec))
+        .withColumn("_notes", sx.parse_note_blocks(sx.note_blocks(F.col("_section"))))
         .select(*cols, sx.last_note_wins(F.col("_notes")).alias("notes"))
     )
 
@@ -70,6 +75,7 @@ def with_sub_entries(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFra
     return (
         pages.withColumn(
             "_rows", sx.guarded(text, spec.table_open, sx.table_rows(text, spec)))
+        .withColumn("_rows", sx.mark_table_rows(F.col("_rows")))
         .select(*cols, sx.parse_table_rows(F.col("_rows"), spec).alias("sub_entries"))
     )
 
