@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from leafmill.operators.pages import page_extract
 from leafmill.operators.runs import BLOCK, LEVELS, with_run_start
+from leafmill.session import settle
 from leafmill.spec import DEFAULT_SPEC, PageSpec
 
 COLLECTIONS = ("notes", "sub_entries", "cross_references")
@@ -65,5 +66,6 @@ def assemble(extracts: DataFrame, mode: str = "global", spec: PageSpec = DEFAULT
 
 
 def records(pages: DataFrame, mode: str = "global", spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
-    """Page table to records in one plan."""
-    return assemble(page_extract(pages, spec), mode, spec)
+    """Page table to records; page text is read once in either mode."""
+    extracts = page_extract(pages, spec)
+    return assemble(settle(extracts) if mode == "runs" else extracts, mode, spec)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import fields as fx
 from leafmill.functions import sections as sx
-from leafmill.functions.keys import is_parent_page, parent_key
+from leafmill.functions.keys import head_key, is_parent_page, parent_key
 from leafmill.functions.text import strip
 from leafmill.spec import DEFAULT_SPEC, FIRST_PAGES, PageSpec
 
@@ -87,20 +87,48 @@ def with_cross_references(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> Da
         sx.guarded(text, [spec.xref_header], sx.cross_references(text, spec)))
 
 
-def page_extract(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
-    """``(doc_id, page_idx, text)`` -> one narrow row per parent page, no shuffle."""
-    out = (
-        parent_pages(pages, spec)
-        .transform(with_fields, spec)
+def _parsed(pages: DataFrame, spec: PageSpec) -> DataFrame:
+    return (
+        pages.transform(with_fields, spec)
         .transform(with_notes, spec)
         .transform(with_sub_entries, spec)
         .transform(with_cross_references, spec)
     )
-    return out.select(
+
+
+def page_extract(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
+    """``(doc_id, page_idx, text)`` -> one narrow row per parent page, no shuffle."""
+    return _parsed(parent_pages(pages, spec), spec).select(
         "doc_id", "page_idx", "frn", "printed_key", *spec.field_names,
         "notes", "sub_entries", "cross_references")
 
 
+def page_facts(pages: DataFrame, top_chars: int | None = None,
+               spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
+    """Everything later steps need from page text, in one scan, one row per page.
+
+    ``head_frn`` is the key of the page group; the other columns are those of
+    :func:`page_extract` and NULL for pages that are no parent pages.
+    """
+    text = F.col("text")
+    kept = pages.select(
+        "doc_id", "page_idx", head_key(text, top_chars, spec).alias("head_frn"),
+        F.when(is_parent_page(text, spec), text).alias("text"),
+    ).withColumn("frn", parent_key(text, spec))
+    return _parsed(kept, spec).select(
+        "doc_id", "page_idx", "head_frn", "frn", "printed_key", *spec.field_names,
+        "notes", "sub_entries", "cross_references")
+
+
+def extracts_of(facts: DataFrame) -> DataFrame:
+    """Parent pages of stored :func:`page_facts`."""
+    return facts.filter(F.col("frn").isNotNull()).drop("head_frn")
+
+
+def keyed_positions_of(facts: DataFrame) -> DataFrame:
+    return facts.select("doc_id", "page_idx", F.col("head_frn").alias("frn"))
+
+
 # ------------------------------------------------------------------ ranges
 def page_range(pages: DataFrame, start: int, end: int, pos: str = "page_idx") -> DataFrame:
     """Half-open range of page indices; an upper bound past the end just ends there."""

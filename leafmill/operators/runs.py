@@ -9,9 +9,11 @@ summaries serve documents of ``block ** 3`` positions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.session import settle
+
 BLOCK = 4096
 LEVELS = 2
 
@@ -27,12 +29,12 @@ def _scan(items: DataFrame, doc: str, block: int, levels: int) -> DataFrame:
         return (
             items.withColumn("_prev_key", F.coalesce(F.lag("_last_key").over(w), F.lit("")))
             .withColumn("_start", _start("_prev_key"))
-            .withColumn("_open_start", F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("_open_start", _latest_before("_start", w))
             .drop("_start")
         )
     w = Window.partitionBy(doc, "_block").orderBy("_ord")
     local = (
-        items.withColumn("_block", F.floor(F.col("_ord") / block))
+        items.withColumn("_block", F.expr(f"_ord DIV {block}"))
         .withColumn("_lag_key", F.lag("_last_key").over(w))
     )
     blocks = local.groupBy(doc, F.col("_block").alias("_ord")).agg(
@@ -42,20 +44,24 @@ def _scan(items: DataFrame, doc: str, block: int, levels: int) -> DataFrame:
         F.max(F.coalesce("_inner", F.when(F.col("_lag_key").isNotNull(), _start("_lag_key"))))
         .alias("_inner"),
     )
-    carried = _scan(blocks, doc, block, levels - 1).select(
+    # One row per block: settled, so that the levels above do not read the items again.
+    carried = _scan(settle(blocks), doc, block, levels - 1).select(
         doc, F.col("_ord").alias("_block"),
         F.col("_prev_key").alias("_up_key"), F.col("_open_start").alias("_up_start"))
     return (
         local.join(carried, [doc, "_block"])
         .withColumn("_prev_key", F.coalesce("_lag_key", "_up_key"))
         .withColumn("_start", _start("_prev_key"))
-        .withColumn("_open_start", F.coalesce(
-            F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, -1)), "_up_start"))
+        .withColumn("_open_start", F.coalesce(_latest_before("_start", w), "_up_start"))
         .drop("_block", "_lag_key", "_up_key", "_up_start", "_start")
     )
 
 
-def _start(prev: str):
+def _latest_before(start: str, w) -> Column:
+    return F.max(start).over(w.rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _start(prev: str) -> Column:
     """Last position inside the item at which a new run starts."""
     return F.coalesce("_inner", F.when(F.col("_first_key") != F.col(prev), F.col("_first_pos")))
 
@@ -66,6 +72,8 @@ def with_run_start(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "pag
 
     NULL keys end a run and belong to none (``run_start`` is NULL).  To let such rows be
     passed over instead, filter them out first.  Positions are unique within a document.
+    The input is read twice, first for (document, position, key) only; settle or stage it
+    where that is expensive.
     """
     columns = df.columns
     items = df.select(
@@ -87,5 +95,5 @@ def runs(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "page_idx",
         with_run_start(narrow, key, doc, pos, block, levels)
         .filter(F.col(key).isNotNull())
         .groupBy(doc, "run_start")
-        .agg(F.first(key).alias(key), F.max(pos).alias("run_end"), F.count("*").alias("n_pages"))
+        .agg(F.min(key).alias(key), F.max(pos).alias("run_end"), F.count("*").alias("n_pages"))
     )

@@ -14,7 +14,7 @@ from leafmill.operators import (
 )
 from leafmill.plans.flow import run_flow
 from leafmill.plans.render import line_pages, rendered_pages, table
-from leafmill.session import scratch_path
+from leafmill.session import scratch_path, settle
 from leafmill.sources.pages import split_pages
 from leafmill.sources.records import read_records, write_records
 from leafmill.sources.tables import read_table, write_table
@@ -137,36 +137,46 @@ def assemble_runs(spark, sf):
     return _summary(_records(spark, sf, "runs"))
 
 
+def _run_parts(spark, sf):
+    return settle(manifest.run_parts(settle(manifest.keyed_positions(rendered_pages(spark, sf)))))
+
+
+def _runs(parts):
+    return manifest.page_runs(parts).select("doc_id", "frn", "run_start", "run_end", "n_pages")
+
+
 @query
 def page_runs(spark, sf):
-    return manifest.page_runs(rendered_pages(spark, sf)).select(
-        "doc_id", "frn", "run_start", "run_end", "n_pages")
+    return _runs(_run_parts(spark, sf))
 
 
 @query
 def last_runs(spark, sf):
-    return manifest.last_run_starts(manifest.page_runs(rendered_pages(spark, sf)))
+    return _runs(manifest.last_parts(_run_parts(spark, sf)))
+
+
+def _manifest(spark, sf, last_only):
+    return manifest.page_manifest(rendered_pages(spark, sf), last_only=last_only).select(
+        "doc_id", "frn", "run_start", "part", "n_pages",
+        _joined("page_indices").alias("page_indices"))
 
 
 @query
 def page_manifest(spark, sf):
-    out = manifest.page_manifest(rendered_pages(spark, sf))
-    return out.select("doc_id", "frn", "run_start", "part", "n_pages",
-                      _joined("page_indices").alias("page_indices"))
+    return _manifest(spark, sf, last_only=True)
 
 
 @query
 def page_manifest_all_runs(spark, sf):
-    out = manifest.page_manifest(rendered_pages(spark, sf), last_only=False)
-    return out.select("doc_id", "frn", "run_start", "part", "n_pages",
-                      _joined("page_indices").alias("page_indices"))
+    return _manifest(spark, sf, last_only=False)
 
 
 @query
 def key_pages(spark, sf):
-    out = manifest.key_pages(rendered_pages(spark, sf))
-    return out.select("doc_id", "frn", "run_start", "page_idx",
-                      F.split_part("text", F.lit("\n"), F.lit(1)).alias("first_line"))
+    kept = manifest.last_parts(_run_parts(spark, sf))
+    return manifest.key_pages(rendered_pages(spark, sf), kept).select(
+        "doc_id", "frn", "run_start", "page_idx",
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("first_line"))
 
 
 @query

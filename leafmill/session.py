@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "leafmill", cores: int | str = "*", memory: str = "8g",
@@ -34,3 +34,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a stage table, in the folder all executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: written once to the shared folder, read by all later uses."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
