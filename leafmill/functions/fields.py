@@ -103,7 +103,7 @@ def follow_indirect(value: Column, notes: Column, field: str, spec: PageSpec = D
     Other values are kept unless they say that there is none.
     """
     return (
-        F.when(~is_indirect(value), null_if_no_value(value, spec.no_value))
+        F.when(~F.coalesce(is_indirect(value), F.lit(False)), null_if_no_value(value, spec.no_value))
         .when(notes != "", note_lookup(notes, field, spec))
         .otherwise(F.substr(value, F.lit(len(_INDIRECT_MARK) + 1)))
     )
