@@ -13,15 +13,16 @@ import sys
 import tempfile
 import time
 
+from leafmill.functions.search import search_text_of
 from leafmill.operators.assemble import records
 from leafmill.operators.integrity import load_report
 from leafmill.operators.manifest import page_manifest
 from leafmill.operators.normalize import tables
 from leafmill.operators.pages import page_extract
-from leafmill.operators.search import postings, search_text_of, token_stats
+from leafmill.operators.search import postings, token_stats
 from leafmill.plans.flow import run_flow
 from leafmill.plans.queries import QUERIES
-from leafmill.plans.render import rendered_pages
+from leafmill.plans.render import rendered_pages, spread
 from leafmill.session import local_session
 
 HEADLINE = (
@@ -57,7 +58,7 @@ def main() -> None:
         .sortWithinPartitions("doc_id", "page_idx").write.parquet(page_path)
     pages = spark.read.parquet(page_path)
     n_pages = pages.count()
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     drain(page_extract(pages.limit(1000)))
 
     stages = {

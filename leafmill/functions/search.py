@@ -8,24 +8,35 @@ from pyspark.sql import functions as F
 from leafmill.spec import SEARCH_COLUMNS, SEARCH_DASH, SEARCH_DROPPED
 
 
+_DROPPED = "[" + "".join("\\" + char for char in SEARCH_DROPPED) + "]+"
+
+
 def clean_search_text(c: Column) -> Column:
     """Dashes become a word part, punctuation goes, end blanks go."""
     dashed = F.replace(c, F.lit("-"), F.lit(SEARCH_DASH))
-    return F.trim(F.translate(dashed, SEARCH_DROPPED, ""))
+    return F.trim(F.regexp_replace(dashed, _DROPPED, ""))
+
+
+def mirrored(cleaned: Column) -> Column:
+    """Cleaned text, a blank, and the cleaned text reversed; '' stays ''."""
+    return F.trim(F.concat(cleaned, F.lit(" "), F.reverse(cleaned)))
 
 
 def fulltextify(c: Column) -> Column:
-    cleaned = clean_search_text(c)
-    return F.when(cleaned == "", "").otherwise(F.concat(cleaned, F.lit(" "), F.reverse(cleaned)))
+    return mirrored(clean_search_text(c))
 
 
 def with_full_text(df: DataFrame, table: str) -> DataFrame:
     """Add (or recompute) ``fullText`` from the current values of the table's search columns."""
     parts = [F.col(c).cast("string") for c in SEARCH_COLUMNS[table]]
     cleaned = df.withColumn("_clean", clean_search_text(F.concat_ws(" ", *parts)))
-    mirrored = F.concat(F.col("_clean"), F.lit(" "), F.reverse("_clean"))
-    return cleaned.withColumn(
-        "fullText", F.when(F.col("_clean") == "", "").otherwise(mirrored)).drop("_clean")
+    return cleaned.withColumn("fullText", mirrored(F.col("_clean"))).drop("_clean")
+
+
+def search_text_of(df: DataFrame, column: str) -> DataFrame:
+    """Add ``fullText`` made from one column."""
+    cleaned = df.withColumn("_clean", clean_search_text(F.col(column)))
+    return cleaned.withColumn("fullText", mirrored(F.col("_clean"))).drop("_clean")
 
 
 def _half(full_text: Column) -> Column:
@@ -48,9 +59,9 @@ def tokens(c: Column) -> Column:
 
 def register_functions(spark: SparkSession) -> None:
     """Make ``fulltextify(s)`` callable from SQL, as a plain SQL expression."""
-    dropped = SEARCH_DROPPED.replace("\\", "\\\\").replace("'", "\\'")
-    cleaned = f"trim(translate(replace(s, '-', '{SEARCH_DASH}'), '{dropped}', ''))"
+    dropped = _DROPPED.replace("\\", "\\\\").replace("'", "\\'")
+    cleaned = f"trim(regexp_replace(replace(s, '-', '{SEARCH_DASH}'), '{dropped}', ''))"
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION fulltextify(s STRING) RETURNS STRING RETURN "
-        f"CASE WHEN {cleaned} = '' THEN '' ELSE concat({cleaned}, ' ', reverse({cleaned})) END"
+        f"trim(concat({cleaned}, ' ', reverse({cleaned})))"
     )

@@ -20,23 +20,32 @@ def keyed_records(records: DataFrame) -> DataFrame:
     return records.filter(F.coalesce(F.col("frn"), F.lit("")) != "")
 
 
+def _explode(df: DataFrame, keep, column: str, pos: str, value: str) -> DataFrame:
+    """Elements with their position; rows without elements emit nothing.
+
+    Outer generation plus a filter on its result: for an inner one the optimizer would
+    add size tests below, and compute an array that is not stored once per test.
+    """
+    out = df.select(*keep, F.posexplode_outer(column).alias(pos, value))
+    return out.filter(F.col(pos).isNotNull())
+
+
 def explode_sub_entries(records: DataFrame, *keep: str) -> DataFrame:
-    out = keyed_records(records).select(*keep, "frn", F.posexplode("sub_entries").alias("pos", "e"))
+    out = _explode(keyed_records(records), (*keep, "frn"), "sub_entries", "pos", "e")
     return out.select(*keep, "frn", "pos", F.col("e.frn").alias("sub_frn"), "e.calibre", "e.shots",
                       "e.barrel_length", "e.legal_classification")
 
 
 def explode_notes(records: DataFrame, *keep: str) -> DataFrame:
     """One row per bullet; ``bullet_index`` is its place under its note key."""
-    notes = keyed_records(records).select(*keep, "frn", F.posexplode("notes").alias("pos", "n"))
-    return notes.select(
-        *keep, "frn", "pos", F.col("n.note_key").alias("note_key"),
-        F.posexplode("n.bullets").alias("bullet_index", "note_value"))
+    notes = _explode(keyed_records(records), (*keep, "frn"), "notes", "pos", "n")
+    return _explode(
+        notes, (*keep, "frn", "pos", F.col("n.note_key").alias("note_key")),
+        "n.bullets", "bullet_index", "note_value")
 
 
 def explode_cross_references(records: DataFrame, *keep: str) -> DataFrame:
-    out = keyed_records(records).select(
-        *keep, "frn", F.posexplode("cross_references").alias("pos", "x"))
+    out = _explode(keyed_records(records), (*keep, "frn"), "cross_references", "pos", "x")
     return out.select(*keep, "frn", "pos", F.col("x.frn").alias("ref_frn"), "x.description")
 
 

@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions.search import (
-    clean_search_text, forward_half, mirrored_half, tokens,
-)
+from leafmill.functions.search import forward_half, mirrored_half, tokens
+from leafmill.functions.text import quote
 from leafmill.spec import SEARCH_DASH, SEARCH_DROPPED
 
 FORWARD, MIRRORED = "f", "m"
@@ -26,9 +25,11 @@ def postings(df: DataFrame, key: str, full_text: str = "fullText",
         sides.append((MIRRORED, mirrored_half(text)))
     entries = F.array(*[F.struct(F.lit(s).alias("side"), tokens(t).alias("tokens"))
                         for s, t in sides])
+    # Outer generation: see the note on exploding computed arrays in normalize.
     return (
-        df.select(key, F.explode(entries).alias("e"))
-        .select(F.explode("e.tokens").alias("token"), F.col("e.side").alias("side"), key)
+        df.select(key, F.explode_outer(entries).alias("e"))
+        .select(F.explode_outer("e.tokens").alias("token"), F.col("e.side").alias("side"), key)
+        .filter(F.col("token").isNotNull())
     )
 
 
@@ -52,17 +53,14 @@ def query_terms(query: str) -> list[str]:
     return sorted({t for t in cleaned.lower().replace("\n", " ").split(" ") if t})
 
 
-def term_search(df: DataFrame, query: str, full_text: str = "fullText") -> DataFrame:
-    """Rows holding every term of the query: a filter on the scan, no shuffle."""
-    found = tokens(forward_half(F.col(full_text)))
-    cond = F.lit(True)
-    for term in query_terms(query):
-        cond = cond & F.array_contains(found, term)
-    return df.filter(cond)
+def _quoted(term: str) -> str:
+    return rf"(?:\A|[ \n]){quote([term])}"
 
 
-def _any_starts_with(tokens_col, prefix: str):
-    return F.exists(tokens_col, lambda t: t.startswith(prefix))
+def term_search(df: DataFrame, query: str, full_text: str = "fullText") -> DataFrame:
+    """Rows holding every term of the query: a filter on the scan, no shuffle."""
+    every = "".join(rf"(?=.*?{_quoted(t)}(?:[ \n]|\z))" for t in query_terms(query))
+    return df.filter(F.lower(forward_half(F.col(full_text))).rlike(rf"(?s)\A{every}"))
 
 
 def _single_term(term: str) -> str:
@@ -74,13 +72,14 @@ def _single_term(term: str) -> str:
 
 def prefix_search(df: DataFrame, prefix: str, full_text: str = "fullText") -> DataFrame:
     """Rows with a word starting with ``prefix``."""
-    return df.filter(_any_starts_with(tokens(forward_half(F.col(full_text))), _single_term(prefix)))
+    pattern = _quoted(_single_term(prefix))
+    return df.filter(F.lower(forward_half(F.col(full_text))).rlike(pattern))
 
 
 def suffix_search(df: DataFrame, suffix: str, full_text: str = "fullText") -> DataFrame:
     """Rows with a word ending in ``suffix``: a prefix search on the mirrored words."""
-    term = _single_term(suffix)[::-1]
-    return df.filter(_any_starts_with(tokens(mirrored_half(F.col(full_text))), term))
+    pattern = _quoted(_single_term(suffix)[::-1])
+    return df.filter(F.lower(mirrored_half(F.col(full_text))).rlike(pattern))
 
 
 def term_lookup(posted: DataFrame, query: str, key: str) -> DataFrame:
@@ -102,15 +101,6 @@ def suffix_lookup(posted: DataFrame, suffix: str, key: str) -> DataFrame:
         (F.col("side") == MIRRORED) & F.col("token").startswith(term)).select(key).distinct()
 
 
-def search_text_of(df: DataFrame, column: str) -> DataFrame:
-    """Add ``fullText`` made from one column."""
-    cleaned = df.withColumn("_clean", clean_search_text(F.col(column)))
-    return cleaned.withColumn(
-        "fullText",
-        F.when(F.col("_clean") == "", "").otherwise(
-            F.concat("_clean", F.lit(" "), F.reverse("_clean")))).drop("_clean")
-
-
 def lookup(df: DataFrame, **equals: str) -> DataFrame:
     """Equality lookup on any columns; plain filters, so they reach the Parquet scan."""
     for column, value in equals.items():

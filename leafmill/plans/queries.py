@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions import keys, links, text
-from leafmill.functions.search import register_functions
+from leafmill.functions.search import register_functions, search_text_of
 from leafmill.operators import (
     assemble, ids, integrity, manifest, normalize, pages, runs, search,
 )
 from leafmill.plans.flow import run_flow
-from leafmill.plans.render import line_pages, rendered_pages, table
+from leafmill.plans.render import line_pages, rendered_pages, spread, table
 from leafmill.session import scratch_path, settle
 from leafmill.sources.pages import split_pages
 from leafmill.sources.records import read_records, write_records
@@ -43,20 +43,20 @@ def _records(spark, sf, mode="global"):
 # ------------------------------------------------------------------- pages
 @query
 def paged_text(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     split = split_pages(docs, separator="\n")
     return pages.non_empty(split).select("doc_id", "page_idx", F.length("text").alias("n_chars"))
 
 
 @query
 def text_lines(spark, sf):
-    lines = pages.text_lines(table(spark, sf, "documents"), "doc_id")
+    lines = pages.text_lines(spread(table(spark, sf, "documents")), "doc_id")
     return lines.select("doc_id", "line_idx", F.md5("line").alias("line_md5"))
 
 
 @query
 def page_head(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", text.head(F.col("text"), DEFAULT_SPEC.head_chars).alias("head"))
 
 
@@ -88,8 +88,8 @@ def sub_entries(spark, sf):
     parsed = line_pages(spark, sf).transform(pages.with_sub_entries)
     rows = parsed.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.posexplode("sub_entries").alias("pos", "e"))
-    return rows.select(
+        F.posexplode_outer("sub_entries").alias("pos", "e"))
+    return rows.filter(F.col("pos").isNotNull()).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "pos",
         F.col("e.frn").alias("sub_frn"), "e.calibre", "e.shots", "e.barrel_length",
         F.col("e.legal_classification").alias("legal_classification"))
@@ -115,7 +115,7 @@ def camel_case(spark, sf):
 
 @query
 def whitespace_collapse(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", F.md5(text.collapse(F.col("text"))).alias("collapsed_md5"))
 
 
@@ -283,7 +283,7 @@ def table_frn_pdf(spark, sf):
 
 @query
 def upserted_search_text(spark, sf):
-    current = normalize.record_table(_records(spark, sf))
+    current = settle(normalize.record_table(_records(spark, sf)))
     changes = current.filter(F.col("level") == "").drop("fullText").withColumn(
         "make", F.concat(F.lit("changed-"), "frn"))
     return normalize.upsert(current, changes, TABLE_RECORD).select("frn", "make", "fullText")
@@ -300,13 +300,13 @@ def table_lookup(spark, sf):
 @query
 def json_roundtrip(spark, sf):
     folder = scratch_path(spark, "json_roundtrip")
-    write_records(_records(spark, sf), folder)
+    write_records(settle(_records(spark, sf)), folder)
     return normalize.note_table(read_records(spark, folder))
 
 
 @query
 def load_report(spark, sf):
-    return integrity.load_report(normalize.tables(_records(spark, sf)))
+    return integrity.load_report(normalize.tables(settle(_records(spark, sf))))
 
 
 @query
@@ -380,18 +380,20 @@ def search_text_sql(spark, sf):
 
 @query
 def search_text(spark, sf):
-    return search.search_text_of(table(spark, sf, "documents"), "text").select(
+    return search_text_of(spread(table(spark, sf, "documents")), "text").select(
         "doc_id", F.md5("fullText").alias("full_text_md5"))
 
 
 def _searchable_documents(spark, sf):
-    return search.search_text_of(table(spark, sf, "documents"), "text")
+    """The search text is a stored column, so it is settled before it is searched."""
+    return settle(search_text_of(spread(table(spark, sf, "documents")).select("doc_id", "lang", "text"), "text")
+                  .drop("text"))
 
 
 def _searchable_parts(spark, sf):
     named = table(spark, sf, "part").select(
         "p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("words"))
-    return search.search_text_of(named, "words")
+    return search_text_of(named, "words")
 
 
 @query
@@ -443,16 +445,16 @@ LINK_NAME = r"[A-Za-z]{4,}\.?"
 
 @query
 def html_links(spark, sf):
-    found = table(spark, sf, "pages").select(
-        "page_id", "url", F.posexplode(links.matching_links(F.col("html"), LINK_NAME)).alias("pos", "href"))
-    return found.select(
+    found = spread(table(spark, sf, "pages")).select(
+        "page_id", "url", F.posexplode_outer(links.matching_links(F.col("html"), LINK_NAME)).alias("pos", "href"))
+    return found.filter(F.col("pos").isNotNull()).select(
         "page_id", "pos", "href", links.file_name(F.col("href")).alias("file_name"),
         links.absolute_url(F.col("href"), F.col("url")).alias("abs_url"))
 
 
 @query
 def first_link(spark, sf):
-    found = table(spark, sf, "pages").select(
+    found = spread(table(spark, sf, "pages")).select(
         "page_id", "url", links.first_link(F.col("html"), LINK_NAME).alias("href"))
     return found.select(
         "page_id", "href", links.absolute_url(F.col("href"), F.col("url")).alias("abs_url"))

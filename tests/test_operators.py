@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.functions import links, text
-from leafmill.functions.search import register_functions, tokens, with_full_text
+from leafmill.functions.search import register_functions, search_text_of, tokens, with_full_text
 from leafmill.operators import assemble, ids, integrity, manifest, normalize, pages, search
 from leafmill.plans.render import rendered_pages
 from leafmill.sources.tables import read_table, write_table
@@ -25,7 +25,7 @@ def test_fulltextify(spark, given, want):
     df = spark.createDataFrame([(given,)], "s string")
     row = df.selectExpr("fulltextify(s) AS a").collect()[0]
     assert row["a"] == want
-    assert search.search_text_of(df, "s").collect()[0]["fullText"] == want
+    assert search_text_of(df, "s").collect()[0]["fullText"] == want
 
 
 def test_fulltextify_of_null(spark):
@@ -80,7 +80,7 @@ def test_tokens_are_distinct_and_not_empty(spark):
 
 def searchable(spark):
     rows = [(1, "Semi-Auto rifle (x)"), (2, "rifle elfir"), (3, "auto"), (4, "")]
-    return search.search_text_of(spark.createDataFrame(rows, "id int, s string"), "s")
+    return search_text_of(spark.createDataFrame(rows, "id int, s string"), "s")
 
 
 @pytest.mark.parametrize("scan,stored,arg,want", [
