@@ -50,4 +50,4 @@ def parent_key(text: Column, spec: PageSpec = DEFAULT_SPEC) -> Column:
 
 def head_key(text: Column, top_chars: int | None = None, spec: PageSpec = DEFAULT_SPEC) -> Column:
     """Parent key searched only in the first ``top_chars`` characters of the page."""
-    return parent_key(head(text, top_chars or spec.head_chars), spec)
+    return parent_key(head(text, spec.head_chars if top_chars is None else top_chars), spec)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.search import with_full_text
 from leafmill.functions.text import base64_text, file_stem, table_text
+from leafmill.operators.ids import with_row_id
 from leafmill.spec import (
     DEFAULT_SPEC, TABLE_BLOB, TABLE_NOTE, TABLE_RECORD, TABLE_SUB, TABLE_XREF, PageSpec,
 )
@@ -14,6 +15,13 @@ from leafmill.spec import (
 # Columns that carry document order; kept on request only.
 ORDER = ("doc_id", "first_page_idx")
 
+# What a row of a table is numbered by.
+TABLE_ORDER = {
+    TABLE_SUB: (*ORDER, "pos"),
+    TABLE_NOTE: (*ORDER, "pos", "bullet_index"),
+    TABLE_XREF: (*ORDER, "pos"),
+}
+
 
 def keyed_records(records: DataFrame) -> DataFrame:
     """Records without a key are skipped."""
@@ -85,10 +93,15 @@ def cross_reference_table(records: DataFrame, *keep: str) -> DataFrame:
     return with_full_text(flat, TABLE_XREF)
 
 
-def blob_rows(files: DataFrame) -> DataFrame:
-    """``(path, content)`` -> ``(frn, pdf64)``: key from the file name, content as text."""
-    return files.select(
-        file_stem(F.col("path")).alias("frn"), base64_text(F.col("content")).alias("pdf64"))
+def blob_rows(files: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``(path, content)`` -> ``(frn, pdf64)``: key from the file name, content as text.
+
+    With ``known`` keys other blobs are dropped, before their content is encoded.
+    """
+    keyed = files.select(file_stem(F.col("path")).alias("frn"), "content")
+    if known is not None:
+        keyed = keyed.join(known.select("frn"), "frn", "left_semi")
+    return keyed.select("frn", base64_text(F.col("content")).alias("pdf64"))
 
 
 def tables(records: DataFrame, blobs: DataFrame | None = None, *keep: str,
@@ -101,8 +114,17 @@ def tables(records: DataFrame, blobs: DataFrame | None = None, *keep: str,
         TABLE_XREF: cross_reference_table(records, *keep),
     }
     if blobs is not None:
-        known = keyed_records(records).select("frn")
-        out[TABLE_BLOB] = blob_rows(blobs).join(known, "frn", "left_semi")
+        out[TABLE_BLOB] = blob_rows(blobs, keyed_records(records))
+    return out
+
+
+def with_table_ids(made: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Give the child tables, made with their ``ORDER`` columns, dense ids in document order."""
+    out = {}
+    for name, df in made.items():
+        if name in TABLE_ORDER:
+            df = with_row_id(df, *TABLE_ORDER[name])
+        out[name] = df.drop(*ORDER, "pos")
     return out
 
 

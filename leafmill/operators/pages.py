@@ -5,7 +5,7 @@ Nothing here shuffles, except the two operators that need a per-document size or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import fields as fx
@@ -14,6 +14,9 @@ from leafmill.functions.keys import head_key, is_parent_page, parent_key
 from leafmill.functions.text import strip
 from leafmill.spec import DEFAULT_SPEC, FIRST_PAGES, PageSpec
 
+# Positions of a document that are kept together in joins.
+STRETCH = 65536
+
 
 def non_empty(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("text") != "")
@@ -136,20 +139,23 @@ def page_range(pages: DataFrame, start: int, end: int, pos: str = "page_idx") ->
 
 
 def with_chunk(pages: DataFrame, chunks: int, doc: str = "doc_id", pos: str = "page_idx",
-               total: int | Column | None = None) -> DataFrame:
+               total: int | None = None) -> DataFrame:
     """Number the ``chunks`` equal page ranges of every document.
 
-    Without a known ``total`` the page counts are pre-aggregated per document and joined
-    back; Catalyst broadcasts them if they are small, and adaptive skew handling splits
-    a document that holds a large part of the pages otherwise.
+    Without a known ``total`` the page counts are found per document.  They are joined back
+    on document and stretch of positions, so that a document holding a large part of all
+    pages is spread over many tasks; only one row per stretch is joined on the document.
     """
-    if total is None:
-        sizes = pages.groupBy(doc).agg((F.max(pos) + 1).alias("_total"))
-        pages, total = pages.join(sizes, doc), F.col("_total")
-    elif isinstance(total, int):
-        total = F.lit(total)
-    width = F.greatest(F.lit(1).cast("bigint"), F.ceil(total / F.lit(chunks)))
-    return pages.withColumn("chunk", F.floor(F.col(pos) / width)).drop("_total")
+    columns = pages.columns
+    if total is not None:
+        sized = pages.withColumn("_total", F.lit(total).cast("bigint"))
+    else:
+        cut = pages.withColumn("_stretch", F.expr(f"`{pos}` DIV {STRETCH}"))
+        ends = cut.groupBy(doc, "_stretch").agg(F.max(pos).alias("_end"))
+        totals = ends.groupBy(doc).agg((F.max("_end") + 1).alias("_total"))
+        sized = cut.join(ends.join(totals, doc).drop("_end"), [doc, "_stretch"])
+    width = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_total") / F.lit(chunks)))
+    return sized.select(*columns, F.floor(F.col(pos) / width).alias("chunk"))
 
 
 def first_pages(pages: DataFrame, n: int = FIRST_PAGES, doc: str = "doc_id",

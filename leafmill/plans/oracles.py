@@ -247,6 +247,10 @@ ORACLES["table_frn_cross_reference"] = _with(BASE, XREFS) + f"""
 SELECT p0 AS first_page_idx, pos, ks AS frn, ref_frn, description,
   {_full("ref_frn || ' ' || description")} AS "fullText" FROM xr"""
 
+ORACLES["table_ids"] = _with(BASE, NOTES) + """
+SELECT row_number() OVER (ORDER BY doc_id, p0, pos, bullet_index) AS id, ks AS frn, note_key, bullet_index
+FROM nt"""
+
 ORACLES["blob_base64"] = """
 SELECT 'v1.' || doc_id AS frn, md5(to_base64(encode(text))) AS pdf64_md5,
   CAST(length(to_base64(encode(text))) AS INTEGER) AS n_chars FROM documents"""

@@ -259,6 +259,13 @@ def table_frn_cross_reference(spark, sf):
     return normalize.cross_reference_table(_records(spark, sf), "first_page_idx")
 
 
+@query
+def table_ids(spark, sf):
+    made = normalize.tables(settle(_records(spark, sf)), None, *normalize.ORDER)
+    notes = normalize.with_table_ids({TABLE_NOTE: made[TABLE_NOTE]})[TABLE_NOTE]
+    return notes.select("id", "frn", "note_key", "bullet_index")
+
+
 def _document_files(spark, sf):
     return table(spark, sf, "documents").select(
         F.concat(F.lit("/blobs/"), "lang", F.lit("/v1."), "doc_id", F.lit(".pdf")).alias("path"),
@@ -277,8 +284,7 @@ def table_frn_pdf(spark, sf):
         F.concat(F.lit("/blobs/"), "doc_id", F.lit(".pdf")).alias("path"),
         F.encode("text", "UTF-8").alias("content"))
     known = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("frn"))
-    return integrity.known_only(normalize.blob_rows(files), known, "frn").select(
-        "frn", F.md5("pdf64").alias("pdf64_md5"))
+    return normalize.blob_rows(files, known).select("frn", F.md5("pdf64").alias("pdf64_md5"))
 
 
 @query

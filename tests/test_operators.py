@@ -125,6 +125,9 @@ def test_chunks(spark):
     rows = {(r["doc_id"], r["page_idx"]): r["chunk"] for r in pages.with_chunk(df, 3).collect()}
     assert [rows["a", i] for i in range(10)] == [0] * 4 + [1] * 4 + [2] * 2
     assert rows["b", 0] == 0
+    wide = spark.range(200000).select(F.lit("h").alias("doc_id"), F.col("id").alias("page_idx"))
+    sizes = pages.with_chunk(wide, 4).groupBy("chunk").count().collect()
+    assert {r["chunk"]: r["count"] for r in sizes} == {i: 50000 for i in range(4)}
     fixed = pages.with_chunk(df, 3, total=10).filter("doc_id = 'a'").collect()
     assert {r["page_idx"]: r["chunk"] for r in fixed} == {i: i // 4 for i in range(10)}
 
@@ -150,6 +153,21 @@ def test_orphans_with_null_keys(spark):
     assert sorted(str(r["frn"]) for r in integrity.orphans(child, parent, "frn").collect()) == ["3", "None"]
 
 
+def test_key_of_most_pages_becomes_one_record(spark):
+    """A hot key next to ordinary ones, its pages far apart."""
+    label = "Firearm Reference Number (FRN): "
+    df = spark.range(30000).select(
+        F.lit("d").alias("doc_id"), F.col("id").alias("page_idx"),
+        F.concat(F.lit(label), F.when(F.col("id") % 3 > 0, "7").otherwise(F.col("id") + 100),
+                 F.lit("\nMake: m"), F.col("id"), F.lit("\n")).alias("text"))
+    out = {r["frn"]: r for r in assemble.records(df).collect()}
+    assert len(out) == 10001
+    assert (out["7"]["n_pages"], out["7"]["make"], out["7"]["first_page_idx"]) == (20000, "m29999", 1)
+    runs = assemble.records(df, "runs")
+    assert runs.count() == 20000
+    assert runs.filter("frn = '7'").agg(F.sum("n_pages")).collect()[0][0] == 20000
+
+
 # ------------------------------------------------------------------- plans
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()

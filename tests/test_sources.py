@@ -133,6 +133,12 @@ def test_flow(spark, sf_dir, tmp_path):
                       "dbo_frnCrossReference": 1500, "dbo_frnPdf": 1}
     assert result.violations.count() == 0
     assert result.manifest.count() == 1500
+    numbered = run_flow(spark, read_pages(spark, pages_path), str(tmp_path / "ids"), row_ids=True,
+                        json_records=False, group_pages=False)
+    notes = numbered.tables[TABLE_NOTE]
+    assert set(notes.columns) == {*result.tables[TABLE_NOTE].columns, "id"}
+    assert sorted(r["id"] for r in notes.collect()) == list(range(1, 2774))
+    assert numbered.manifest is None
     grouped = spark.read.parquet(f"{out}/key_pages")
     assert grouped.count() == 2249
     again = write_tables({TABLE_BLOB: result.tables[TABLE_BLOB].limit(0)}, out + "/second")
