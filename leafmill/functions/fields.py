@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import WS, collapse, lines, null_if_no_value, quote, strip
+from leafmill.functions.text import NOT_WS, WS, collapse, extract, lines, null_if_no_value, quote, strip
 from leafmill.spec import DEFAULT_SPEC, PageSpec
 
 # Letters that equal a plain letter when case is ignored, beyond upper and lower case.
@@ -29,14 +29,19 @@ def label_lines(text: Column, spec: PageSpec = DEFAULT_SPEC) -> Column:
     A value may stand on a later line when nothing follows the label.  The zero-width
     match keeps a line that is both such a value and a label line itself.
     """
-    pattern = (rf"(?imdU)^(?=((?:{_labels(spec)}):{WS}*[^\n]+|{quote([spec.key_label])}{WS}*\d+))")
+    pattern = rf"(?imdU)^(?=((?:{_labels(spec)}):{WS}*[^\n]+))"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
+def printed_key(text: Column, spec: PageSpec = DEFAULT_SPEC) -> Column:
+    """Key at the start of a line, any case: a field too, but not needed with the others."""
+    return extract(text, rf"(?imdU)^{quote([spec.key_label])}{WS}*(\d+)")
+
+
 def line_parts(line: Column) -> Column:
     """'Label: value' -> [label, value], the value stripped."""
     return F.split(
-        F.regexp_replace(line, rf"(?sU)\A([^:]*):{WS}*+(.*?){WS}*\z", "$1\n$2"), "\n", 2)
+        F.regexp_replace(line, rf"(?sU)\A([^:]*):{WS}*+(?:(.*{NOT_WS}){WS}*)?\z", "$1\n$2"), "\n", 2)
 
 
 def normal_label(label: Column) -> Column:

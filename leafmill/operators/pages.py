@@ -48,7 +48,7 @@ def with_fields(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
         *keep, "_labels", F.transform("_cut", lambda v: fx.clean_value(v, spec)).alias("_values"))
     picked = clean.select(
         *keep,
-        fx.pick(F.col("_labels"), F.col("_values"), spec.key_label.rstrip(":")).alias("printed_key"),
+        fx.printed_key(F.col("text"), spec).alias("printed_key"),
         *[fx.pick(F.col("_labels"), F.col("_values"), label).alias(f"_{n}")
           for n, label in spec.fields],
         F.when(F.exists("_values", fx.is_indirect), fx.raw_notes(F.col("text"), spec)).alias("_notes"),
