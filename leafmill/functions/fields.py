@@ -13,7 +13,7 @@ from leafmill.functions.text import NOT_WS, WS, collapse, extract, lines, null_i
 from leafmill.spec import DEFAULT_SPEC, PageSpec
 
 # Letters that equal a plain letter when case is ignored, beyond upper and lower case.
-_FOLDED_FROM, _FOLDED_TO = "ſKıİ", "skii"
+_FOLDED_FROM, _FOLDED_TO = "\u017f\u212a\u0131\u0130", "skii"
 
 # Marks a value that points at the notes; values never hold a line feed themselves.
 _INDIRECT_MARK = "\n"

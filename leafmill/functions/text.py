@@ -80,10 +80,6 @@ def camel_case(c: Column, tidy: bool = False) -> Column:
     return F.concat(F.lower(first), F.replace(rest, F.lit(" "), F.lit("")))
 
 
-def empty_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-
-
 def table_text(c: Column) -> Column:
     """Value as the tables hold it: never NULL."""
     return F.coalesce(c, F.lit(""))

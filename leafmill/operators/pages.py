@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from leafmill.functions import fields as fx
 from leafmill.functions import sections as sx
 from leafmill.functions.keys import head_key, is_parent_page, parent_key
-from leafmill.functions.text import strip
 from leafmill.spec import DEFAULT_SPEC, FIRST_PAGES, PageSpec
 
 # Positions of a document that are kept together in joins.
 STRETCH = 65536
 
+# Largest rank Spark limits before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+
 
 def non_empty(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("text") != "")
@@ -162,15 +164,33 @@ def first_pages(pages: DataFrame, n: int = FIRST_PAGES, doc: str = "doc_id",
                 pos: str = "page_idx", dense: bool = True) -> DataFrame:
     """First ``n`` pages of every document.
 
-    With dense indices this is a pushed-down filter.  Otherwise pages are ranked, and
-    Spark keeps at most ``n`` rows per document and task before the shuffle.
+    With dense indices this is a pushed-down filter.  Otherwise pages are ranked.  Up to
+    ``GROUP_LIMIT`` pages, Spark keeps at most ``n`` rows per document and task before the
+    shuffle; beyond that the rank is counted by stretches of the document.
     """
     if dense:
         return pages.filter(F.col(pos) < n)
+    if n > GROUP_LIMIT:
+        return _first_by_stretch(pages, n, doc, pos)
     rank = F.row_number().over(Window.partitionBy(doc).orderBy(pos))
     return pages.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
+def _first_by_stretch(pages: DataFrame, n: int, doc: str, pos: str) -> DataFrame:
+    """Rank = rows in earlier stretches + place in the own one; no window over a document's
+    rows, only over its one count per stretch."""
+    cut = pages.withColumn("_stretch", F.expr(f"`{pos}` DIV {STRETCH}"))
+    earlier = Window.partitionBy(doc).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        cut.groupBy(doc, "_stretch").agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .filter(F.col("_before") < n).drop("_n")
+    )
+    place = F.row_number().over(Window.partitionBy(doc, "_stretch").orderBy(pos))
+    ranked = cut.join(before, [doc, "_stretch"]).withColumn("_rank", F.col("_before") + place)
+    return ranked.filter(F.col("_rank") <= n).select(*pages.columns)
+
+
 def union_pages(*parts: DataFrame) -> DataFrame:
     """Page tables from several sources as one; columns a source lacks are NULL."""
     out = parts[0]
@@ -187,7 +207,3 @@ def in_document_order(df: DataFrame, *order: str) -> DataFrame:
 def text_lines(df: DataFrame, *keep: str) -> DataFrame:
     """One row per text line with its position."""
     return df.select(*keep, F.posexplode(F.split("text", "\n", -1)).alias("line_idx", "line"))
-
-
-def stripped_lines(df: DataFrame, *keep: str) -> DataFrame:
-    return text_lines(df, *keep).withColumn("line", strip(F.col("line"))).filter("line <> ''")

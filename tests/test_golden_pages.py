@@ -63,6 +63,8 @@ PAGES = {
     "no_data_spaced": KEY + "19\nMake: no  DATA\nModel:  No Data \nLevel: no data x\n",
     "dashes": KEY + "20\nNotes\nCanadian LAW Comments -- a--b\nMake - -- c - d\nmodel - lower case\n",
     "xrefs": KEY + "21\nNotes\nMake - x\ncross-references  \nCross-References\n  5   A  B \n6\n7 C\nx 8 D\nFirearms Reference Table\n9 E\n",
+    "inner_label": KEY + "23\nYear Dates:\nCountry of Manufacturer: X\n",
+    "folded_case": KEY + "24\nMA\u212aE: a\nSerial Number\u0131ng: b\nYear Date\u017f: c\n",
     "first_wins": KEY + "22\nMake: first\nMake: second\nmodel: any case\n",
 }
 
@@ -115,6 +117,9 @@ EXPECTED = {
     "dashes": {"notes": [("canadianLawComments", ["a--b"]), ("make", ["-- c - d model - lower case"])]},
     "xrefs": {"notes": [("make", ["x cross-references"])],
               "cross_references": [("5", "A  B"), ("7", "C")]},
+    # The label on the next line ends in another label, so its first words stay as a value.
+    "inner_label": {"year_dates": "Country of", "country": "X"},
+    "folded_case": {"make": "a", "serial_numbering": "b", "year_dates": "c"},
     "first_wins": {"make": "first", "model": "any case"},
 }
 # Three digit tokens in a row: the rightmost pair is taken, so a superscript calibre stays left.

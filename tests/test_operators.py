@@ -132,6 +132,18 @@ def test_chunks(spark):
     assert {r["page_idx"]: r["chunk"] for r in fixed} == {i: i // 4 for i in range(10)}
 
 
+@pytest.mark.parametrize("n", [10, 1500])
+def test_first_pages_of_sparse_positions(spark, n):
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("doc_id"), (F.col("id") * 97).alias("page_idx"))
+    got = pages.first_pages(df, n, dense=False)
+    assert got.columns == ["doc_id", "page_idx"]
+    rows = sorted(map(tuple, got.collect()))
+    every = [("a" if i % 4 == 0 else "b", i * 97) for i in range(4000)]
+    want = sorted([r for r in every if r[0] == "a"][:n] + [r for r in every if r[0] == "b"][:n])
+    assert rows == want
+
+
 def test_require_unique(spark):
     df = spark.createDataFrame([("1",), ("2",)], "frn string")
     integrity.require_unique(df, "frn")
