@@ -1,7 +1,7 @@
 """String building blocks, all native Column expressions.
 
 Regex conventions (Java dialect): ``(?U)`` for Unicode ``\\s``/``\\d``, ``(?d)`` so that
-only ``\\n`` ends a line, ``\\z`` for the end of the input.  ``WS`` adds U+001C..U+001F,
+only ``\\n`` ends a line, ``\\z`` for the end of the input.  ``WS`` includes U+001C..U+001F,
 which Java's Unicode ``\\s`` leaves out.
 """
 
@@ -12,9 +12,13 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WS = r"[\s\x1c-\x1f]"
-NOT_WS = r"[^\s\x1c-\x1f]"
-LINE_WS = r"[\s\x1c-\x1f&&[^\n]]"
+# Whitespace as character classes: the Latin-1 characters are listed one by one, which Java
+# tests with one bitmap, and the property is asked only in the range of the others.
+_WIDE_WS = r"[\u1680-\u3000&&\s]"
+_LATIN_WS = r"\t\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
+WS = rf"[\n{_LATIN_WS}{_WIDE_WS}]"
+NOT_WS = rf"[^\n{_LATIN_WS}{_WIDE_WS}]"
+LINE_WS = rf"[{_LATIN_WS}{_WIDE_WS}]"
 
 # Every whitespace character, for trimming without a regex.
 WS_CHARS = (
