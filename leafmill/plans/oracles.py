@@ -99,7 +99,7 @@ def _tokens(cleaned: str) -> str:
 
 # ------------------------------------------------------------------- pages
 ORACLES["paged_text"] = """
-SELECT CAST(doc_id AS VARCHAR) AS doc_id, page_idx, length(t) AS n_chars FROM (
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, page_idx, CAST(length(t) AS INTEGER) AS n_chars FROM (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS t,
     unnest(range(0, len(string_split(text, chr(10))))) AS page_idx FROM documents) WHERE t <> ''"""
 
