@@ -36,6 +36,11 @@ def is_parent_page(text: Column, spec: PageSpec = DEFAULT_SPEC) -> Column:
             & ~text.rlike(_sub_pattern(spec)))
 
 
+def parent_page_key(text: Column, spec: PageSpec = DEFAULT_SPEC) -> Column:
+    """Key of a page that passed :func:`is_parent_page`: no sub-entry key to look for."""
+    return extract(text, _parent_pattern(spec))
+
+
 def is_sub_entry(key: Column) -> Column:
     return F.coalesce(key.contains("-"), F.lit(False))
 

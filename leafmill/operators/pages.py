@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import fields as fx
 from leafmill.functions import sections as sx
-from leafmill.functions.keys import head_key, is_parent_page, parent_key
+from leafmill.functions.keys import head_key, is_parent_page, parent_page_key
 from leafmill.spec import DEFAULT_SPEC, FIRST_PAGES, PageSpec
 
 # Positions of a document that are kept together in joins.
@@ -30,7 +30,7 @@ def parent_pages(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
     The filter tests the text itself, so the key is extracted once, for kept pages only.
     """
     text = F.col("text")
-    return pages.filter(is_parent_page(text, spec)).withColumn("frn", parent_key(text, spec))
+    return pages.filter(is_parent_page(text, spec)).withColumn("frn", parent_page_key(text, spec))
 
 
 def with_fields(pages: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
@@ -119,7 +119,7 @@ def page_facts(pages: DataFrame, top_chars: int | None = None,
     kept = pages.select(
         "doc_id", "page_idx", head_key(text, top_chars, spec).alias("head_frn"),
         F.when(is_parent_page(text, spec), text).alias("text"),
-    ).withColumn("frn", parent_key(text, spec))
+    ).withColumn("frn", parent_page_key(text, spec))
     return _parsed(kept, spec).select(
         "doc_id", "page_idx", "head_frn", "frn", "printed_key", *spec.field_names,
         "notes", "sub_entries", "cross_references")
