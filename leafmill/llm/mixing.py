@@ -146,7 +146,7 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[i
     taken = (
         pieces.join(slots.select("key", "block", "words"), ["key", "block"], "left")
         .groupBy("key", "at", "doc_id", "size")
-        .agg(F.sum(F.greatest(F.coalesce(end - begin, F.lit(0)), F.lit(0))).alias("taken"))
+        .agg(F.sum(F.when(F.col("words").isNull(), 0).otherwise(F.greatest(end - begin, F.lit(0)))).alias("taken"))
         .select("key", "doc_id", "size", "taken")
         .union(rows.where("size = 0").select("key", "doc_id", "size", F.lit(0).cast("long")))
     )
