@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import lines, mixing, ngram_join
+from leafmill.llm import decontaminate, langid, lines, mixing, ngram_join
 from leafmill.llm.shared import table
 
 
@@ -18,11 +18,24 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages; texts of both are judged by what documents declare."""
+    docs = langid.of_documents(table(spark, sf_dir, "documents")).withColumn("page_id", F.lit(None).cast("long"))
+    pages = langid.of_pages(table(spark, sf_dir, "pages")).withColumn("doc_id", F.lit(None).cast("long"))
+    columns = ["doc_id", "page_id", "text", "declared", "suffix", "host", "site"]
+    return langid.identify(docs.select(columns).union(pages.select(columns)), ["doc_id", "page_id"],
+                           learn_from=docs.select("text", "declared"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mix(table(spark, sf_dir, "documents")).taken
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op6_line_dedup, op10_source_mixing,
+    op1_ngram_jaccard_join, op6_line_dedup, op7_language_id, op9_benchmark_decontamination, op10_source_mixing,
 )}
