@@ -3,7 +3,35 @@
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
+_PROBE = "chr(92) || '### Assistant: </turn> ok'"
+
 ORACLES = {
+    "op3_chat_formatting": f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', {_PROBE} UNION ALL SELECT -7, 1, 'assistant', {_PROBE}
+), sized AS (
+  SELECT *, 15 + length(role) + length(text)
+    + length(regexp_replace(role || text, '[^' || chr(92) || chr(92) || '#<]', '', 'g')) AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op4_warc_zstandard": """
+WITH payloads AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), copies AS (
+  SELECT payload_digest, max(page_id) AS last_page FROM payloads WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < last_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last_page THEN last_page END AS refers_to
+FROM payloads LEFT JOIN copies USING (payload_digest)
+""",
     "op6_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import decontaminate, langid, lines, mixing, ngram_join
+from leafmill.llm import ann, chat, decontaminate, langid, lines, mixing, ngram_join, warc
 from leafmill.llm.shared import table
 
 
@@ -13,6 +13,21 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn is logged as one event; conversation -7 holds control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], turns.schema)
+    log = turns.union(extra).select(
+        "conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.lit(None).cast("long").alias("message"), "role", "text")
+    return chat.read_back(chat.format_chats(log))
+
+
+def op4_warc_zstandard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -27,6 +42,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                            learn_from=docs.select("text", "declared"))
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(ann.build_index(vectors, k=20), vectors.where("vec_id % 20 = 0"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,5 +57,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op6_line_dedup, op7_language_id, op9_benchmark_decontamination, op10_source_mixing,
+    op1_ngram_jaccard_join, op3_chat_formatting, op4_warc_zstandard, op6_line_dedup,
+    op7_language_id, op8_permutation_index, op9_benchmark_decontamination, op10_source_mixing,
 )}
