@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import ann, chat, decontaminate, langid, lines, mixing, ngram_join, warc
+from leafmill.llm import ann, chat, decontaminate, langid, lines, lm, mixing, ngram_join, toxicity, warc
 from leafmill.llm.shared import table
 
 
@@ -13,6 +13,17 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def _remainder(n: int) -> Column:
+    """crc32 of the id as text, mod n; a null id counts as the text ""."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(_remainder(3) != 1)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn is logged as one event; conversation -7 holds control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -28,6 +39,13 @@ def op4_warc_zstandard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder, model = lm.train(docs.where(_remainder(7) != 2))
+    scored = lm.score(docs, folder, model)
+    return scored.select("doc_id", (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -57,6 +75,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op3_chat_formatting, op4_warc_zstandard, op6_line_dedup,
+    op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_warc_zstandard, op5_kneser_ney, op6_line_dedup,
     op7_language_id, op8_permutation_index, op9_benchmark_decontamination, op10_source_mixing,
 )}

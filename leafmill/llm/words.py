@@ -59,8 +59,12 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0]: bounds[-1]], bounds - bounds[0]
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts in order, and where each text's words begin (length n + 1)."""
+def words(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Word hashes of all texts in order, and where each text's words begin (length n + 1).
+
+    With ``prefixes``, a third array has the hashes of each word's first so many bytes (up to
+    SHORT), 0 where a word is shorter.
+    """
     raw, bounds = _bytes(texts)
     ink = ~_IS_SPACE[raw]
     before, after = np.empty_like(ink), np.empty_like(ink)
@@ -76,6 +80,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first, size = starts[order], lengths[order]
     n_long = int(np.count_nonzero(size > SHORT))
     value = np.zeros(len(order), np.uint64)
+    heads = np.zeros((len(order), len(prefixes)), np.uint64)
     alive = np.searchsorted(-size[n_long:], -np.arange(1, SHORT + 1), side="right") + n_long
     for j, until in enumerate(alive):
         if until == n_long:
@@ -83,11 +88,14 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         piece = value[n_long:until]
         piece *= _BASE
         piece += _BYTE[raw[first[n_long:until] + j]]
+        if j + 1 in prefixes:
+            heads[order[n_long:until], prefixes.index(j + 1)] = mix(piece ^ _U(j + 1))
     for i in range(n_long):
         value[i] = xxhash.xxh64_intdigest(_FOLD[raw[first[i]: first[i] + size[i]]].tobytes())
     hashes = np.empty_like(value)
     hashes[order] = mix(value + size.astype(np.uint64) * _NEXT)
-    return hashes, np.searchsorted(starts, bounds, side="left")
+    begin = np.searchsorted(starts, bounds, side="left")
+    return (hashes, begin, heads) if prefixes else (hashes, begin)
 
 
 def shingles(hashes: np.ndarray, begin: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
