@@ -14,7 +14,7 @@ of its ``rendered`` column in order of ``place``; ``loss_from`` and ``loss_lengt
 part trained on (code points), which is the assistant's escaped text.
 
 The template is ``### <Role>: <text> </turn>\\n``.  In texts and roles a backslash is put before
-every backslash, ``#`` and ``<``, so that no control string can appear inside them.
+every backslash, ``#`` and ``<``, in roles also before ``:``, so that no control string can appear inside them.
 
 Defined results: null text and null role are empty; equal seq: order by kind, role and text;
 equal rows of kind ``message`` are turns of their own; null conv_id and null seq sort first and make a
@@ -65,8 +65,8 @@ def fold(log: DataFrame) -> DataFrame:
     return whole.union(made)
 
 
-def escaped(text: Column) -> Column:
-    return F.regexp_replace(text, r"[\\#<]", r"\\$0")
+def escaped(text: Column, signs: str = r"\\#<") -> Column:
+    return F.regexp_replace(text, f"[{signs}]", r"\\$0")
 
 
 def render(messages: DataFrame, trained: str = TRAINED) -> DataFrame:
@@ -74,7 +74,7 @@ def render(messages: DataFrame, trained: str = TRAINED) -> DataFrame:
 
     ``place`` is a struct that orders the messages of a conversation.
     """
-    head = F.concat(F.lit(HEAD), escaped(F.col("role")), F.lit(AFTER_ROLE))
+    head = F.concat(F.lit(HEAD), escaped(F.col("role"), r"\\#<:"), F.lit(AFTER_ROLE))
     body = escaped(F.col("text"))
     return messages.select(
         "conv_id", F.struct("seq", "role", "text").alias("place"), F.concat(head, body, F.lit(END)).alias("rendered"),
@@ -87,7 +87,7 @@ def format_chats(log: DataFrame) -> DataFrame:
     return render(fold(log))
 
 
-_TURN = re.compile(r"### ((?:[^\\#<:]|\\.|:(?! ))*): ((?:[^\\#<]|\\.)*) </turn>\n", re.DOTALL)
+_TURN = re.compile(r"### ((?:[^\\#<:]|\\.)*): ((?:[^\\#<]|\\.)*) </turn>\n", re.DOTALL)
 _ESCAPE = re.compile(r"\\(.)", re.DOTALL)
 
 

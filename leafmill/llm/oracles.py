@@ -12,7 +12,8 @@ WITH turns AS (
   UNION ALL SELECT -7, 0, 'user', {_PROBE} UNION ALL SELECT -7, 1, 'assistant', {_PROBE}
 ), sized AS (
   SELECT *, 15 + length(role) + length(text)
-    + length(regexp_replace(role || text, '[^' || chr(92) || chr(92) || '#<]', '', 'g')) AS chars
+    + length(regexp_replace(role, '[^' || chr(92) || chr(92) || '#<:]', '', 'g'))
+    + length(regexp_replace(text, '[^' || chr(92) || chr(92) || '#<]', '', 'g')) AS chars
   FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,

@@ -1,0 +1,441 @@
+"""Each operator against a plain restatement, on odd rows, on an empty table and with clashing columns."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from brute import components, documents, odd_rows, shingle_set, words
+from leafmill.llm import ann, chat, decontaminate, langid, lines, lm, mixing, ngram_join, toxicity, warc
+from leafmill.llm.shared import components as graph_components
+
+
+# 1: similarity join
+def test_join_on_odd_rows(spark):
+    rows = odd_rows()
+    got = ngram_join.join_components(documents(spark, rows, clashing=True)).collect()
+    want = components({i: t for i, t, *_ in rows if i is not None})
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(
+        (i, len(shingle_set(t)), want[i][1] if i is not None else None) for i, t, *_ in rows)
+    assert len({c for _, c in want.values()}) < len(want) - 5
+
+
+def test_join_of_a_hot_group_and_chains(spark):
+    rng = random.Random(5)
+    base = ["b%d" % rng.randrange(500) for _ in range(60)]
+    rows = []
+    for k in range(150):
+        text = list(base)
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(60)] = "e%d" % rng.randrange(9999)
+        rows.append((k, " ".join(text)))
+    chain = ["c%d" % k for k in range(200)]
+    rows += [(1000 + k, " ".join(chain[3 * k:3 * k + 80])) for k in range(40)]
+    passage = " ".join("p%d" % k for k in range(55))
+    rows += [(2000 + k, passage + " " + " ".join("u%d" % rng.randrange(10**6) for _ in range(100))) for k in range(60)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_components(documents(spark, rows)).collect()}
+    assert got == components(dict(rows))
+
+
+def test_join_of_nothing(spark):
+    assert ngram_join.join_components(documents(spark, [])).count() == 0
+
+
+def test_order_two_never_loses_a_link():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) > rng.random() * 0.2], rng.integers(0, 2**63, n // 12).astype(np.uint64))))
+        if not len(b):
+            continue
+        same = len(np.intersect1d(a, b))
+        if 100 * same >= 80 * (len(a) + len(b) - same):
+            assert ngram_join._passes_second(ngram_join._second(a, 80), len(a), ngram_join._second(b, 80), len(b), 80)
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(k, k + 1) for k in range(30)] + [(100, 100 + k) for k in range(1, 20)] + [(300, 300), (205, 204), (204, 205)]
+    got = {r.node: r.component for r in graph_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(31)}, **{100 + k: 100 for k in range(20)}, 204: 204, 205: 204}
+
+
+# 2: toxicity
+def test_toxicity_held_out(spark):
+    rng = random.Random(4)
+    plain = ["word%d" % k for k in range(300)]
+    bad = ["nasty", "vile", "grot", "blech"]
+    rows, labels = [], []
+    for k in range(900):
+        toxic = k % 5 == 0
+        text = [rng.choice(plain) for _ in range(rng.randrange(20, 80))]
+        if toxic:
+            for _ in range(4):
+                text[rng.randrange(len(text))] = rng.choice(bad) + rng.choice(["", "ish", ",", "!"])
+        rows.append((k, " ".join(text)))
+        labels.append((k, int(toxic)))
+    held = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 3 == 1}
+    train = spark.createDataFrame([x for x in labels if x[0] not in held] + [(5, None), (None, 1)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(documents(spark, rows + [(10_000, None), (10_001, "")]), train).collect()}
+    assert len(got) == 902 and all(0 <= s <= 1 for s in got.values()) and got[10_000] == got[10_001] < 0.7
+    right = [(got[k] >= 0.7) == bool(t) for k, t in labels if k in held]
+    assert sum(right) / len(right) > 0.97
+
+
+def test_toxicity_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    odd = documents(spark, odd_rows(), clashing=True)
+    assert {r.score for r in toxicity.score(odd, none).collect()} == {0.0}
+    assert toxicity.score(documents(spark, []), none).count() == 0
+
+
+# 3: chat formatting
+def _log(spark, rows):
+    return spark.createDataFrame(rows, "conv_id long, seq long, kind string, message long, role string, text string")
+
+
+def test_fold_of_streams_edits_and_regenerations(spark):
+    log = _log(spark, [
+        (1, 0, "message", None, "user", "hi"),
+        (1, 1, "open", 7, "assistant", None), (1, 3, "delta", 7, None, "wo"), (1, 2, "delta", 7, None, "hel"),
+        (1, 4, "regenerate", 7, None, None), (1, 5, "delta", 7, None, "Good "), (1, 6, "delta", 7, None, "day"),
+        (1, 7, "open", 8, "user", "draft"), (1, 8, "edit", 8, None, "fin"), (1, 9, "delta", 8, None, "al"),
+        (1, 10, "open", 9, "user", "gone"), (1, 11, "retract", 9, None, None),
+        (2, 0, "delta", 1, None, "no role"), (None, None, "message", None, None, None)])
+    got = {(r.conv_id, r.seq, r.role, r.text) for r in chat.fold(log).collect()}
+    assert got == {(1, 0, "user", "hi"), (1, 1, "assistant", "Good day"), (1, 7, "user", "final"), (2, 0, "", "no role"), (None, None, "", "")}
+
+
+def test_chat_round_trip_of_control_strings(spark):
+    rng = random.Random(2)
+    parts = ["### ", "Assistant: ", " </turn>", "\n", "\\", "#", "<", "ok", "é🙂", ": "]
+    rows = [(c, t, rng.choice(["user", "assistant", "a: b", "### x"]), "".join(rng.choices(parts, k=rng.randrange(6))) or None)
+            for c in range(30) for t in range(rng.randrange(1, 6))]
+    log = _log(spark, [(c, t, "message", None, role, text) for c, t, role, text in rows])
+    got = {r.conv_id: r for r in chat.read_back(chat.format_chats(log)).collect()}
+    for c in {r[0] for r in rows}:
+        own = [(role, text or "") for cc, _, role, text in rows if cc == c]
+        loss = "".join(text for role, text in own if role == "assistant")
+        assert got[c].n_turns == len(own) and got[c].loss_chars == len(loss)
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in own).encode()).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_chat_edge_cases(spark):
+    assert chat.read_back(chat.format_chats(_log(spark, []))).count() == 0
+    twice = _log(spark, [(1, 0, "message", None, "user", "same")] * 2 + [(1, 0, "message", None, "user", "x" * 200_000)])
+    assert chat.read_back(chat.format_chats(twice.withColumn("place", F.lit(1)))).first().n_turns == 3
+    with pytest.raises(Exception, match="unknown event kind"):
+        chat.fold(_log(spark, [(1, 0, "bogus", None, "user", "x")])).collect()
+
+
+# 4: WARC
+def test_warc_round_trip(spark):
+    big = "<p>é copy</p>" * 200
+    rows = [(1, "http://a/", big), (2, "http://b/\r\nX: y", big), (9, None, big), (9, "http://dup/", big), (None, "http://n/", big),
+            (3, "http://c/", None), (4, "http://d/", ""), (5, "http://e/", "short"), (6, "http://f/", "short"), (7, "http://g/", "\r\n\r\nWARC/1.1\r\n" * 100),
+            (8, "http://h/", "y" * 300_000)]
+    pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, payload int")
+    got = warc.roundtrip(pages, payloads=True).collect()
+    assert len(got) == len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r.page_id].append(r)
+    for page, _, html in rows:
+        data = (html or "").encode()
+        for r in by[page]:
+            assert (r.payload_bytes, r.payload_digest) == (len(data), hashlib.sha1(data).hexdigest())
+            assert r.payload is None if r.record_type == "revisit" else bytes(r.payload) == data
+    assert {p: (by[p][0].record_type, by[p][0].refers_to) for p in (1, 2, 9, None, 5, 6)} == {
+        1: ("revisit", 9), 2: ("revisit", 9), 9: ("response", None), None: ("revisit", 9), 5: ("response", None), 6: ("response", None)}
+    assert by[2][0].url == "http://b/%0D%0AX:%20y"
+    assert warc.roundtrip(pages.limit(0)).count() == 0
+
+
+def test_warc_archives_and_damage():
+    records = [warc.record(k, f"http://x/{k}", (b"<html>%d the same page text" % k) * 60, None) for k in range(40)]
+    data = warc.archive(records)
+    assert data[:4] == b"\x5d\x2a\x4d\x18" and list(warc.frames(memoryview(data))) == records
+    few = warc.archive(records[:2])
+    assert few[:4] == b"\x28\xb5\x2f\xfd" and list(warc.frames(memoryview(few))) == records[:2]
+    with pytest.raises(ValueError):
+        list(warc.frames(memoryview(data[:-3])))
+    for bad in (records[0].replace(b"WARC/1.1", b"WARC/9.9"), records[0].replace(b"page text", b"page tixt"), records[0][:-1]):
+        with pytest.raises(ValueError):
+            warc.parse(bad)
+
+
+# 5: language model
+def test_kneser_ney_against_plain_sums(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(rng.randrange(0, 30))) for _ in range(60)] + [None, "", "Zz zz"]
+    rows = list(enumerate(texts))
+    train = documents(spark, [r for r in rows if r[0] % 4])
+    folder, model = lm.train(train)
+    got = {r.doc_id: r for r in lm.score(documents(spark, rows, clashing=True), folder, model).collect()}
+    seqs = {i: words(t) + ["</s>"] for i, t in rows}
+    pairs, tokens = Counter(), Counter()
+    for i, s in seqs.items():
+        if i % 4:
+            tokens.update(s)
+            pairs.update(zip(["<s>"] + s, s))
+    followers, before, total = defaultdict(Counter), Counter(), Counter()
+    for (u, w), c in pairs.items():
+        followers[u][min(c, 3)] += 1
+        before[w] += 1
+        total[u] += c
+    d = lm.discounts(*(sum(c == k for c in pairs.values()) for k in (1, 2, 3, 4)))
+    e = lm.discounts(*(sum(c == k for c in before.values()) for k in (1, 2, 3, 4)))
+    rest = sum(e[min(c, 3) - 1] for c in before.values())
+    N, V, C = sum(tokens.values()), len(tokens), len(pairs)
+
+    def low(w):
+        return ((max(before[w] - e[min(before[w], 3) - 1], 0) if before[w] else 0) + rest / (V + 1)) / C
+
+    def prob(u, w):
+        if not total[u]:
+            return low(w)
+        c = pairs[u, w]
+        gamma = sum(d[k - 1] * followers[u][k] for k in (1, 2, 3)) / total[u]
+        return (max(c - d[min(c, 3) - 1], 0) if c else 0) / total[u] + gamma * low(w)
+
+    assert abs(sum(low(w) for w in tokens) + rest / (V + 1) / C - 1) < 1e-9
+    for i, s in seqs.items():
+        r = got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(s), sum(tokens[w] > 0 for w in s), N)
+        assert math.isclose(r.base_score, sum(math.log10((tokens[w] + 1) / (N + V + 1)) for w in s), rel_tol=1e-9)
+        assert math.isclose(r.score, sum(math.log10(prob(u, w)) for u, w in zip(["<s>"] + s, s)), rel_tol=1e-9)
+
+
+def test_language_model_edges(spark):
+    folder, model = lm.train(documents(spark, []))
+    got = lm.score(documents(spark, odd_rows(), clashing=True), folder, model).collect()
+    assert len(got) == len(odd_rows()) and all(r.score == 0 == r.n_known for r in got)
+    assert lm.score(documents(spark, []), *lm.train(documents(spark, odd_rows()))).count() == 0
+
+
+# 6: line dedup
+def _plain_clean(rows, min_chars=40, min_docs=5):
+    strip = " \t\n\x0b\x0c\r"
+    key = lambda x: x.strip(strip).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    held = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            held[key(line)].add(-math.inf if i is None else i)
+    out = []
+    for i, t in rows:
+        own = -math.inf if i is None else i
+        all_ = (t or "").split("\n")
+        kept = [x for x in all_ if not (len(key(x)) >= min_chars and len(held[key(x)]) >= min_docs and own < max(held[key(x)]))]
+        out.append((i, "\n".join(kept), len(all_), len(all_) - len(kept)))
+    return Counter(out)
+
+
+def _line_rows():
+    shared = "This very line is shared by many of the documents here"
+    rows = [(k, f"own line {k} that is certainly long enough to count\n {shared.upper()}\t\n{shared}\nx") for k in range(6)]
+    return rows + [(None, shared), (None, None), (7, ""), (8, "\n\n"), (8, "\n\n"), (9, "é" * 39), (10, ("z" * 50 + "\n") * 6),
+                   *[(20 + k, "a short line") for k in range(9)]]
+
+
+def test_lines_against_plain(spark):
+    rows = _line_rows()
+    got = lines.dedup_lines(documents(spark, rows, clashing=True)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_lines", "n_dropped", "key")
+    assert Counter(tuple(r)[:4] for r in got.collect()) == _plain_clean(rows)
+    assert lines.dedup_lines(documents(spark, [])).count() == 0
+
+
+def test_line_index_is_reversible(spark):
+    rows = _line_rows()
+    first, second = documents(spark, rows[:4]), documents(spark, rows[4:])
+    index = lines.LineIndex(spark).insert(first)
+    before = index.clean(first).select("doc_id", "text").collect()
+    assert all(r.text == t for r, (_, t) in zip(sorted(before), sorted(rows[:4])))
+    index.insert(second)
+    everything = documents(spark, rows)
+    got = index.clean(everything).select("doc_id", F.coalesce("text", F.lit("")), "n_lines", "n_dropped").collect()
+    assert Counter(map(tuple, got)) == _plain_clean(rows)
+    index.delete(second.select("doc_id"))
+    assert sorted(index.clean(first).select("doc_id", "text").collect()) == sorted(before)
+
+
+def test_cuckoo_filter():
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 2**63, 30_000).astype(np.uint64)
+    own = lines.CuckooFilter.of(keys[:20_000])
+    assert own.contains(keys[:20_000]).all() and own.contains(keys[20_000:]).mean() < 0.01
+    own.delete(keys[:10_000])
+    assert own.contains(keys[10_000:20_000]).all() and own.contains(keys[:10_000]).mean() < 0.01
+    assert lines.CuckooFilter.read(own.blob()).contains(keys[10_000:20_000]).all()
+
+
+# 7: language ID
+def _language_rows():
+    rng = random.Random(8)
+    stems = {"en": "the of and ing tion whith ould", "de": "der die und schen ung ich keit", "fr": "les des eau tion aux que ment", "es": "los ción que ado mente ndo ella"}
+    rows = []
+    for k in range(240):
+        lang = list(stems)[k % 4]
+        rows.append((k, " ".join(rng.choice(stems[lang].split()) for _ in range(40)), lang, f"{lang}.example"))
+    return rows
+
+
+def test_language_fusion(spark):
+    rows = _language_rows() + [(900, "", "de", "de.example"), (901, None, None, "fr.example"), (902, "qzxj 0912 ~~~ 中文文中" * 30, None, None),
+                               (903, rows_text := "the of and ing tion " * 9, "fr", "fr.example"), (903, rows_text, "fr", "fr.example")]
+    docs = documents(spark, rows)
+    got = langid.identify(langid.of_documents(docs), ["doc_id"]).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) and all(by[k].lang == lang and not by[k].rejected for k, _, lang, _ in rows[:240])
+    assert by[900].lang == "de" and by[901].lang == "fr"            # no text: markup and host decide
+    assert by[902].rejected and by[903].text_lang == "en"
+    assert langid.identify(langid.of_documents(documents(spark, [])), ["doc_id"]).count() == 0
+
+
+def test_language_of_pages(spark):
+    pages = spark.createDataFrame([(1, "https://m.x.example.com/de/1?q=2", '<!DOCTYPE html><html class=a lang="de-AT"><script>var x="<p>";</script><p>Text'),
+                                   (2, None, None), (3, "http://y.fr", "<HTML LANG=fr>x")], "page_id long, url string, html string")
+    got = {r.page_id: r for r in langid.of_pages(pages).collect()}
+    assert (got[1].declared, got[1].suffix, got[1].host, got[1].site) == ("de", "de", "m.x.example.com", "example.com")
+    assert "var" not in got[1].text and "Text" in got[1].text
+    assert got[2].declared is None and (got[3].declared, got[3].suffix) == ("fr", "fr")
+
+
+# 8: nearest neighbours
+def test_neighbours_recall_ties_and_unusable_rows(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 16)).astype(np.float32) * rng.uniform(0.5, 2, (3000, 1)).astype(np.float32)
+    x[1000:1600] = x[1000]                                            # one large group of equal vectors
+    rows = [(k, [float(v) for v in row]) for k, row in enumerate(x)]
+    rows += [(5000, None), (5001, [0.0] * 16), (5002, [1.0, None] + [0.0] * 14), (5003, [float("nan")] * 16), (5004, [float("inf")] * 16), (5005, [1.0]), (None, rows[0][1]), rows[3]]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, rep int")
+    index = ann.build_index(df)
+    got = defaultdict(list)
+    for r in ann.search(index, df.where("vec_id % 50 = 0")).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert set(got) == set(range(0, 3000, 50))
+    exact = x.astype(np.float64)
+    hits = []
+    for q, found in got.items():
+        score = (exact * exact[q]).sum(1)
+        score[q] = -np.inf
+        want = np.lexsort((np.arange(3000), -np.round(score, 9)))[:20]
+        assert [r for r, _, _ in sorted(found)] == list(range(1, 21))
+        assert all(abs(score[v] - s) < 1e-9 for _, v, s in found)
+        hits.append(len({v for _, v, _ in found} & set(want.tolist())) / 20)
+    assert np.mean(hits) >= 0.9
+    assert {v for _, v, _ in got[1000]} == set(range(1001, 1021))
+
+
+def test_few_or_no_neighbours(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    got = ann.search(ann.build_index(df), df.where("vec_id = 1")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(2, 0.5), (3, 0.0)]
+    none = df.limit(0)
+    assert ann.search(ann.build_index(none), none).count() == 0
+
+
+# 9: decontamination
+def _leaks(docs, items, at_least=0.8):
+    sets = {i: shingle_set(t) for i, t in items if i is not None and words(t)}
+    held = Counter(s for own in sets.values() for s in own)
+    weight = lambda s: math.log1p(sum(i is not None for i, _ in items) / max(held[s], 1))
+    out = {}
+    for d, t in docs:
+        w = words(t)
+        for i, own in sets.items():
+            n = len(words(dict(items)[i]))
+            for k in range(max(0, len(w) - n + 1)):
+                if n < 5 and len(w) != n:
+                    continue
+                mine = shingle_set(" ".join(w[k:k + n]))
+                alike = sum(map(weight, mine & own)) / sum(map(weight, mine | own))
+                if alike >= at_least - 1e-12:
+                    out[d, i] = max(out.get((d, i), 0), alike)
+    return out
+
+
+def test_leaks_against_all_windows(spark):
+    rng = random.Random(9)
+    vocabulary = ["v%d" % k for k in range(300)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(9, 50)))) for k in range(25)]
+    items += [(50, items[3][1] + " and one more"), (51, "tiny item"), (52, None), (53, "")]
+    docs = []
+    for k in range(80):
+        text = [rng.choice(vocabulary) for _ in range(rng.randrange(60))]
+        if k % 2:
+            item = words(items[rng.randrange(25)][1])
+            if k % 4 == 1 and len(item) > 30:
+                item[rng.choice([0, 1, -1, len(item) // 2])] = "edited"
+            cut = rng.randrange(len(text) + 1)
+            text[cut:cut] = item
+        docs.append((k, "  ".join(text).upper() if k % 3 else " ".join(text)))
+    docs += [(200, None), (201, ""), (202, "Tiny item"), (203, "a tiny item here"), (204, items[0][1]), (204, items[0][1])]
+    got = decontaminate.find_leaks(documents(spark, docs, clashing=True), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = _leaks(docs, items)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    assert len(want) > 30 and (202, 51) in want and (203, 51) not in want
+    assert sum(r.doc_id == 204 and r.item_id == 0 for r in got) == 2
+
+
+def test_no_items_no_leaks(spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    odd = documents(spark, odd_rows())
+    assert decontaminate.find_leaks(odd, none).count() == 0
+    assert decontaminate.clean_documents(odd, none).count() == len(odd_rows())
+    some = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    assert decontaminate.find_leaks(documents(spark, []), some).count() == 0
+
+
+# 10: mixing
+def test_mix_reaches_targets(spark):
+    rng = random.Random(10)
+    rows = [(k, " ".join("w" for _ in range(rng.randrange(0, 900))), "en", rng.choice(["a", "a", "a", "a", "b", "é", None])) for k in range(400)]
+    rows += [(7, "twice the same", "en", "a")] * 2 + [(None, "no id", "en", "b"), (900, None, "en", "empty"), (901, "w " * 5000, "en", "b")]
+    got = mixing.mix(documents(spark, rows, clashing=True)).taken.collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in got) == Counter((i, s, len(words(t))) for i, t, _, s in rows)
+    sizes = Counter()
+    for _, t, _, s in rows:
+        sizes[s] += len(words(t))
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weights = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    targets, left = {}, 1.5 * sum(sizes.values())
+    rest = dict(weights)
+    while True:
+        level = left / sum(rest.values())
+        full = [s for s in rest if level * rest[s] > 2 * sizes[s]]
+        if not full:
+            break
+        for s in full:
+            targets[s] = 2.0 * sizes[s]
+            left -= targets[s]
+            del rest[s]
+    targets |= {s: level * w for s, w in rest.items()}
+    taken = Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source] and abs(r.target - targets[r.source]) < 1e-6 and r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - targets[s]) <= 1 for s in sizes)
+    again = mixing.mix(documents(spark, list(reversed(rows)))).taken.collect()
+    assert Counter((r.doc_id, r.taken) for r in again) == Counter((r.doc_id, r.taken) for r in got)
+    assert mixing.mix(documents(spark, [])).taken.count() == 0
+
+
+def test_mix_is_even_along_the_schedule(spark):
+    targets = spark.createDataFrame([("0a", 50_000, 3.0, 60_000.0), ("0b", 90_000, 1.0, 20_000.0), ("1", 70_000, 2.0, 40_000.0)],
+                                    "key string, source_size long, weight double, target double")
+    slots = mixing.slot_schedule(targets, 64).orderBy("place").collect()
+    seen, n = Counter(), 0
+    for slot in slots:
+        seen[slot.key] += 1
+        n += 1
+        assert abs(seen["0a"] - n / 2) < 12 and abs(seen["0b"] - n / 6) < 12
+    for key, target in (("0a", 60_000), ("0b", 20_000), ("1", 40_000)):
+        own = [s for s in slots if s.key == key]
+        assert sum(s.words for s in own) == target
+        assert [(s.epoch, s.block) for s in own] == sorted((s.epoch, s.block) for s in own)
