@@ -22,12 +22,12 @@ from leafmill.operators.pages import page_extract
 from leafmill.operators.search import postings, token_stats
 from leafmill.plans.flow import run_flow
 from leafmill.plans.queries import QUERIES
-from leafmill.plans.render import rendered_pages, spread
+from leafmill.plans.render import rendered_pages
 from leafmill.session import local_session
 
 HEADLINE = (
     "page_keys", "labelled_fields", "sub_entries", "notes_bullets", "cross_refs",
-    "assemble_global", "assemble_runs", "page_runs", "page_manifest", "key_pages", "speaker_runs",
+    "assemble_global", "assemble_runs", "page_runs", "page_manifest", "key_pages", "event_runs",
     "first_pages_ranked", "page_chunks", "row_ids", "table_frn", "table_frn_sub_entry",
     "table_frn_note", "table_frn_cross_reference", "table_frn_pdf", "upserted_search_text",
     "table_lookup", "json_roundtrip", "load_report", "duplicate_keys", "known_only", "orphans",
@@ -58,7 +58,7 @@ def main() -> None:
         .sortWithinPartitions("doc_id", "page_idx").write.parquet(page_path)
     pages = spark.read.parquet(page_path)
     n_pages = pages.count()
-    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(int(cpus))
     drain(page_extract(pages.limit(1000)))
 
     stages = {

@@ -91,7 +91,7 @@ def table_text(c: Column) -> Column:
 
 def base64_text(content: Column) -> Column:
     """Standard alphabet on one line."""
-    return F.regexp_replace(F.base64(content), r"\s", "")
+    return F.translate(F.base64(content), "\r\n", "")
 
 
 def file_stem(path: Column) -> Column:

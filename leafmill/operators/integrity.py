@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.session import settle
 from leafmill.spec import SHOWN_ERRORS, TABLE_RECORD
 
 
@@ -34,10 +35,10 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str,
 
 
 def _match(child, parent, child_key, parent_key, how) -> DataFrame:
-    # A NULL or empty key is no reference to anything, and NULL never matches.  Spark
-    # broadcasts the key side only below its size threshold; otherwise adaptive skew
-    # handling splits the child rows of a hot key.
-    keys = parent.select(F.col(parent_key or child_key).alias("_key"))
+    # A NULL or empty key is no reference to anything, and NULL never matches.  The key side
+    # is made distinct before its shuffle, so a hot parent key is one row; Spark broadcasts
+    # it only below its size threshold, and otherwise splits the child rows of a hot key.
+    keys = parent.select(F.col(parent_key or child_key).alias("_key")).distinct()
     return child.join(keys, child[child_key] == keys["_key"], how)
 
 
@@ -81,7 +82,8 @@ def blob_report(blobs: DataFrame, parent: DataFrame, key: str = "frn") -> DataFr
 
 def first_errors(rejects: DataFrame, message: str, k: int = SHOWN_ERRORS) -> DataFrame:
     """The first ``k`` messages and, if there are more, a row with the remaining number."""
-    shown = rejects.select(F.col(message).cast("string").alias("message")).orderBy("message").limit(k)
-    rest = rejects.agg((F.count("*") - k).alias("n")).filter("n > 0")
+    found = settle(rejects.select(F.col(message).cast("string").alias("message")))
+    shown = found.orderBy("message").limit(k)
+    rest = found.agg((F.count("*") - k).alias("n")).filter("n > 0")
     return shown.select("message", F.lit(None).cast("bigint").alias("n_more")).unionByName(
         rest.select(F.lit("... and more").alias("message"), F.col("n").alias("n_more")))

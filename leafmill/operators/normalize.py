@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leafmill.functions.search import with_full_text
 from leafmill.functions.text import base64_text, file_stem, table_text
 from leafmill.operators.ids import with_row_id
+from leafmill.operators.integrity import require_unique
 from leafmill.spec import (
     DEFAULT_SPEC, TABLE_BLOB, TABLE_NOTE, TABLE_RECORD, TABLE_SUB, TABLE_XREF, PageSpec,
 )
@@ -96,12 +97,15 @@ def cross_reference_table(records: DataFrame, *keep: str) -> DataFrame:
 def blob_rows(files: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(path, content)`` -> ``(frn, pdf64)``: key from the file name, content as text.
 
-    With ``known`` keys other blobs are dropped, before their content is encoded.
+    One blob per key, that of the lowest path.  With ``known`` keys other blobs are dropped.  Both
+    is decided on path and key alone, before any content is moved or encoded.
     """
-    keyed = files.select(file_stem(F.col("path")).alias("frn"), "content")
+    chosen = files.select(file_stem(F.col("path")).alias("frn"), "path")
     if known is not None:
-        keyed = keyed.join(known.select("frn"), "frn", "left_semi")
-    return keyed.select("frn", base64_text(F.col("content")).alias("pdf64"))
+        chosen = chosen.join(known.select("frn").distinct(), "frn", "left_semi")
+    chosen = chosen.groupBy("frn").agg(F.min("path").alias("path"))
+    return files.select("path", "content").join(chosen, "path").select(
+        "frn", base64_text(F.col("content")).alias("pdf64"))
 
 
 def tables(records: DataFrame, blobs: DataFrame | None = None, *keep: str,
@@ -129,7 +133,10 @@ def with_table_ids(made: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def upsert(current: DataFrame, changes: DataFrame, table: str, key: str = "frn") -> DataFrame:
-    """Rows of ``changes`` replace rows of the same key; search text is recomputed."""
+    """Rows of ``changes`` replace rows of the same key; only their search text is computed anew.
+
+    Fails if a key stands twice in ``changes``.
+    """
+    require_unique(changes, key)
     kept = current.join(changes.select(key), key, "left_anti")
-    merged = kept.unionByName(changes, allowMissingColumns=True)
-    return with_full_text(merged.drop("fullText"), table)
+    return kept.unionByName(with_full_text(changes.drop("fullText"), table), allowMissingColumns=True)

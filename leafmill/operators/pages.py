@@ -16,8 +16,6 @@ from leafmill.spec import DEFAULT_SPEC, FIRST_PAGES, PageSpec
 # Positions of a document that are kept together in joins.
 STRETCH = 65536
 
-# Largest rank Spark limits before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
 
 
 def non_empty(pages: DataFrame) -> DataFrame:
@@ -155,7 +153,10 @@ def with_chunk(pages: DataFrame, chunks: int, doc: str = "doc_id", pos: str = "p
         cut = pages.withColumn("_stretch", F.expr(f"`{pos}` DIV {STRETCH}"))
         ends = cut.groupBy(doc, "_stretch").agg(F.max(pos).alias("_end"))
         totals = ends.groupBy(doc).agg((F.max("_end") + 1).alias("_total"))
-        sized = cut.join(ends.join(totals, doc).drop("_end"), [doc, "_stretch"])
+        parts = ends.select(F.col(doc).alias("_doc"), F.col("_stretch").alias("_part"))
+        totals = totals.select(F.col(doc).alias("_total_doc"), "_total")
+        parts = parts.join(totals, F.col("_doc").eqNullSafe(F.col("_total_doc")))
+        sized = cut.join(parts, F.col(doc).eqNullSafe(F.col("_doc")) & F.col("_stretch").eqNullSafe(F.col("_part")))
     width = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_total") / F.lit(chunks)))
     return sized.select(*columns, F.floor(F.col(pos) / width).alias("chunk"))
 
@@ -164,31 +165,31 @@ def first_pages(pages: DataFrame, n: int = FIRST_PAGES, doc: str = "doc_id",
                 pos: str = "page_idx", dense: bool = True) -> DataFrame:
     """First ``n`` pages of every document.
 
-    With dense indices this is a pushed-down filter.  Otherwise pages are ranked.  Up to
-    ``GROUP_LIMIT`` pages, Spark keeps at most ``n`` rows per document and task before the
-    shuffle; beyond that the rank is counted by stretches of the document.
+    With dense indices this is a pushed-down filter.  Otherwise the rank is counted by
+    stretches of positions: whole stretches in front of the limit stay as they are, and only the one
+    that holds it is ranked, on document and position alone.  Pages without a position are never
+    among the first; a NULL document is a document of its own.
     """
     if dense:
         return pages.filter(F.col(pos) < n)
-    if n > GROUP_LIMIT:
-        return _first_by_stretch(pages, n, doc, pos)
-    rank = F.row_number().over(Window.partitionBy(doc).orderBy(pos))
-    return pages.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
-
-
-def _first_by_stretch(pages: DataFrame, n: int, doc: str, pos: str) -> DataFrame:
-    """Rank = rows in earlier stretches + place in the own one; no window over a document's
-    rows, only over its one count per stretch."""
-    cut = pages.withColumn("_stretch", F.expr(f"`{pos}` DIV {STRETCH}"))
+    cut = pages.filter(F.col(pos).isNotNull()).withColumn("_stretch", F.expr(f"`{pos}` DIV {STRETCH}"))
     earlier = Window.partitionBy(doc).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
+    open_ = (
         cut.groupBy(doc, "_stretch").agg(F.count("*").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .filter(F.col("_before") < n).drop("_n")
+        .filter(F.col("_before") < n)
+        .select(F.col(doc).alias("_doc"), F.col("_stretch").alias("_part"), "_n", "_before")
+    )
+    here = F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_stretch") == F.col("_part"))
+    place = F.row_number().over(Window.partitionBy("_doc", "_part").orderBy(pos))
+    last = (
+        cut.select(doc, pos, "_stretch").join(open_.filter(F.col("_before") + F.col("_n") > n), here)
+        .withColumn("_place", place + F.col("_before")).filter(F.col("_place") == n)
+        .select(F.col("_doc").alias("_last_doc"), F.col("_part").alias("_last_part"), F.col(pos).alias("_last_pos"))
     )
-    place = F.row_number().over(Window.partitionBy(doc, "_stretch").orderBy(pos))
-    ranked = cut.join(before, [doc, "_stretch"]).withColumn("_rank", F.col("_before") + place)
-    return ranked.filter(F.col("_rank") <= n).select(*pages.columns)
+    limits = open_.join(last, F.col("_doc").eqNullSafe(F.col("_last_doc")) & (F.col("_part") == F.col("_last_part")), "left")
+    kept = cut.join(limits.select("_doc", "_part", "_last_pos"), here)
+    return kept.filter(F.col("_last_pos").isNull() | (F.col(pos) <= F.col("_last_pos"))).select(*pages.columns)
 
 
 def union_pages(*parts: DataFrame) -> DataFrame:

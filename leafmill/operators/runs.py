@@ -3,8 +3,8 @@
 A window over a whole document would put a huge document into one task.  Here the
 document is cut into blocks of positions; windows work inside a block, one summary
 row per block is carried over between blocks, and the summaries are themselves scanned
-the same way, so that no window group grows beyond ``block`` rows.  Two levels of
-summaries serve documents of ``block ** 3`` positions.
+the same way, so that no window group grows beyond ``block`` rows.  The number of levels
+follows the largest position; the result does not depend on it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,20 @@ from pyspark.sql import functions as F
 from leafmill.session import settle
 
 BLOCK = 4096
-LEVELS = 2
+NO_KEY = ""
+
+
+def _known(key: str) -> Column:
+    """Keys as compared here: NULL is NO_KEY, and no key, '' included, equals it."""
+    return F.when(F.col(key).isNull(), NO_KEY).otherwise(F.concat(F.lit("k"), F.col(key).cast("string")))
+
+
+def levels_for(largest: int | None, block: int = BLOCK) -> int:
+    """Summary levels above the items, so that the top window has at most ``block`` rows."""
+    levels, rest = 0, largest or 0
+    while rest >= block:
+        levels, rest = levels + 1, rest // block
+    return levels
 
 
 def _scan(items: DataFrame, doc: str, block: int, levels: int) -> DataFrame:
@@ -27,7 +40,7 @@ def _scan(items: DataFrame, doc: str, block: int, levels: int) -> DataFrame:
     if levels == 0:
         w = Window.partitionBy(doc).orderBy("_ord")
         return (
-            items.withColumn("_prev_key", F.coalesce(F.lag("_last_key").over(w), F.lit("")))
+            items.withColumn("_prev_key", F.coalesce(F.lag("_last_key").over(w), F.lit(NO_KEY)))
             .withColumn("_start", _start("_prev_key"))
             .withColumn("_open_start", _latest_before("_start", w))
             .drop("_start")
@@ -46,14 +59,14 @@ def _scan(items: DataFrame, doc: str, block: int, levels: int) -> DataFrame:
     )
     # One row per block: settled, so that the levels above do not read the items again.
     carried = _scan(settle(blocks), doc, block, levels - 1).select(
-        doc, F.col("_ord").alias("_block"),
+        F.col(doc).alias("_up_doc"), F.col("_ord").alias("_up_block"),
         F.col("_prev_key").alias("_up_key"), F.col("_open_start").alias("_up_start"))
     return (
-        local.join(carried, [doc, "_block"])
+        local.join(carried, F.col(doc).eqNullSafe(F.col("_up_doc")) & F.col("_block").eqNullSafe(F.col("_up_block")))
         .withColumn("_prev_key", F.coalesce("_lag_key", "_up_key"))
         .withColumn("_start", _start("_prev_key"))
         .withColumn("_open_start", F.coalesce(_latest_before("_start", w), "_up_start"))
-        .drop("_block", "_lag_key", "_up_key", "_up_start", "_start")
+        .drop("_block", "_lag_key", "_up_doc", "_up_block", "_up_key", "_up_start", "_start")
     )
 
 
@@ -67,19 +80,22 @@ def _start(prev: str) -> Column:
 
 
 def with_run_start(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "page_idx",
-                   block: int = BLOCK, levels: int = LEVELS) -> DataFrame:
+                   block: int = BLOCK, levels: int | None = None) -> DataFrame:
     """Add ``run_start``, the position of the first row of the row's run.
 
     NULL keys end a run and belong to none (``run_start`` is NULL).  To let such rows be
     passed over instead, filter them out first.  Positions are unique within a document.
-    The input is read twice, first for (document, position, key) only; settle or stage it
-    where that is expensive.
+    Rows of a NULL document are a document of their own; a NULL position comes first.
+    The input is read for (document, position, key) more than once; settle or stage it where
+    that is expensive.  ``levels`` is derived from the largest position unless given.
     """
     columns = df.columns
+    if levels is None:
+        levels = levels_for(df.agg(F.max(pos)).first()[0], block)
     items = df.select(
         "*", F.col(pos).alias("_ord"), F.col(pos).alias("_first_pos"),
-        F.coalesce(F.col(key), F.lit("")).alias("_first_key"),
-        F.coalesce(F.col(key), F.lit("")).alias("_last_key"),
+        _known(key).alias("_first_key"),
+        _known(key).alias("_last_key"),
         F.lit(None).cast("bigint").alias("_inner"),
     )
     start = F.coalesce(_start("_prev_key"), F.col("_open_start"))
@@ -88,7 +104,7 @@ def with_run_start(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "pag
 
 
 def runs(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "page_idx",
-         block: int = BLOCK, levels: int = LEVELS) -> DataFrame:
+         block: int = BLOCK, levels: int | None = None) -> DataFrame:
     """One row per run: key, first and last position, number of rows."""
     narrow = df.select(doc, pos, key)
     return (

@@ -16,9 +16,16 @@ from leafmill.spec import SEARCH_DASH, SEARCH_DROPPED
 FORWARD, MIRRORED = "f", "m"
 
 
-def postings(df: DataFrame, key: str, full_text: str = "fullText",
+def _keys(key: str | list[str] | tuple[str, ...]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def postings(df: DataFrame, key: str | list[str] | tuple[str, ...], full_text: str = "fullText",
              mirrored: bool = True) -> DataFrame:
-    """``(token, side, key)``: distinct tokens per row, both reading directions."""
+    """``(token, side, *key)``: distinct tokens per row, both reading directions.
+
+    ``key`` is one column or several that identify a row together.
+    """
     text = F.col(full_text)
     sides = [(FORWARD, forward_half(text))]
     if mirrored:
@@ -27,8 +34,8 @@ def postings(df: DataFrame, key: str, full_text: str = "fullText",
                         for s, t in sides])
     # Outer generation: see the note on exploding computed arrays in normalize.
     return (
-        df.select(key, F.explode_outer(entries).alias("e"))
-        .select(F.explode_outer("e.tokens").alias("token"), F.col("e.side").alias("side"), key)
+        df.select(*_keys(key), F.explode_outer(entries).alias("e"))
+        .select(F.explode_outer("e.tokens").alias("token"), F.col("e.side").alias("side"), *_keys(key))
         .filter(F.col("token").isNotNull())
     )
 
@@ -41,7 +48,7 @@ def token_stats(posted: DataFrame, key: str) -> DataFrame:
 
 def write_postings(posted: DataFrame, path: str, partitions: int | None = None) -> None:
     """Token order on disk, so a token lookup reads few row groups; hot tokens span files."""
-    order = ["side", "token", posted.columns[-1]]
+    order = ["side", "token", *[c for c in posted.columns if c not in ("side", "token")]]
     ranged = (posted.repartitionByRange(partitions, *order) if partitions
               else posted.repartitionByRange(*order))
     ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
@@ -58,8 +65,14 @@ def _quoted(term: str) -> str:
 
 
 def term_search(df: DataFrame, query: str, full_text: str = "fullText") -> DataFrame:
-    """Rows holding every term of the query: a filter on the scan, no shuffle."""
-    every = "".join(rf"(?=.*?{_quoted(t)}(?:[ \n]|\z))" for t in query_terms(query))
+    """Rows holding every term of the query: a filter on the scan, no shuffle.
+
+    A query without terms finds nothing.
+    """
+    terms = query_terms(query)
+    if not terms:
+        return df.filter(F.lit(False))
+    every = "".join(rf"(?=.*?{_quoted(t)}(?:[ \n]|\z))" for t in terms)
     return df.filter(F.lower(forward_half(F.col(full_text))).rlike(rf"(?s)\A{every}"))
 
 
@@ -82,23 +95,27 @@ def suffix_search(df: DataFrame, suffix: str, full_text: str = "fullText") -> Da
     return df.filter(F.lower(mirrored_half(F.col(full_text))).rlike(pattern))
 
 
-def term_lookup(posted: DataFrame, query: str, key: str) -> DataFrame:
-    """Keys holding every term, from the stored postings: reads only the terms' rows."""
+def term_lookup(posted: DataFrame, query: str, key: str | list[str] | tuple[str, ...]) -> DataFrame:
+    """Row keys holding every term, from the stored postings: reads only the terms' rows.
+
+    Distinct terms are counted, so it does not matter how many rows share a key.
+    """
     terms = query_terms(query)
-    hits = posted.filter((F.col("side") == FORWARD) & F.col("token").isin(terms))
-    return hits.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") == len(terms)).drop("_n")
+    hits = posted.filter((F.col("side") == FORWARD) & F.col("token").isin(terms)).select("token", *_keys(key)).distinct()
+    found = hits.groupBy(*_keys(key)).agg(F.count("*").alias("_n"))
+    return found.filter((F.col("_n") == len(terms)) & F.lit(bool(terms))).drop("_n")
 
 
-def prefix_lookup(posted: DataFrame, prefix: str, key: str) -> DataFrame:
+def prefix_lookup(posted: DataFrame, prefix: str, key: str | list[str] | tuple[str, ...]) -> DataFrame:
     term = _single_term(prefix)
     return posted.filter(
-        (F.col("side") == FORWARD) & F.col("token").startswith(term)).select(key).distinct()
+        (F.col("side") == FORWARD) & F.col("token").startswith(term)).select(*_keys(key)).distinct()
 
 
-def suffix_lookup(posted: DataFrame, suffix: str, key: str) -> DataFrame:
+def suffix_lookup(posted: DataFrame, suffix: str, key: str | list[str] | tuple[str, ...]) -> DataFrame:
     term = _single_term(suffix)[::-1]
     return posted.filter(
-        (F.col("side") == MIRRORED) & F.col("token").startswith(term)).select(key).distinct()
+        (F.col("side") == MIRRORED) & F.col("token").startswith(term)).select(*_keys(key)).distinct()
 
 
 def lookup(df: DataFrame, **equals: str) -> DataFrame:

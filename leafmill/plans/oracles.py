@@ -82,10 +82,9 @@ def _with(*parts: str) -> str:
 
 def _dropped(text: str) -> str:
     """Search-text cleaning in SQL: dash word, dropped characters, trimmed blanks."""
-    from leafmill.spec import SEARCH_DASH, SEARCH_DROPPED
-
-    chars = SEARCH_DROPPED.replace("'", "''")
-    return f"trim(translate(replace({text}, '-', '{SEARCH_DASH}'), '{chars}', ''), ' ')"
+    # the dash word and the dropped characters, stated here independently of the engine's list
+    chars = "()[]{}.,;:/|!?@#$%^&*+=~`\"''<>"
+    return f"trim(translate(replace({text}, '-', 'DSH'), '{chars}', ''), ' ')"
 
 
 def _full(text: str) -> str:
@@ -99,7 +98,7 @@ def _tokens(cleaned: str) -> str:
 
 # ------------------------------------------------------------------- pages
 ORACLES["paged_text"] = """
-SELECT CAST(doc_id AS VARCHAR) AS doc_id, page_idx, CAST(length(t) AS INTEGER) AS n_chars FROM (
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, page_idx, md5(t) AS text_md5 FROM (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS t,
     unnest(range(0, len(string_split(text, chr(10))))) AS page_idx FROM documents) WHERE t <> ''"""
 
@@ -187,10 +186,13 @@ lr AS (SELECT * FROM rn QUALIFY row_number() OVER (PARTITION BY doc_id, frn ORDE
 _RUNS = _with(BASE, PARENT_PAGES, KEYED)
 ORACLES["page_runs"] = _RUNS + "SELECT doc_id, frn, run_start, run_end, n_pages FROM rn"
 ORACLES["last_runs"] = _RUNS + "SELECT doc_id, frn, run_start, run_end, n_pages FROM lr"
-ORACLES["page_manifest"] = _RUNS + """
-SELECT doc_id, frn, run_start, CAST(0 AS BIGINT) AS part, n_pages, page_indices FROM lr"""
-ORACLES["page_manifest_all_runs"] = _RUNS + """
-SELECT doc_id, frn, run_start, CAST(0 AS BIGINT) AS part, n_pages, page_indices FROM rn"""
+_LISTS = """
+SELECT doc_id, frn, run_start, (page_idx - run_start) // 2 AS part, count(*) AS n_pages,
+  string_agg(CAST(page_idx AS VARCHAR), ',' ORDER BY page_idx) AS page_indices
+FROM kp JOIN {runs} g ON kp.doc_id = g.doc_id AND kp.ks = g.frn AND kp.r = g.r
+GROUP BY kp.doc_id, g.doc_id, frn, run_start, part"""
+ORACLES["page_manifest"] = _RUNS + _LISTS.format(runs="lr").replace("SELECT doc_id", "SELECT kp.doc_id")
+ORACLES["page_manifest_all_runs"] = _RUNS + _LISTS.format(runs="rn").replace("SELECT doc_id", "SELECT kp.doc_id")
 ORACLES["key_pages"] = _RUNS + """
 SELECT kp.doc_id, frn, run_start, page_idx,
   CASE page_idx % 8 WHEN 0 THEN 'Header of volume ' || kp.doc_id
@@ -198,26 +200,33 @@ SELECT kp.doc_id, frn, run_start, page_idx,
     ELSE 'Firearm Reference Number (FRN): ' || frn || ' - 1' END AS first_line
 FROM kp JOIN lr ON kp.doc_id = lr.doc_id AND kp.ks = lr.frn AND kp.r = lr.r"""
 
-ORACLES["speaker_runs"] = """
-SELECT conv_id, role, min(turn) AS run_start, max(turn) AS run_end, count(*) AS n_turns FROM (
-  SELECT *, sum(c) OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM (
-    SELECT *, CASE WHEN role IS NOT DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn)
-      THEN 0 ELSE 1 END AS c FROM conversations))
-GROUP BY conv_id, role, r"""
+ORACLES["event_runs"] = """
+WITH e AS (
+  SELECT event_id // 5000 AS part, event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 < 2 THEN ''
+    ELSE event_type[1] END AS kind FROM events
+), c AS (
+  SELECT *, CASE WHEN kind IS NOT DISTINCT FROM lag(kind) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS c
+  FROM e WINDOW w AS (PARTITION BY part ORDER BY event_id)
+), r AS (SELECT *, sum(c) OVER (PARTITION BY part ORDER BY event_id) AS r FROM c)
+SELECT part, kind, min(event_id) AS run_start, max(event_id) AS run_end, count(*) AS n_events
+FROM r WHERE kind IS NOT NULL GROUP BY part, kind, r"""
 
 # ------------------------------------------------------------ ranges, order
 ORACLES["first_pages"] = "SELECT conv_id, turn, role FROM conversations WHERE turn < 3"
 ORACLES["first_pages_ranked"] = """
 SELECT lang, doc_id, n_chars FROM documents
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 100"""
+ORACLES["first_events_ranked"] = """
+SELECT event_type, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) <= 1500"""
 ORACLES["page_range"] = "SELECT conv_id, turn, role FROM conversations WHERE turn >= 1 AND turn < 4"
 ORACLES["page_chunks"] = """
 SELECT conv_id, turn, CAST(floor(turn / greatest(1, ceil(
   (max(turn) OVER (PARTITION BY conv_id) + 1) / 3))) AS BIGINT) AS chunk FROM conversations"""
 ORACLES["union_pages"] = """
-SELECT 'd' || doc_id AS doc_id, CAST(0 AS BIGINT) AS page_idx, lang, CAST(length(text) AS INTEGER) AS n_chars
+SELECT 'd' || doc_id AS doc_id, CAST(0 AS BIGINT) AS page_idx, lang, md5(text) AS text_md5
 FROM documents
-UNION ALL SELECT 'c' || conv_id, turn, NULL, CAST(length(text) AS INTEGER) FROM conversations"""
+UNION ALL SELECT 'c' || conv_id, turn, NULL, md5(text) FROM conversations"""
 ORACLES["row_ids"] = """
 SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id, o_orderkey FROM orders"""
 
@@ -333,6 +342,15 @@ SELECT DISTINCT p_partkey FROM p WHERE side = 'f' AND token LIKE 'brand1%'"""
 ORACLES["suffix_lookup"] = _PART_P + """
 SELECT DISTINCT p_partkey FROM p WHERE side = 'f' AND token LIKE '%ing'"""
 
+
+_NOTE_P = _with(BASE, NOTES, _postings("ks, note_key, bullet_index", "note_value || ' ' || bullet_index", "nt"))
+_NOTE_KEY = "SELECT DISTINCT ks AS frn, note_key, bullet_index FROM p"
+ORACLES["note_term_lookup"] = _NOTE_P + """
+SELECT ks AS frn, note_key, bullet_index FROM p WHERE side = 'f' AND token IN ('bullet', 'of', 'tail')
+GROUP BY ALL HAVING count(DISTINCT token) = 3"""
+ORACLES["note_prefix_lookup"] = _NOTE_P + _NOTE_KEY + " WHERE side = 'f' AND token LIKE 'mark%'"
+ORACLES["note_suffix_lookup"] = _NOTE_P + _NOTE_KEY + " WHERE side = 'f' AND token LIKE '%ail'"
+
 # ------------------------------------------------------------------- links
 _LINKS = r"""
 WITH l AS (

@@ -13,7 +13,7 @@ from leafmill.operators import (
     assemble, ids, integrity, manifest, normalize, pages, runs, search,
 )
 from leafmill.plans.flow import run_flow
-from leafmill.plans.render import line_pages, rendered_pages, spread, table
+from leafmill.plans.render import line_pages, rendered_pages, table
 from leafmill.session import scratch_path, settle
 from leafmill.sources.pages import split_pages
 from leafmill.sources.records import read_records, write_records
@@ -43,20 +43,20 @@ def _records(spark, sf, mode="global"):
 # ------------------------------------------------------------------- pages
 @query
 def paged_text(spark, sf):
-    docs = spread(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
     split = split_pages(docs, separator="\n")
-    return pages.non_empty(split).select("doc_id", "page_idx", F.length("text").alias("n_chars"))
+    return pages.non_empty(split).select("doc_id", "page_idx", F.md5("text").alias("text_md5"))
 
 
 @query
 def text_lines(spark, sf):
-    lines = pages.text_lines(spread(table(spark, sf, "documents")), "doc_id")
+    lines = pages.text_lines(table(spark, sf, "documents"), "doc_id")
     return lines.select("doc_id", "line_idx", F.md5("line").alias("line_md5"))
 
 
 @query
 def page_head(spark, sf):
-    return spread(table(spark, sf, "documents")).select(
+    return table(spark, sf, "documents").select(
         "doc_id", text.head(F.col("text"), DEFAULT_SPEC.head_chars).alias("head"))
 
 
@@ -115,7 +115,7 @@ def camel_case(spark, sf):
 
 @query
 def whitespace_collapse(spark, sf):
-    return spread(table(spark, sf, "documents")).select(
+    return table(spark, sf, "documents").select(
         "doc_id", F.md5(text.collapse(F.col("text"))).alias("collapsed_md5"))
 
 
@@ -156,7 +156,7 @@ def last_runs(spark, sf):
 
 
 def _manifest(spark, sf, last_only):
-    return manifest.page_manifest(rendered_pages(spark, sf), last_only=last_only).select(
+    return manifest.page_manifest(rendered_pages(spark, sf), last_only=last_only, part=2).select(
         "doc_id", "frn", "run_start", "part", "n_pages",
         _joined("page_indices").alias("page_indices"))
 
@@ -180,9 +180,14 @@ def key_pages(spark, sf):
 
 
 @query
-def speaker_runs(spark, sf):
-    return runs.runs(table(spark, sf, "conversations"), "role", doc="conv_id", pos="turn").select(
-        "conv_id", "role", "run_start", "run_end", F.col("n_pages").alias("n_turns"))
+def event_runs(spark, sf):
+    """Runs of event types in blocks of 5,000 events; some keys are NULL and some are ''."""
+    key = F.when(F.col("event_id") % 7 == 0, None).when(F.col("event_id") % 5 < 2, "").otherwise(
+        F.substring("event_type", 1, 1))
+    events = table(spark, sf, "events").select(
+        F.expr("event_id DIV 5000").alias("part"), "event_id", key.alias("kind"))
+    return runs.runs(events, "kind", doc="part", pos="event_id", block=16).select(
+        "part", "kind", "run_start", "run_end", F.col("n_pages").alias("n_events"))
 
 
 # ------------------------------------------------------------ ranges, order
@@ -199,6 +204,13 @@ def first_pages_ranked(spark, sf):
     ).select("lang", "doc_id", "n_chars")
 
 
+@query
+def first_events_ranked(spark, sf):
+    return pages.first_pages(
+        table(spark, sf, "events"), 1500, doc="event_type", pos="event_id", dense=False,
+    ).select("event_type", "event_id")
+
+
 @query
 def page_range(spark, sf):
     return pages.page_range(table(spark, sf, "conversations"), 1, 4, pos="turn").select(
@@ -220,7 +232,7 @@ def union_pages(spark, sf):
     turns = table(spark, sf, "conversations").select(
         F.concat(F.lit("c"), "conv_id").alias("doc_id"), F.col("turn").alias("page_idx"), "text")
     both = pages.in_document_order(pages.union_pages(docs, turns))
-    return both.select("doc_id", "page_idx", "lang", F.length("text").alias("n_chars"))
+    return both.select("doc_id", "page_idx", "lang", F.md5("text").alias("text_md5"))
 
 
 @query
@@ -307,7 +319,7 @@ def table_lookup(spark, sf):
 def json_roundtrip(spark, sf):
     folder = scratch_path(spark, "json_roundtrip")
     write_records(settle(_records(spark, sf)), folder)
-    return normalize.note_table(read_records(spark, folder))
+    return normalize.note_table(read_records(spark, folder, "lines"))
 
 
 @query
@@ -386,13 +398,13 @@ def search_text_sql(spark, sf):
 
 @query
 def search_text(spark, sf):
-    return search_text_of(spread(table(spark, sf, "documents")), "text").select(
+    return search_text_of(table(spark, sf, "documents"), "text").select(
         "doc_id", F.md5("fullText").alias("full_text_md5"))
 
 
 def _searchable_documents(spark, sf):
     """The search text is a stored column, so it is settled before it is searched."""
-    return settle(search_text_of(spread(table(spark, sf, "documents")).select("doc_id", "lang", "text"), "text")
+    return settle(search_text_of(table(spark, sf, "documents").select("doc_id", "lang", "text"), "text")
                   .drop("text"))
 
 
@@ -445,13 +457,38 @@ def suffix_lookup(spark, sf):
     return search.suffix_lookup(posted, "ing", "p_partkey")
 
 
+NOTE_KEY = ("frn", "note_key", "bullet_index")
+
+
+def _stored_note_postings(spark, sf):
+    """Postings of the note table, written in token order and read back."""
+    folder = scratch_path(spark, "note_postings")
+    search.write_postings(search.postings(normalize.note_table(_records(spark, sf)), NOTE_KEY), folder)
+    return spark.read.parquet(folder)
+
+
+@query
+def note_term_lookup(spark, sf):
+    return search.term_lookup(_stored_note_postings(spark, sf), "Bullet of; tail", NOTE_KEY)
+
+
+@query
+def note_prefix_lookup(spark, sf):
+    return search.prefix_lookup(_stored_note_postings(spark, sf), "Mark", NOTE_KEY)
+
+
+@query
+def note_suffix_lookup(spark, sf):
+    return search.suffix_lookup(_stored_note_postings(spark, sf), "ail", NOTE_KEY)
+
+
 # ------------------------------------------------------------------- links
 LINK_NAME = r"[A-Za-z]{4,}\.?"
 
 
 @query
 def html_links(spark, sf):
-    found = spread(table(spark, sf, "pages")).select(
+    found = table(spark, sf, "pages").select(
         "page_id", "url", F.posexplode_outer(links.matching_links(F.col("html"), LINK_NAME)).alias("pos", "href"))
     return found.filter(F.col("pos").isNotNull()).select(
         "page_id", "pos", "href", links.file_name(F.col("href")).alias("file_name"),
@@ -460,7 +497,7 @@ def html_links(spark, sf):
 
 @query
 def first_link(spark, sf):
-    found = spread(table(spark, sf, "pages")).select(
+    found = table(spark, sf, "pages").select(
         "page_id", "url", links.first_link(F.col("html"), LINK_NAME).alias("href"))
     return found.select(
         "page_id", "href", links.absolute_url(F.col("href"), F.col("url")).alias("abs_url"))

@@ -107,22 +107,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give text work at least one task per core where a small scan has fewer splits.
-
-    A table of more splits than cores, as any large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BASE_SQL, **_dims(spark, sf_dir))
 
 
 def _dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     dims = {n: table(spark, sf_dir, n) for n in ("customer", "nation", "region")}
-    return {"orders": spread(table(spark, sf_dir, "orders")), **dims}
+    return {"orders": table(spark, sf_dir, "orders").repartition("o_orderkey"), **dims}
 
 
 def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,4 +122,4 @@ def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
-        LINE_PAGES_SQL, lineitem=spread(table(spark, sf_dir, "lineitem")), part=table(spark, sf_dir, "part"))
+        LINE_PAGES_SQL, lineitem=table(spark, sf_dir, "lineitem").repartition("l_orderkey", "l_linenumber"), part=table(spark, sf_dir, "part"))

@@ -1,4 +1,4 @@
-"""Session settings, and the shared folder for checkpoints and scratch tables."""
+"""Session settings, and the shared folder for stage tables."""
 
 from __future__ import annotations
 
@@ -21,22 +21,24 @@ def local_session(app: str = "leafmill", cores: int | str = "*", memory: str = "
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder of the session; a temporary one only where none is set (tests)."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share; a temporary one stands in on a local master only."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="run-")
+        spark.sparkContext.setCheckpointDir(path)
+    return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a stage table, in the folder all executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: written once to the shared folder, read by all later uses."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def settle(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Stage table: written once to the shared folder, read by all later uses, column by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import links, text
 from leafmill.functions.search import register_functions, search_text_of, tokens, with_full_text
-from leafmill.operators import assemble, ids, integrity, manifest, normalize, pages, search
+from leafmill import session
+from leafmill.operators import assemble, ids, integrity, manifest, normalize, pages, runs, search
 from leafmill.plans.render import rendered_pages
 from leafmill.sources.tables import read_table, write_table
 from leafmill.spec import LINK_FILE_PATTERN, TABLE_NOTE, TABLE_RECORD
@@ -222,6 +223,101 @@ def test_hot_document_is_not_one_window_group(stored_pages):
     assert "_block" in text_plan.split("Window", 1)[1]
 
 
-def test_ranked_first_pages_are_limited_before_the_shuffle(stored_pages):
+def test_first_pages_rank_positions_without_text(stored_pages):
     text_plan = plan(pages.first_pages(stored_pages, 10, dense=False))
-    assert text_plan.count("WindowGroupLimit") == 2
+    window = text_plan.split("Window [row_number()", 1)[1]
+    assert "text#" not in window.split("Scan parquet", 1)[0]
+
+
+@pytest.mark.parametrize("n", [1, 2, 999, 1000, 1001, 70_000])
+def test_first_pages_are_the_same_rule_for_every_n(spark, n):
+    rows = [("d", 3 * k) for k in range(1500)] + [("d", 200_000), ("d", None), (None, 5), (None, 4), (None, None), ("e", 131_072)]
+    df = spark.createDataFrame(rows, "doc_id string, page_idx long")
+    want = set()
+    for doc in ("d", None, "e"):
+        own = sorted(p for d, p in rows if d == doc and p is not None)
+        want |= {(doc, p) for p in own[:n]}
+    got = [tuple(r) for r in pages.first_pages(df, n, dense=False).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_chunks_keep_rows_of_no_document_or_position(spark):
+    df = spark.createDataFrame([("d", 0), ("d", None), (None, 1)], "doc_id string, page_idx long")
+    assert pages.with_chunk(df, 2).count() == 3
+
+
+def test_empty_keys_are_keys(spark):
+    rows = [("d", 0, "a"), ("d", 1, None), ("d", 2, ""), ("d", 3, ""), ("e", 0, ""), ("e", 1, "x")]
+    df = spark.createDataFrame(rows, "doc_id string, page_idx long, k string")
+    for block in (2, 4096):
+        got = {(r.doc_id, r.page_idx): r.run_start for r in runs.with_run_start(df, "k", block=block).collect()}
+        assert got == {("d", 0): 0, ("d", 1): None, ("d", 2): 2, ("d", 3): 2, ("e", 0): 0, ("e", 1): 1}
+
+
+def test_levels_follow_the_largest_position():
+    assert [runs.levels_for(x, 4) for x in (None, 0, 3, 4, 15, 16, 64)] == [0, 0, 0, 1, 1, 2, 3]
+
+
+def test_page_lists_of_alternating_keys_are_linear(spark):
+    df = spark.range(600).select(F.lit("d").alias("doc_id"), F.col("id").alias("page_idx"),
+                                 F.concat(F.lit("Firearm Reference Number (FRN): "), F.col("id") % 2 + 1).alias("text"))
+    made = manifest.page_manifest(df, last_only=False)
+    assert made.count() == 600 and "Join" not in plan(made).split("page_indices", 1)[0]
+    assert manifest.page_manifest(df).select("page_indices").collect() is not None
+    assert {tuple(r.page_indices) for r in manifest.page_manifest(df).collect()} == {(598,), (599,)}
+
+
+def test_lookups_on_keys_of_several_rows(spark):
+    df = search_text_of(spark.createDataFrame([("1", "red steel"), ("1", "red brass"), ("2", "red blue")], "id string, t string"), "t")
+    posted = search.postings(df, "id")
+    find = lambda q: sorted(r["id"] for r in search.term_lookup(posted, q, "id").collect())
+    assert find("red blue") == ["2"] and find("red") == ["1", "2"] and find("steel brass") == ["1"] and find("?!") == []
+    assert search.term_search(df, "?!").count() == 0
+    by_row = search.postings(df.withColumn("n", F.monotonically_increasing_id()), ["id", "n"])
+    assert search.term_lookup(by_row, "steel brass", ["id", "n"]).count() == 0
+
+
+def test_parent_keys_are_reduced_before_the_shuffle(spark):
+    parent = spark.range(1000).select((F.col("id") % 3).alias("k"))
+    text_plan = plan(integrity.known_only(spark.range(10).withColumnRenamed("id", "k"), parent, "k"))
+    assert "HashAggregate(keys=[_key" in text_plan
+
+
+def test_first_blob_of_a_key_wins(spark):
+    files = spark.createDataFrame([("/b/1.pdf", b"two"), ("/a/1.pdf", b"one"), ("/a/9.pdf", b"x")], "path string, content binary")
+    known = spark.createDataFrame([("1",), ("1",)], "frn string")
+    assert [tuple(r) for r in normalize.blob_rows(files, known).collect()] == [("1", "b25l")]
+
+
+def test_upsert_refuses_a_key_twice(spark):
+    current = with_full_text(spark.createDataFrame([("1", "a", 0)], "frn string, note_value string, bullet_index int"), TABLE_NOTE)
+    twice = spark.createDataFrame([("1", "b", 0), ("1", "c", 0)], "frn string, note_value string, bullet_index int")
+    with pytest.raises(ValueError, match="duplicate key"):
+        normalize.upsert(current, twice, TABLE_NOTE)
+
+
+def test_key_lookup_skips_files(spark, tmp_path):
+    df = spark.range(0, 40_000, 1, 8).select(F.format_string("%06d", F.xxhash64("id") % 100_000 + 100_000).alias("frn"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_table(df, str(tmp_path), "keys")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ends = spark.read.parquet(f"{tmp_path}/keys").groupBy(F.input_file_name()).agg(F.min("frn").alias("a"), F.max("frn").alias("b")).orderBy("a").collect()
+    assert len(ends) > 1 and all(x.b <= y.a for x, y in zip(ends, ends[1:]))
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())

@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from leafmill.plans.oracles import ORACLES
+from leafmill.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def duck(sf_dir):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
