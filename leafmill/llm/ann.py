@@ -81,7 +81,7 @@ def build_index(vectors: DataFrame, k: int = 20) -> PermutationIndex:
     facts = rows.agg(F.max(norm).alias("scale"), F.count("*").alias("n")).first()
     scale, n = float(facts["scale"] or 1.0), int(facts["n"])
     blocks = max(1, -(-n // BLOCK_ROWS))
-    chosen = np.array([r["vector"] for r in fit], np.float64).reshape(len(fit), -1)
+    chosen = np.array([r["vector"] for r in fit], np.float64).reshape(len(fit), len(fit[0]["vector"]) if fit else 1)
     pivots = _on_sphere(chosen, scale)
 
     in_class = Window.partitionBy("_same").orderBy("vec_id")

@@ -347,8 +347,10 @@ def _leaks(docs, items, at_least=0.8):
     weight = lambda s: math.log1p(sum(i is not None for i, _ in items) / max(held[s], 1))
     out = {}
     for d, t in docs:
-        w = words(t)
+        w, whole = words(t), shingle_set(t)
         for i, own in sets.items():
+            if not own & whole:
+                continue
             n = len(words(dict(items)[i]))
             for k in range(max(0, len(w) - n + 1)):
                 if n < 5 and len(w) != n:
