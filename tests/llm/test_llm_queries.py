@@ -83,7 +83,7 @@ def test_pipeline_stages(spark, duck, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "n-gram Jaccard join", "benchmark decontamination",
                                                       "mixing sources to target weights"]
-    from test_operators import _leaks, _plain_clean
+    from test_llm_operators import _leaks, _plain_clean
     steps = [f for _, f in corpus_pipeline.STAGES]
     one = steps[0](spark, docs, sf_dir).cache()
     assert one.columns == docs.columns and one.count() >= 0.98 * docs.count()
