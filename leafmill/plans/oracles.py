@@ -102,6 +102,9 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, page_idx, md5(t) AS text_md5 FROM (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS t,
     unnest(range(0, len(string_split(text, chr(10))))) AS page_idx FROM documents) WHERE t <> ''"""
 
+ORACLES["paged_text_files"] = """
+SELECT row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS page_idx, md5(text) AS text_md5 FROM documents"""
+
 ORACLES["text_lines"] = """
 SELECT doc_id, CAST(i AS INTEGER) AS line_idx, md5(t) AS line_md5 FROM (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS t,
@@ -284,6 +287,17 @@ ORACLES["load_report"] = _with(BASE, SUBS, NOTES, XREFS) + _REPORT.format(rep_b=
 ORACLES["full_load_by_runs"] = _with(BASE, SUBS, NOTES, XREFS) + _REPORT.format(
     rep_b=" + (SELECT count(*) FROM b WHERE rep)", rep_sb=" + (SELECT count(*) FROM sb WHERE rep)")
 
+ORACLES["flow_report"] = _with(BASE) + """
+, f AS (
+  SELECT o_orderkey * 3 AS key, CASE WHEN o_orderkey % 10 = 0 THEN 2 ELSE 1 END AS n FROM orders
+), known AS (SELECT f.* FROM f SEMI JOIN b ON f.key = b.k)
+SELECT 'pages_processed' AS measure, CAST(sum(1 + CAST(two AS INT) + CAST(k % 50 = 0 AS INT) + CAST(k % 60 = 0 AS INT)
+  + CAST(k % 70 = 0 AS INT) + CAST(rep AS INT)) AS BIGINT) AS n FROM b
+UNION ALL SELECT 'records_loaded', count(*) FROM b
+UNION ALL SELECT 'records_skipped', CAST(0 AS BIGINT)
+UNION ALL SELECT 'blobs_loaded', (SELECT count(*) FROM known)
+UNION ALL SELECT 'blobs_skipped', CAST((SELECT sum(n) FROM f) - (SELECT count(*) FROM known) AS BIGINT)"""
+
 # --------------------------------------------------------------- integrity
 ORACLES["duplicate_keys"] = """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1"""

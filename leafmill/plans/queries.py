@@ -15,7 +15,7 @@ from leafmill.operators import (
 from leafmill.plans.flow import run_flow
 from leafmill.plans.render import line_pages, rendered_pages, table
 from leafmill.session import scratch_path, settle
-from leafmill.sources.pages import split_pages
+from leafmill.sources.pages import read_paged_text, split_pages
 from leafmill.sources.records import read_records, write_records
 from leafmill.sources.tables import read_table, write_table
 from leafmill.spec import (
@@ -48,6 +48,16 @@ def paged_text(spark, sf):
     return pages.non_empty(split).select("doc_id", "page_idx", F.md5("text").alias("text_md5"))
 
 
+@query
+def paged_text_files(spark, sf):
+    """Documents of each source as pages of form-feed separated files, read back by the file reader."""
+    folder = scratch_path(spark, "paged_text_files")
+    (table(spark, sf, "documents").select("text", "source", "doc_id").repartition("source")
+     .sortWithinPartitions("source", "doc_id").drop("doc_id")
+     .write.partitionBy("source").option("lineSep", "\f").text(folder))
+    return read_paged_text(spark, folder).select("page_idx", F.md5("text").alias("text_md5"))
+
+
 @query
 def text_lines(spark, sf):
     lines = pages.text_lines(table(spark, sf, "documents"), "doc_id")
@@ -334,6 +344,16 @@ def full_load_by_runs(spark, sf):
     return result.load_report
 
 
+@query
+def flow_report(spark, sf):
+    """A whole load with blobs: some keys have two files, some files have no record."""
+    files = table(spark, sf, "orders").select(
+        F.explode(F.when(F.col("o_orderkey") % 10 == 0, F.array(F.lit("/a/"), F.lit("/b/"))).otherwise(F.array(F.lit("/a/"))))
+        .alias("folder"), (F.col("o_orderkey") * 3).alias("k")).select(
+        F.concat("folder", "k", F.lit(".pdf")).alias("path"), F.encode(F.col("k").cast("string"), "UTF-8").alias("content"))
+    return run_flow(spark, rendered_pages(spark, sf), scratch_path(spark, "flow_report"), blobs=files).report
+
+
 # --------------------------------------------------------------- integrity
 @query
 def duplicate_keys(spark, sf):
