@@ -107,7 +107,7 @@ def slot_schedule(targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     )
     in_chunk = Window.partitionBy("key", "_chunk").orderBy("place")
     ranked = (
-        points.join(running_start(points, ["key"], "_chunk", "_one"), ["key", "_chunk"])
+        points.hint("merge").join(running_start(points, ["key"], "_chunk", "_one"), ["key", "_chunk"])
         .withColumn("rank", F.col("_start") + F.row_number().over(in_chunk) - 1)
     )
     number, long_block = F.col("rank") % F.col("n_blocks"), F.lit(block).cast("long")
@@ -139,12 +139,13 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[i
         .withColumn("at", F.col("_start") + F.col("_inner"))
     )
     number = F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)))
+    # sizes of exploded rows are not known to the planner, so no side of these joins may be sent whole
     pieces = placed.select("key", "doc_id", "size", "at", number.alias("block"))
     slots = slot_schedule(targets, block)
     begin = F.greatest(F.col("at"), F.col("block") * block)
     end = F.least(F.col("at") + F.col("size"), F.col("block") * block + F.col("words"))
     taken = (
-        pieces.join(slots.select("key", "block", "words"), ["key", "block"], "left")
+        pieces.hint("merge").join(slots.select("key", "block", "words"), ["key", "block"], "left")
         .groupBy("key", "at", "doc_id", "size")
         .agg(F.sum(F.when(F.col("words").isNull(), 0).otherwise(F.greatest(end - begin, F.lit(0)))).alias("taken"))
         .select("key", "doc_id", "size", "taken")
