@@ -11,10 +11,17 @@ an order may be any, so a coarse count costs time, never a link.  Order two is b
 hash; its prefix is ``EXTRA`` shingles longer, and similar sets share ``EXTRA + 1`` of it (or all that
 a shorter set requires).  A pair must pass both before its sets are compared in full.
 
-*Pairs.*  Shingles of first prefixes that two nodes share are kept, with their nodes.
-In each of ``STARS`` rounds every shingle proposes one centre against its other nodes of another
-component, which is one pair per posting.  Verified links join components.  After
-these rounds each shingle proposes all its pairs across components that were not tried before.
+*Bounds.*  Up to the end of whichever of two first prefixes ends earlier in the order, both prefixes are
+complete, so that a shingle posted there by no other node is not common.  The node of that
+prefix can share no more than the rest, which must reach what a link needs.  Two texts that only
+have a passage in common fail this at once, and so do the far members of a group of near copies.
+
+*Pairs.*  Shingles of first prefixes that two nodes share are kept, with their nodes; of shingles with
+the same nodes one is kept.  In each of ``STARS`` rounds every shingle proposes one centre against its other
+nodes of another component, which is one pair per posting: first the node with the fewest
+shingles of its own, later a random one.  Verified links join components.  After these rounds each
+shingle proposes the pairs across components that were not tried, each pair at its first shared shingle, and
+only if the bounds allow it and enough of the prefix that ends earlier is common.
 Within a component no pair needs to be tried, so a group of many near copies stays linear.
 
 Defined results: a null, empty or blank text has an empty set and no links; texts of fewer than five
@@ -28,7 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import components, stage
@@ -37,7 +44,7 @@ from leafmill.llm.words import mix, shingles, slices, words
 WORDS, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_PARTS = 22, 256
 EXTRA = 32
-STARS = 3
+STARS = 2
 _U = np.uint64
 
 
@@ -93,9 +100,12 @@ def _prefix(size: np.ndarray | int, percent: int):
 
 
 def _prepare(sketch: Callable[[], np.ndarray], n: int, percent: int):
-    """Rows (doc_id, n_shingles, node, first, second): prefixes only where a task meets a node first."""
+    """Rows (doc_id, n_shingles, node, first, last, second): prefixes only where a task meets a node first.
+
+    ``last`` is the place of the first prefix's end in order one, up to the lower half of the hash.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
-                        ("first", pa.list_(pa.int64())), ("second", pa.binary())])
+                        ("first", pa.list_(pa.int64())), ("last", pa.int64()), ("second", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met = sketch(), set()
@@ -104,6 +114,7 @@ def _prepare(sketch: Callable[[], np.ndarray], n: int, percent: int):
                 sizes, nodes = np.zeros(piece.num_rows, np.int64), np.full(piece.num_rows, -1, np.int64)
                 first: list = [None] * piece.num_rows
                 second: list = [None] * piece.num_rows
+                last: list = [None] * piece.num_rows
                 for row, own in _sets(piece, n):
                     sizes[row], nodes[row] = len(own), _node(own)[0]
                     if nodes[row] in met:
@@ -111,10 +122,12 @@ def _prepare(sketch: Callable[[], np.ndarray], n: int, percent: int):
                     met.add(nodes[row])
                     keep = _prefix(len(own), percent)
                     rank = counts[(own & _U((1 << SKETCH_BITS) - 1)).astype(np.int64)]
-                    first[row] = own[np.lexsort((own, rank))[:keep]].view(np.int64)
+                    chosen = np.lexsort((own, rank))[:keep]
+                    first[row] = own[chosen].view(np.int64)
+                    last[row] = int(rank[chosen[-1]]) << 32 | int(own[chosen[-1]]) >> 32
                     second[row] = _second(own, percent).tobytes()
                 yield pa.record_batch([piece.column("doc_id"), pa.array(sizes), pa.array(nodes),
-                                       pa.array(first, schema.field("first").type), pa.array(second, pa.binary())], schema=schema)
+                                       pa.array(first, schema.field("first").type), pa.array(last, pa.int64()), pa.array(second, pa.binary())], schema=schema)
 
     return run
 
@@ -180,6 +193,21 @@ def _compare(pairs: DataFrame, bodies: DataFrame, check: Callable, salts: int =
     )
 
 
+def _allowed(x: Column, y: Column, percent: int) -> Column:
+    """Sizes and bounds let x and y link."""
+    a, b = x["size"], y["size"]
+    reach = (F.when(x["last"] < y["last"], x["most"]).when(y["last"] < x["last"], y["most"])
+             .otherwise(F.greatest(x["most"], y["most"])))
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * reach >= percent * (a + b))
+
+
+def _enough(x: Column, y: Column, common: Column, percent: int) -> Column:
+    """Of the prefix that ends earlier, ``common`` shingles at most are common; behind it, all may be."""
+    a, b = x["size"], y["size"]
+    size = F.when(x["last"] < y["last"], a).when(y["last"] < x["last"], b).otherwise(F.greatest(a, b))
+    return (100 + percent) * (common + F.ceil(percent * size / 100) - 1) >= percent * (a + b)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -191,16 +219,27 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     counters = spark.sparkContext.broadcast(frequency_sketch(texts, n))
     prepared = stage(texts.mapInArrow(
         _prepare(lambda: counters.value, n, percent),
-        "doc_id long, n_shingles long, node long, first array<long>, second binary"), "join-sets")
+        "doc_id long, n_shingles long, node long, first array<long>, last long, second binary"), "join-sets")
 
     posted = prepared.where("first is not null").select("node", F.explode("first").alias("shingle"))
     common = posted.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    postings = stage(posted.join(common, "shingle").distinct(), "join-postings")
+    met = stage(posted.join(common, "shingle").distinct(), "join-met")
+    lists = met.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("all"))
+    lists = stage(lists.where("low < high"), "join-lists")
+    shared = met.join(lists.select("shingle"), "shingle", "left_semi")
     nodes = stage(
-        prepared.where("first is not null").join(postings.select("node").distinct(), "node", "left_semi")
-        .groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("second").alias("body"), F.min("doc_id").alias("doc_id")),
+        prepared.where("first is not null").join(shared.groupBy("node").agg(
+            F.count("*").alias("n_shared"), F.sort_array(F.collect_list("shingle")).alias("own")), "node")
+        .groupBy("node").agg(
+            F.first("n_shingles").alias("size"), F.first("second").alias("body"), F.min("doc_id").alias("doc_id"),
+            F.first("last").alias("last"), F.first("own").alias("own"), (F.first("n_shingles") - F.first(F.size("first")) + F.first("n_shared")).alias("most")),
         "join-nodes")
-    sizes = nodes.select("node", "size")
+    kept = lists.groupBy("n", "low", "high", "all").agg(F.min("shingle").alias("shingle")).select("shingle")
+    # a node's own figures travel with its postings: x.node, x.size, x.last, x.most
+    postings = stage(
+        met.join(kept, "shingle").join(nodes.select("node", "size", "last", "most"), "node")
+        .select("shingle", "node", F.struct("node", "size", "last", "most").alias("x")), "join-postings")
     second = nodes.select("node", "size", "body")
 
     def light(a, b) -> bool:
@@ -219,13 +258,8 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
                                                   enumerate((pa.int64(), pa.int64(), pa.binary()))], ["node", "size", "body"])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Size bound, order two, then whole sets: from (a, b) to the links among them."""
-        near = (
-            pairs.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("na")), "a")
-            .join(sizes.select(F.col("node").alias("b"), F.col("size").alias("nb")), "b")
-            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-        )
-        left = stage(_compare(near, second, light), "join-candidates")
+        """Order two, then whole sets: from (a, b) to the links among them."""
+        left = stage(_compare(pairs, second, light), "join-candidates")
         asked = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
         wanted = nodes.join(asked, "node", "left_semi").select("node", "doc_id")
         sets = stage(texts.join(wanted, "doc_id").select("node", "text").mapInArrow(bodies, "node long, size long, body binary"),
@@ -237,16 +271,26 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     for turn in range(STARS + 1):
         if merged is not None:
             grouped = postings.join(merged, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+        if turn == 0:
+            lead = F.struct((F.col("x.size") - F.col("x.most")) / F.col("x.size"), F.xxhash64("node"))
+        else:
+            lead = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"))
         spans = (grouped.groupBy("shingle").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(turn))).alias("centre")).where("low < high"))
+            F.min_by(F.struct("x", "comp"), lead).alias("centre")).where("low < high"))
         if turn < STARS:
-            pairs = (grouped.join(spans, "shingle").where("comp != centre.comp")
-                     .select("node", F.col("centre.node").alias("other")))
+            pairs = (grouped.join(spans.select("shingle", F.col("centre.x").alias("y"), F.col("centre.comp").alias("comp2")), "shingle")
+                     .where(F.col("comp") != F.col("comp2")))
         else:
-            open_ = stage(grouped.join(spans.select("shingle"), "shingle").select("shingle", "node", "comp"), "join-open")
-            pairs = (open_.join(open_.select("shingle", F.col("node").alias("other"), F.col("comp").alias("comp2")), "shingle")
-                     .where("comp < comp2").select("node", "other"))
+            open_ = stage(grouped.join(spans.select("shingle"), "shingle").join(nodes.select("node", "own"), "node")
+                          .select("shingle", "x", "comp", "own"), "join-open")
+            other = open_.select("shingle", F.col("x").alias("y"), F.col("comp").alias("comp2"), F.col("own").alias("own2"))
+            common = F.array_intersect("own", "own2")
+            pairs = open_.join(other, "shingle").where(
+                (F.col("comp") < F.col("comp2")) & _allowed(F.col("x"), F.col("y"), percent)
+                & _enough(F.col("x"), F.col("y"), F.size(common), percent) & (F.array_min(common) == F.col("shingle")))
+        pairs = pairs.where(_allowed(F.col("x"), F.col("y"), percent)).select(
+            F.col("x.node").alias("node"), F.col("y.node").alias("other"))
         pairs = _ordered(pairs.select(F.col("node").alias("a"), F.col("other").alias("b")))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
