@@ -95,39 +95,48 @@ class ItemIndex:
 def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights: np.ndarray, n: int, n_words: int,
             similarity: float) -> Iterator[tuple[int, float, int, int]]:
     """(item_id, similarity, first word, words) of the best window of each item in one document."""
-    weights = np.full(len(value), index.rare)
-    weights[hits] = hit_weights
     best: dict[int, tuple[float, int, int]] = {}
+    # only shingles near a known one can be in a window that holds one
+    widest = max(max(1, length - n + 1) for length in index.by_length)
+    close = np.bincount(np.maximum(hits - widest, 0), minlength=len(value) + 1)
+    close = np.cumsum(close - np.bincount(np.minimum(hits + widest, len(value)), minlength=len(value) + 1))
+    at = np.flatnonzero(close[:-1] > 0)
+    place = np.searchsorted(at, hits)
+    value, weights, known = value[at], np.full(len(at), index.rare), np.zeros(len(at) + 1)
+    weights[place] = hit_weights
+    known[place + 1] = hit_weights
+    known = np.cumsum(known)
+    # running sums of signs, once for all lengths
+    sums = np.concatenate((np.zeros((1, 64)), np.cumsum(weights[:, None] * _signs(value), 0)))
     for length, (ids, prints, near, sets, totals) in index.by_length.items():
         wide = max(1, length - n + 1)
-        if length > n_words or (length < n and n_words != length):
+        if length > n_words or wide > len(at) or (length < n and n_words != length):
             continue
-        # windows that hold a known shingle, as stretches of starts
-        lows, highs = np.maximum(hits - wide + 1, 0), np.minimum(hits, len(value) - wide)
-        ok = lows <= highs
-        mark = np.zeros(len(value) + 1, np.int32)
-        np.add.at(mark, lows[ok], 1)
-        np.add.at(mark, highs[ok] + 1, -1)
-        starts = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
-        for cut in range(0, len(starts), 4096):
-            first = starts[cut: cut + 4096]
-            # shingle columns first .. first + wide as gathered sums
-            base = np.unique((first[:, None] + np.arange(wide)).ravel())
-            sums = np.concatenate((np.zeros((1, 64)), np.cumsum(weights[base, None] * _signs(value[base]), 0)))
-            at = np.searchsorted(base, first)
-            window = _pack(np.round(sums[at + wide] - sums[at], 9))
-            candidate = np.zeros((len(first), len(ids)), bool)
-            for b in range(BLOCKS):
-                candidate |= near[b, window[:, b]]
-            for w, i in zip(*np.nonzero(candidate)):
-                if _POPCOUNT[window[w] ^ prints[i]].sum() > RADIUS:
-                    continue
-                own, where = np.unique(value[first[w]: first[w] + wide], return_index=True)
-                own_weights = weights[first[w] + where]
-                common = float(own_weights[np.isin(own, sets[i], assume_unique=True)].sum())
-                alike = common / (float(own_weights.sum()) + totals[i] - common)
-                if alike >= similarity - 1e-12 and alike > best.get(int(ids[i]), (0.0,))[0]:
-                    best[int(ids[i])] = (alike, int(first[w]), length)
+        # a window is of neighbours, and can share no more than its known shingles weigh
+        fits = (at[wide - 1:] - at[: len(at) - wide + 1] == wide - 1) & (known[wide:] - known[:-wide] >= (similarity - 1e-9) * min(totals))
+        first = np.flatnonzero(fits)
+        if not len(first):
+            continue
+        window = _pack(np.round(sums[first + wide] - sums[first], 9))
+        pairs = []
+        for i in range(len(ids)):
+            candidate = near[0, window[:, 0], i]
+            for b in range(1, BLOCKS):
+                candidate = candidate | near[b, window[:, b], i]
+            own = np.flatnonzero(candidate)
+            apart = _POPCOUNT[window[own] ^ prints[i]].sum(1, dtype=np.int64)
+            pairs += [(d, i, w) for d, w in zip(apart.tolist(), own.tolist()) if d <= RADIUS]
+        for _, i, w in sorted(pairs):
+            # the nearest first: nothing is better than equal, and of equal ones the first is kept
+            item = int(ids[i])
+            if best.get(item, (0.0,))[0] >= 1.0 - 1e-12:
+                continue
+            own, where = np.unique(value[first[w]: first[w] + wide], return_index=True)
+            own_weights = weights[first[w] + where]
+            common = float(own_weights[np.isin(own, sets[i], assume_unique=True)].sum())
+            alike = common / (float(own_weights.sum()) + totals[i] - common)
+            if alike >= similarity - 1e-12 and alike > best.get(item, (0.0,))[0]:
+                best[item] = (alike, int(at[first[w]]), length)
     for item, (alike, start, length) in best.items():
         yield item, min(alike, 1.0), start, length
 
@@ -145,8 +154,9 @@ def _match(get_index, n: int, similarity: float):
                 hits, weight = index.lookup(value)
                 rows = np.searchsorted(bounds, hits, side="right") - 1
                 ids, out = piece.column("doc_id").to_pylist(), []
-                for row in np.unique(rows):
-                    own = rows == row
+                cuts = np.append(np.flatnonzero(np.diff(rows, prepend=-1)), len(rows))
+                for start, end in zip(cuts[:-1], cuts[1:]):
+                    row, own = rows[start], slice(start, end)
                     low, high = bounds[row], bounds[row + 1]
                     out += [(ids[row], *x) for x in _search(
                         index, value[low:high], hits[own] - low, weight[own], n, int(begin[row + 1] - begin[row]), similarity)]
