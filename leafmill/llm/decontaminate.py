@@ -2,8 +2,8 @@
 
 A benchmark item of L words is compared with every window of L words of a document that can hold a
 copy of it: one that holds at least one of the benchmark's five-word shingles, since windows without
-any have similarity 0.  Windows and items get a 64-bit SimHash of their weighted shingles.  The
-fingerprint is cut into 8 blocks of 8 bits: fingerprints within RADIUS = 23 bits agree up to 2 bits in at
+any have similarity 0.  Windows and items get a 64-bit SimHash of their weighted shingles, each
+distinct shingle once: running sums give a window's, less the repeats within it.  The fingerprint is cut into 8 blocks of 8 bits: fingerprints within RADIUS = 23 bits agree up to 2 bits in at
 least one block, so looking up all values within 2 bits in every block finds all of them.
 Candidates within the radius are checked exactly: weighted Jaccard similarity of the shingle sets,
 at least 0.8.  A shingle weighs ``ln(1 + items / items that hold it)``; one that no item holds
@@ -48,8 +48,12 @@ def _signs(value: np.ndarray) -> np.ndarray:
 
 
 def _pack(sums: np.ndarray) -> np.ndarray:
-    """(n, 8) bytes: the signs of weighted sums."""
-    return np.packbits(sums > 0, axis=1)
+    """(n, 8) bytes: the signs of weighted sums, equal ones whatever the order of addition."""
+    return np.packbits(np.round(sums, 9) > 0, axis=1)
+
+
+def _running(x: np.ndarray) -> np.ndarray:
+    return np.concatenate((np.zeros((1, x.shape[1])), np.cumsum(x, 0)))
 
 
 @dataclass(frozen=True)
@@ -107,7 +111,12 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
     known[place + 1] = hit_weights
     known = np.cumsum(known)
     # running sums of signs, once for all lengths
-    sums = np.concatenate((np.zeros((1, 64)), np.cumsum(weights[:, None] * _signs(value), 0)))
+    signs = weights[:, None] * _signs(value)
+    sums = _running(signs)
+    # places of repeated shingles, and of each one's occurrence before
+    order = np.argsort(value, kind="stable")
+    same = np.flatnonzero(value[order[1:]] == value[order[:-1]])
+    again, before = order[same + 1], order[same]
     for length, (ids, prints, near, sets, totals) in index.by_length.items():
         wide = max(1, length - n + 1)
         if length > n_words or wide > len(at) or (length < n and n_words != length):
@@ -117,7 +126,14 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
         first = np.flatnonzero(fits)
         if not len(first):
             continue
-        window = _pack(np.round(sums[first + wide] - sums[first], 9))
+        window = sums[first + wide] - sums[first]
+        inner = np.flatnonzero(again - before < wide)
+        if len(inner):
+            # a window holds a repeat if it starts in (place - wide, place before]
+            opens, closes = inner[np.argsort(again[inner])], inner[np.argsort(before[inner])]
+            window = (window - _running(signs[again[opens]])[np.searchsorted(again[opens] - wide, first, side="left")]
+                      + _running(signs[again[closes]])[np.searchsorted(before[closes], first, side="left")])
+        window = _pack(window)
         pairs = []
         for i in range(len(ids)):
             candidate = near[0, window[:, 0], i]

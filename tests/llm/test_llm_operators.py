@@ -385,6 +385,20 @@ def test_leaks_against_all_windows(spark):
     assert sum(r.doc_id == 204 and r.item_id == 0 for r in got) == 2
 
 
+def test_leaks_of_items_with_runs_of_one_word(spark):
+    rng = random.Random(19)
+    items, docs = [], []
+    for k in range(12):
+        item = ["i%d_%d" % (k, j) for j in range((49, 14)[k % 2])] + ["run%d" % k] * 24
+        items.append((k, " ".join(item)))
+        around = [["a%d" % rng.randrange(10**6) for _ in range(rng.randrange(1, 40))] for _ in range(2)]
+        docs.append((k, " ".join(around[0] + item + around[1])))
+        docs.append((100 + k, " ".join(around[1] + item[:3] + ["edited"] + item[4:] + ["run%d" % k] * 50 + around[0])))
+    got = decontaminate.find_leaks(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in _leaks(docs, items).items()}
+    assert {r.doc_id for r in got if r.similarity == 1.0 and r.doc_id == r.item_id} == set(range(12))
+
+
 def test_no_items_no_leaks(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     odd = documents(spark, odd_rows())
