@@ -296,7 +296,10 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "join-pairs")
         if pairs.isEmpty():
-            break
+            # a round without a proposal says nothing of the pairs that it did not look at
+            if spans.isEmpty():
+                break
+            continue
         found = verified(pairs)
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)

@@ -42,6 +42,16 @@ def test_join_of_a_hot_group_and_chains(spark):
     assert got == components(dict(rows))
 
 
+def test_join_when_no_star_proposes_a_pair(spark):
+    passages = [" ".join("%s%d" % (name, k) for k in range(100)) for name in "pq"]
+    rows = [(1, " ".join(passages))]
+    rows += [(10 * (k + 1) + c, text + " " + " ".join("own%d_%d_%d" % (k, c, j) for j in range(8)))
+             for k, text in enumerate(passages) for c in range(3)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_components(documents(spark, rows)).collect()}
+    assert got == components(dict(rows))
+    assert {c for _, c in got.values()} == {1, 10, 20}
+
+
 def test_join_of_nothing(spark):
     assert ngram_join.join_components(documents(spark, [])).count() == 0
 
