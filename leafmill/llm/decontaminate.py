@@ -2,7 +2,7 @@
 
 A benchmark item of L words is compared with every window of L words of a document that can hold a
 copy of it: one that holds at least one of the benchmark's five-word shingles, since windows without
-any have similarity 0.  Windows and items get a 64-bit SimHash of their weighted shingles, each
+any have similarity 0.  A document of fewer words is one window as a whole.  Windows and items get a 64-bit SimHash of their weighted shingles, each
 distinct shingle once: running sums give a window's, less the repeats within it.  The fingerprint is cut into 8 blocks of 8 bits: fingerprints within RADIUS = 23 bits agree up to 2 bits in at
 least one block, so looking up all values within 2 bits in every block finds all of them.
 Candidates within the radius are checked exactly: weighted Jaccard similarity of the shingle sets,
@@ -118,8 +118,10 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
     same = np.flatnonzero(value[order[1:]] == value[order[:-1]])
     again, before = order[same + 1], order[same]
     for length, (ids, prints, near, sets, totals) in index.by_length.items():
-        wide = max(1, length - n + 1)
-        if length > n_words or wide > len(at) or (length < n and n_words != length):
+        # a document shorter than the item is one window as a whole
+        size = min(length, n_words)
+        wide = max(1, size - n + 1)
+        if wide > len(at) or (size < n and n_words != length):
             continue
         # a window is of neighbours, and can share no more than its known shingles weigh
         fits = (at[wide - 1:] - at[: len(at) - wide + 1] == wide - 1) & (known[wide:] - known[:-wide] >= (similarity - 1e-9) * min(totals))
@@ -152,9 +154,9 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
             common = float(own_weights[np.isin(own, sets[i], assume_unique=True)].sum())
             alike = common / (float(own_weights.sum()) + totals[i] - common)
             if alike >= similarity - 1e-12 and alike > best.get(item, (0.0,))[0]:
-                best[item] = (alike, int(at[first[w]]), length)
-    for item, (alike, start, length) in best.items():
-        yield item, min(alike, 1.0), start, length
+                best[item] = (alike, int(at[first[w]]), size)
+    for item, (alike, start, size) in best.items():
+        yield item, min(alike, 1.0), start, size
 
 
 def _match(get_index, n: int, similarity: float):

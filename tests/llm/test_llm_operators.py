@@ -409,6 +409,25 @@ def test_leaks_of_items_with_runs_of_one_word(spark):
     assert {r.doc_id for r in got if r.similarity == 1.0 and r.doc_id == r.item_id} == set(range(12))
 
 
+def test_leaks_in_documents_shorter_than_the_item(spark):
+    items = [(k, " ".join("i%d_%d" % (k, j) for j in range(size))) for k, size in enumerate((100, 100, 30, 4, 7))]
+    docs = []
+    for k, text in items:
+        item = words(text)
+        for cut in (item[:-1], item[1:], item[:-3], item[2:-2], item[: len(item) // 2] + item[len(item) // 2 + 1:], item[: len(item) // 2], item):
+            docs.append((len(docs), " ".join(cut)))
+    got = decontaminate.find_leaks(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    # each shingle is in one item, so all weigh the same
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            a, b = shingle_set(text), shingle_set(item)
+            if len(a & b) >= 0.8 * len(a | b):
+                want[d, i] = (round(len(a & b) / len(a | b), 9), 0, len(words(text)))
+    assert {(r.doc_id, r.item_id): (round(r.similarity, 9), r.first_word, r.n_words) for r in got} == want
+    assert want[0, 0] == (round(95 / 96, 9), 0, 99) and len(want) > 12
+
+
 def test_no_items_no_leaks(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     odd = documents(spark, odd_rows())
