@@ -100,7 +100,7 @@ def _prefix(size: np.ndarray | int, percent: int):
 
 
 def _prepare(sketch: Callable[[], np.ndarray], n: int, percent: int):
-    """Rows (doc_id, n_shingles, node, first, last, second): prefixes only where a task meets a node first.
+    """Rows (doc_id, n_shingles, node, first, last, second): prefixes only where a task meets a node first, with an id.
 
     ``last`` is the place of the first prefix's end in order one, up to the lower half of the hash.
     """
@@ -115,9 +115,10 @@ def _prepare(sketch: Callable[[], np.ndarray], n: int, percent: int):
                 first: list = [None] * piece.num_rows
                 second: list = [None] * piece.num_rows
                 last: list = [None] * piece.num_rows
+                named = piece.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
                 for row, own in _sets(piece, n):
                     sizes[row], nodes[row] = len(own), _node(own)[0]
-                    if nodes[row] in met:
+                    if not named[row] or nodes[row] in met:
                         continue
                     met.add(nodes[row])
                     keep = _prefix(len(own), percent)

@@ -52,6 +52,15 @@ def test_join_when_no_star_proposes_a_pair(spark):
     assert {c for _, c in got.values()} == {1, 10, 20}
 
 
+def test_join_of_texts_that_rows_without_id_repeat(spark):
+    base = ["t%d" % k for k in range(60)]
+    near = base[:-1] + ["other"]
+    rows = [(None, " ".join(base)), (5, " ".join(base)), (None, " ".join(near)), (6, " ".join(near)), (7, "on its own")]
+    got = ngram_join.join_components(documents(spark, rows).coalesce(1)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(
+        [(None, 56, None)] * 2 + [(5, 56, 5), (6, 56, 5), (7, 1, 7)])
+
+
 def test_join_of_nothing(spark):
     assert ngram_join.join_components(documents(spark, [])).count() == 0
 
