@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import ann, chat, decontaminate, langid, lines, lm, mixing, ngram_join, toxicity, warc
-from leafmill.llm.shared import table
+from leafmill.llm.shared import stage, table
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,14 +24,40 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def turn_log(turns: DataFrame) -> DataFrame:
+    """The event log of turns (conv_id, turn, role, text), as a stage table since it deals message ids.
+
+    Each turn is opened, gets a draft that an edit or a regeneration voids, and streams its text in three parts;
+    every fourth is followed by a message that is retracted.  A turn without a number has no order of
+    events and is logged whole.
+    """
+    text, own = F.coalesce("text", F.lit("")), F.col("own")
+    part = F.ceil(F.length(text) / 3).cast("int")
+    first, second = F.substring(text, F.lit(1), part), F.substring(text, part + 1, part)
+    third = F.substring(text, 2 * part + 1, F.length(text))
+    edited, void = own % 2 == 0, F.lit(None).cast("string")
+
+    def event(step: int | None, kind: str | Column, text: Column, role: Column = void, message: Column = own) -> Column:
+        seq = F.col("turn").cast("long") if step is None else F.col("turn").cast("long") * 16 + step
+        return F.struct(seq.alias("seq"), (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+                        message.cast("long").alias("message"), role.alias("role"), text.alias("text"))
+
+    streamed = [event(0, "open", void, F.col("role")), event(1, "delta", F.concat(F.lit("draft "), F.substring(text, 1, 8))),
+                event(2, F.when(edited, "edit").otherwise("regenerate"), F.when(edited, first)),
+                event(3, "delta", F.when(edited, "").otherwise(first)), event(4, "delta", second), event(5, "delta", third)]
+    gone = [event(6, "open", void, F.col("role"), -1 - own), event(7, "delta", F.lit("gone"), message=-1 - own), event(8, "retract", void, message=-1 - own)]
+    whole = F.array(event(None, "message", F.col("text"), F.col("role"), F.lit(None)))
+    events = F.when(F.col("turn").isNull(), whole).when(own % 4 == 0, F.array(*streamed, *gone)).otherwise(F.array(*streamed))
+    log = turns.withColumn("own", F.monotonically_increasing_id()).select("conv_id", F.explode(events).alias("event"))
+    return stage(log.select("conv_id", "event.*"), "chat-log")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn is logged as one event; conversation -7 holds control strings."""
+    """Turns are logged as streamed events; conversation -7 holds control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], turns.schema)
-    log = turns.union(extra).select(
-        "conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.lit(None).cast("long").alias("message"), "role", "text")
-    return chat.read_back(chat.format_chats(log))
+    return chat.read_back(chat.format_chats(turn_log(turns.union(extra))))
 
 
 def op4_warc_zstandard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import components, documents, odd_rows, shingle_set, words
-from leafmill.llm import ann, chat, decontaminate, langid, lines, lm, mixing, ngram_join, toxicity, warc
+from leafmill.llm import ann, chat, decontaminate, langid, lines, lm, mixing, ngram_join, queries, toxicity, warc
 from leafmill.llm.shared import components as graph_components
 
 
@@ -153,6 +153,22 @@ def test_chat_edge_cases(spark):
         chat.fold(_log(spark, [(1, 0, "bogus", None, "user", "x")])).collect()
 
 
+def test_chat_query_folds_streamed_turns(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    turns = [(c, t, rng.choice(["user", "assistant", None]), "".join(rng.choices("ab #<\\\né🙂", k=rng.randrange(30))) or None)
+             for c in range(40) for t in range(rng.randrange(1, 7))]
+    turns += [(50, 0, "user", "same")] * 3 + [(50, None, "user", "no number"), (None, 1, "assistant", "no conversation")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    logs, render = [], chat.format_chats
+    monkeypatch.setattr(chat, "format_chats", lambda log: logs.append(log) or render(log))
+    got = queries.op3_chat_formatting(spark, str(tmp_path)).collect()
+    kinds = Counter(r.kind for r in logs[0].collect())
+    assert set(kinds) == set(chat.KINDS) and kinds["message"] == 1 and kinds["delta"] >= 3 * len(turns)
+    probe = "\\### Assistant: </turn> ok"
+    plain = _log(spark, [(c, t, "message", None, role, text) for c, t, role, text in turns + [(-7, 0, "user", probe), (-7, 1, "assistant", probe)]])
+    assert Counter(got) == Counter(chat.read_back(render(plain)).collect()) and len(got) == 43
+
+
 # 4: WARC
 def test_warc_round_trip(spark):
     big = "<p>é copy</p>" * 200
