@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from brute import components
+from leafmill.llm import ann
 from leafmill.llm.oracles import ORACLES
 from leafmill.llm.queries import QUERIES
 
@@ -79,6 +80,22 @@ def test_neighbours_recall(spark, duck, sf_dir):
     assert np.mean(share) >= 0.9
 
 
+def test_neighbours_recall_with_few_candidates(spark, duck, sf_dir, monkeypatch):
+    monkeypatch.setattr(ann, "CANDIDATES", 20)
+    table = rows(duck, "SELECT vec_id, embedding FROM embeddings ORDER BY vec_id")
+    assert ann.SHARE * len(table) < len(table) / 2
+    found = {}
+    for r in QUERIES["op8_permutation_index"](spark, sf_dir).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    ids, x = np.array([i for i, _ in table]), np.array([v for _, v in table], float)
+    share = []
+    for at in np.flatnonzero(ids % 20 == 0):
+        score = (x * x[at]).sum(1)
+        score[at] = -np.inf
+        share.append(len(found[ids[at]] & set(ids[np.lexsort((ids, -score))[:20]].tolist())) / 20)
+    assert np.mean(share) >= 0.9
+
+
 def test_pipeline_stages(spark, duck, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "n-gram Jaccard join", "benchmark decontamination",
