@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import ann, chat, decontaminate, langid, lines, lm, mixing, ngram_join, toxicity, warc
+from leafmill.llm import (
+    ann, chat, decontaminate, dialogue, langid, lines, lm, mixing, ngram_join, quality, toxicity, warc, whitening,
+)
 from leafmill.llm.shared import stage, table
 
 
@@ -100,7 +102,33 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns (conv_id, turn, role, text) damaged by a checksum of conversation and turn: dropped, emptied, cut, repeated, or said by the user."""
+    blank = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    kind, role, text = F.crc32(name) % 20, F.coalesce("role", blank), F.coalesce("text", blank)
+    return turns.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return dialogue.digests(damaged(turns), turns.select("conv_id"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(whitening.grid(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_warc_zstandard, op5_kneser_ney, op6_line_dedup,
     op7_language_id, op8_permutation_index, op9_benchmark_decontamination, op10_source_mixing,
+    op11_quality_rules, op12_conversation_repair, op13_embedding_whitening,
 )}

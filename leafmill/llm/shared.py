@@ -71,6 +71,21 @@ def running_start(df: DataFrame, keys: list[str], chunk: str, size: str) -> Data
     return sums.select(*keys, chunk, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
 
 
+HOT_KEYS = 1000
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """Join (inner or left) of ``rows`` with the stage table ``keyed``, one row a key, where ``weight`` is about how many rows have it.
+
+    Keys of at least a HOT_KEYS-th of all weight, of which there are no more than HOT_KEYS, go to every task; the
+    rows of the others are shuffled, so that no key brings a task a large share.
+    """
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT_KEYS >= total
+    sent = F.broadcast(keyed.where(hot))
+    return rows.join(sent, keys).unionByName(rows.join(sent, keys, "left_anti").join(keyed.where(~hot), keys, how))
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components: ``links`` (a, b) longs, any order -> (node, component).
 
