@@ -6,8 +6,8 @@ Two documents link when ``100 * |A n B| >= percent * |A u B|`` for their shingle
 
 *Orders.*  For similar sets, the first ``n - ceil(percent/100 * n) + 1`` shingles of both share
 one under any global order of shingles.  Order one is by frequency, rare first: frequencies come from
-a table of ``2**SKETCH_BITS`` counters over all documents, whose size does not depend on the data;
-an order may be any, so a coarse count costs time, never a link.  Order two is by
+a table of ``2**SKETCH_BITS`` counters over all documents, whose size does not depend on the data
+(a task's counter stops at 255); an order may be any, so a coarse count costs time, never a link.  Order two is by
 hash; its prefix is ``EXTRA`` shingles longer, and similar sets share ``EXTRA + 1`` of it (or all that
 a shorter set requires).  A pair must pass both before its sets are compared in full.
 
@@ -20,7 +20,8 @@ have a passage in common fail this at once, and so do the far members of a group
 the same nodes one is kept.  In each of ``STARS`` rounds every shingle proposes one centre against its other
 nodes of another component, which is one pair per posting: first the node with the fewest
 shingles of its own, later a random one.  Verified links join components.  After these rounds each
-shingle proposes the pairs across components that were not tried, each pair at its first shared shingle, and
+shingle proposes the pairs across components that were not tried, each pair at its first shared shingle, of the
+same or neighbouring classes of size, and
 only if the bounds allow it and enough of the prefix that ends earlier is common.
 Within a component no pair needs to be tried, so a group of many near copies stays linear.
 
@@ -31,6 +32,8 @@ doc_id takes part in no link and is its own component (null); an empty table giv
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,6 +46,7 @@ from leafmill.llm.words import mix, shingles, slices, words
 
 WORDS, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_PARTS = 22, 256
+MARK_BITS = 26
 EXTRA = 32
 STARS = 2
 _U = np.uint64
@@ -74,25 +78,53 @@ def frequency_sketch(docs: DataFrame, n: int = WORDS) -> np.ndarray:
                 found = [own for _, own in _sets(piece, n)]
                 if found:
                     seen += np.bincount((np.concatenate(found) & _U(size - 1)).astype(np.int64), minlength=size)
-        for p in np.flatnonzero(seen.reshape(SKETCH_PARTS, part).any(1)):
-            yield pa.record_batch({"part": pa.array([p], pa.int32()),
-                                   "counts": pa.array([seen[p * part: (p + 1) * part].tobytes()], pa.binary())})
+        # a task's counter stops at 255, which keeps frequent shingles frequent and the blocks small
+        few = np.minimum(seen, 255).astype(np.uint8).reshape(SKETCH_PARTS, part)
+        for p in np.flatnonzero(few.any(1)):
+            yield pa.record_batch({"part": pa.array([p], pa.int32()), "counts": pa.array([zlib.compress(few[p].tobytes(), 1)], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for p, blob in zip(batch.column("part").to_pylist(), batch.column("counts")):
-                own = np.frombuffer(blob.as_buffer(), np.int64)
-                sums[p] = sums[p] + own if p in sums else own.copy()
+                own = np.frombuffer(zlib.decompress(blob.as_buffer()), np.uint8)
+                if p not in sums:
+                    sums[p] = np.zeros(part, np.int64)
+                sums[p] += own
         for p, own in sums.items():
-            yield pa.record_batch({"part": pa.array([p], pa.int32()), "counts": pa.array([own.tobytes()], pa.binary())})
+            yield pa.record_batch({"part": pa.array([p], pa.int32()), "counts": pa.array([np.minimum(own, (1 << 31) - 1).astype(np.int32).tobytes()], pa.binary())})
 
     shape = "part int, counts binary"
-    rows = (docs.select("text").mapInArrow(count, shape).repartition(16, "part").mapInArrow(add, shape)).collect()
-    out = np.zeros((SKETCH_PARTS, part), np.int64)
+    rows = docs.select("text").mapInArrow(count, shape).repartition("part").mapInArrow(add, shape).collect()
+    out = np.zeros((SKETCH_PARTS, part), np.int32)
     for row in rows:
-        out[row["part"]] = np.frombuffer(row["counts"], np.int64)
-    return np.minimum(out.reshape(-1), (1 << 31) - 1).astype(np.int32)
+        out[row["part"]] = np.frombuffer(row["counts"], np.int32)
+    return out.reshape(-1)
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bitmap of 2**MARK_BITS bits with the hashes of ``ids`` (doc_id)."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS))
+    words = (ids.select(place.alias("h")).groupBy(F.shiftright("h", 5).cast("int").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(h & 31 as int)))").alias("bits")).toArrow())
+    out = np.zeros(1 << MARK_BITS - 5, np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def _marked(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``texts`` (doc_id, text) whose id may be among ``ids``: what is surely not goes before any shuffle."""
+    marks = texts.sparkSession.sparkContext.broadcast(_marks(ids))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = marks.value
+        for batch in batches:
+            h = batch.column("h").to_numpy()
+            known = (bits[h >> 5] >> (h & 31).astype(np.uint32)) & np.uint32(1)
+            yield batch.select(["doc_id", "text"]).filter(pa.array(known.astype(bool)))
+
+    hashed = texts.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS)).alias("h"))
+    return hashed.mapInArrow(keep, "doc_id long, text string")
 
 
 def _prefix(size: np.ndarray | int, percent: int):
@@ -202,6 +234,11 @@ def _allowed(x: Column, y: Column, percent: int) -> Column:
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * reach >= percent * (a + b))
 
 
+def _size_class(size: Column, percent: int) -> Column:
+    """Sets that link are of the same class of size or of neighbouring ones."""
+    return F.floor(F.log(size.cast("double")) / math.log(100 / percent + 1e-6)).cast("int")
+
+
 def _enough(x: Column, y: Column, common: Column, percent: int) -> Column:
     """Of the prefix that ends earlier, ``common`` shingles at most are common; behind it, all may be."""
     a, b = x["size"], y["size"]
@@ -262,8 +299,8 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         """Order two, then whole sets: from (a, b) to the links among them."""
         left = stage(_compare(pairs, second, light), "join-candidates")
         asked = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
-        wanted = nodes.join(asked, "node", "left_semi").select("node", "doc_id")
-        sets = stage(texts.join(wanted, "doc_id").select("node", "text").mapInArrow(bodies, "node long, size long, body binary"),
+        wanted = stage(nodes.join(asked, "node", "left_semi").select("node", "doc_id"), "join-wanted")
+        sets = stage(_marked(texts, wanted).join(wanted, "doc_id").select("node", "text").mapInArrow(bodies, "node long, size long, body binary"),
                      "join-bodies").dropDuplicates(["node"])
         return stage(_compare(left, sets, full), "join-links")
 
@@ -284,11 +321,13 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
                      .where(F.col("comp") != F.col("comp2")))
         else:
             open_ = stage(grouped.join(spans.select("shingle"), "shingle").join(nodes.select("node", "own"), "node")
-                          .select("shingle", "x", "comp", "own"), "join-open")
-            other = open_.select("shingle", F.col("x").alias("y"), F.col("comp").alias("comp2"), F.col("own").alias("own2"))
+                          .select("shingle", "x", "comp", "own", _size_class(F.col("x.size"), percent).alias("class")), "join-open")
+            other = open_.select("shingle", F.col("x").alias("y"), F.col("comp").alias("comp2"), F.col("own").alias("own2"),
+                                 F.col("class").alias("class2"), F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
             common = F.array_intersect("own", "own2")
-            pairs = open_.join(other, "shingle").where(
-                (F.col("comp") < F.col("comp2")) & _allowed(F.col("x"), F.col("y"), percent)
+            apart = F.when(F.col("class") == F.col("class2"), F.col("comp") < F.col("comp2")).otherwise(F.col("comp") != F.col("comp2"))
+            pairs = open_.join(other, ["shingle", "class"]).where(
+                apart & _allowed(F.col("x"), F.col("y"), percent)
                 & _enough(F.col("x"), F.col("y"), F.size(common), percent) & (F.array_min(common) == F.col("shingle")))
         pairs = pairs.where(_allowed(F.col("x"), F.col("y"), percent)).select(
             F.col("x.node").alias("node"), F.col("y.node").alias("other"))
