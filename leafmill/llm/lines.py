@@ -3,8 +3,9 @@
 The index is a folder of stage tables.  ``entries`` is the exact table: one signed row per key,
 document and batch, so that a later batch can take a document back.  ``counts`` nets it to the
 number of documents that hold a key, and the largest of them.  ``filters`` has one cuckoo
-filter per shard with the keys that at least ``min_docs`` documents hold: a key that the filter
-does not know is not looked up in the exact table.  Deletion removes fingerprints again.
+filter per shard with the keys that at least ``min_docs`` documents hold: a row of a key that the filter
+does not know is neither shuffled nor looked up in the exact table.  Deletion removes fingerprints again.  ``state``
+names the tables that hold after each batch, so that ``LineIndex.open`` finds them in a later session.
 
 A line's key is the line with white space stripped at both ends and A-Z lower-cased.  Keys of
 fewer than ``min_chars`` code points are never dropped.  Keys are stored as two 64-bit hashes.
@@ -16,6 +17,7 @@ and are all kept or all dropped; empty tables give empty results; other columns
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import SPACE, ascii_lower, new_folder, stage
+from leafmill.llm.shared import SPACE, ascii_lower, new_folder
 from leafmill.llm.words import mix
 
 MIN_CHARS, MIN_DOCS = 40, 5
 KEYS_PER_SHARD = 250_000
+FILTER_BYTES, SALTS = 64 << 20, 8
 SLOTS = 4
 _NO_DOC = -(1 << 63)
 
@@ -139,16 +142,30 @@ def line_entries(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineIndex:
-    """A growing and shrinking set of documents and the line keys they hold."""
+    """A growing and shrinking set of documents and the line keys they hold.
+
+    All of it lies in ``folder``; ``open`` goes on from there, in any session.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS):
         self.spark, self.min_chars, self.min_docs = spark, min_chars, min_docs
         self.folder = folder or new_folder(spark, "line-index")
         self.batches: list[str] = []
         self.shards = 1
+        self.version = 0
         self.counted: DataFrame | None = None
         self.filters: DataFrame | None = None
 
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> LineIndex:
+        """The index that a folder holds, as its last batch left it."""
+        state = spark.read.parquet(f"{folder}/state").orderBy(F.desc("version")).first()
+        index = cls(spark, folder, state["min_chars"], state["min_docs"])
+        index.batches, index.shards, index.version = list(state["batches"]), state["shards"], state["version"]
+        index.counted = spark.read.parquet(f"{folder}/{state['counts']}")
+        index.filters = spark.read.parquet(f"{folder}/{state['filters']}")
+        return index
+
     def insert(self, docs: DataFrame) -> LineIndex:
         """Add documents (doc_id, text); the exact table gets one row per key and document."""
         return self._append(line_entries(docs, self.min_chars).withColumn("sign", F.lit(1)))
@@ -161,50 +178,71 @@ class LineIndex:
 
     def entries(self) -> DataFrame:
         """(k1, k2, doc, n): what each document holds after all batches."""
+        log = self.spark.read.parquet(*(f"{self.folder}/{b}" for b in self.batches))
         if len(self.batches) == 1:
-            return self.spark.read.parquet(*self.batches).withColumnRenamed("sign", "n")
-        log = self.spark.read.parquet(*self.batches)
+            return log.withColumnRenamed("sign", "n")
         return log.groupBy("k1", "k2", "doc").agg(F.sum("sign").cast("int").alias("n")).where("n > 0")
 
+    def _written(self, rows: DataFrame, name: str) -> str:
+        """A table of the folder; its name is new, so that a job that was broken off is in nobody's way."""
+        path = f"{name}/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.folder}/{path}")
+        return path
+
     def _append(self, rows: DataFrame) -> LineIndex:
-        path = f"{self.folder}/entries/{len(self.batches)}"
-        rows.write.parquet(path)
-        self.batches.append(path)
+        self.batches.append(self._written(rows, "entries"))
         before = self.counted
-        self.counted = stage(
-            self.entries().groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("last_doc")),
-            "line-counts")
+        counts = self._written(
+            self.entries().groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("last_doc")), "counts")
+        self.counted = self.spark.read.parquet(f"{self.folder}/{counts}")
         n_keys = self.counted.where(F.col("n_docs") >= self.min_docs).count()
         shards = max(1, -(-n_keys // KEYS_PER_SHARD))
         known = self.counted.where(F.col("n_docs") >= self.min_docs).select("k1", "k2")
+        filters = None
         if self.filters is not None and shards <= self.shards:
             was = before.where(F.col("n_docs") >= self.min_docs).select("k1", "k2")
             change = (known.join(was, ["k1", "k2"], "left_anti").withColumn("add", F.lit(True))
                       .union(was.join(known, ["k1", "k2"], "left_anti").withColumn("add", F.lit(False))))
-            self.filters = stage(
+            filters = self._written(
                 self.filters.groupBy("shard").cogroup(self._sharded(change).groupBy("shard"))
-                .applyInArrow(_update, "shard int, filter binary"), "line-filters")
-            if self.filters.where("filter is null").isEmpty():
-                return self
-        self.shards = shards
-        self.filters = stage(
-            self._sharded(known).groupBy("shard").applyInArrow(_build, "shard int, filter binary"), "line-filters")
+                .applyInArrow(_update, "shard int, filter binary"), "filters")
+        if filters is None or not self.spark.read.parquet(f"{self.folder}/{filters}").where("filter is null").isEmpty():
+            self.shards = shards
+            filters = self._written(
+                self._sharded(known).groupBy("shard").applyInArrow(_build, "shard int, filter binary"), "filters")
+        self.filters = self.spark.read.schema("shard int, filter binary").parquet(f"{self.folder}/{filters}")
+        self.version += 1
+        state = [(self.version, self.batches, self.shards, counts, filters, self.min_chars, self.min_docs)]
+        (self.spark.createDataFrame(state, "version int, batches array<string>, shards int, counts string, filters string, min_chars int, min_docs int")
+         .coalesce(1).write.mode("append").parquet(f"{self.folder}/state"))
         return self
 
     def _sharded(self, keys: DataFrame) -> DataFrame:
         return keys.withColumn("shard", F.pmod(F.xxhash64("k1", F.lit("shard")), F.lit(self.shards)).cast("int"))
 
-    def maybe_common(self, keys: DataFrame) -> DataFrame:
-        """Those of the distinct keys (k1, k2) that the filters know; never misses a common key."""
-        return (self._sharded(keys).groupBy("shard").cogroup(self.filters.groupBy("shard"))
-                .applyInArrow(_probe, "k1 long, k2 long"))
+    def maybe_common(self, entries: DataFrame) -> DataFrame:
+        """Those of ``entries`` (k1, k2, doc) whose key the filters know; never misses a common key.
+
+        Filters of up to FILTER_BYTES in all go to every task and rows stay where they are; larger ones
+        meet the rows of their shard, dealt to SALTS tasks each, in a sorted stream that holds one filter at a time.
+        """
+        size = self.filters.agg(F.sum(F.length("filter"))).first()[0] or 0
+        sharded = self._sharded(entries.select("k1", "k2", "doc"))
+        if size <= FILTER_BYTES:
+            known = {r["shard"]: r["filter"] for r in self.filters.collect()}
+            shipped = self.spark.sparkContext.broadcast(known)
+            return sharded.mapInArrow(_probe_sent(shipped), "k1 long, k2 long, doc long")
+        none = [F.lit(None).cast("long").alias(c) for c in ("k1", "k2", "doc")]
+        rows = sharded.select("shard", F.pmod(F.xxhash64("k2", "doc"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(None).cast("binary").alias("filter"), "k1", "k2", "doc")
+        led = self.filters.select("shard", F.explode(F.array(*(F.lit(k) for k in range(SALTS)))).alias("salt"), "filter", *none)
+        return (rows.union(led).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("filter").isNull())
+                .mapInArrow(_probe_met, "k1 long, k2 long, doc long"))
 
     def drops(self, entries: DataFrame) -> DataFrame:
-        """(doc, keys): which keys each document of ``entries`` loses, as hashes."""
-        asked = self.maybe_common(entries.select("k1", "k2").distinct())
-        common = (self.counted.where(F.col("n_docs") >= self.min_docs).join(asked, ["k1", "k2"], "left_semi"))
+        """(doc, keys): which keys each document of ``entries`` loses, as hashes.  Only what the filters know meets the exact table."""
+        common = self.counted.where(F.col("n_docs") >= self.min_docs)
         return (
-            entries.join(common, ["k1", "k2"]).where("doc < last_doc")
+            self.maybe_common(entries).join(common, ["k1", "k2"]).where("doc < last_doc")
             .groupBy("doc").agg(F.collect_set(F.struct("k1", "k2")).alias("keys"))
         )
 
@@ -225,7 +263,7 @@ class LineIndex:
         )
 
 
-def _keys(table: pa.Table) -> np.ndarray:
+def _keys(table: pa.Table | pa.RecordBatch) -> np.ndarray:
     k1 = table.column("k1").to_numpy().astype(np.int64)
     k2 = table.column("k2").to_numpy().astype(np.int64)
     return k1.view(np.uint64) ^ mix(k2.view(np.uint64))
@@ -249,11 +287,36 @@ def _update(filters: pa.Table, change: pa.Table) -> pa.Table:
     return _row(shard, made if made.insert(keys[add]) else None)  # too full: built anew from the exact table
 
 
-def _probe(keys: pa.Table, filters: pa.Table) -> pa.Table:
-    if not filters.num_rows or not keys.num_rows:
-        return keys.select(["k1", "k2"]).slice(0, 0)
-    known = CuckooFilter.read(filters.column("filter")[0].as_py()).contains(_keys(keys))
-    return keys.select(["k1", "k2"]).filter(pa.array(known))
+def _known(batch: pa.RecordBatch, blobs: dict[int, CuckooFilter]) -> pa.RecordBatch:
+    """Rows of the batch that the filter of their shard knows."""
+    shard, keys = batch.column("shard").to_numpy(), _keys(batch)
+    keep = np.zeros(len(keys), bool)
+    for s in np.unique(shard).tolist():
+        if s in blobs:
+            own = shard == s
+            keep[own] = blobs[s].contains(keys[own])
+    return batch.select(["k1", "k2", "doc"]).filter(pa.array(keep))
+
+
+def _probe_sent(shipped):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = {shard: CuckooFilter.read(blob) for shard, blob in shipped.value.items()}
+        for batch in batches:
+            yield _known(batch, filters)
+
+    return run
+
+
+def _probe_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, CuckooFilter] = {}
+    for batch in batches:
+        lead = batch.column("filter").is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(lead)
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if high > low:
+                if lead[low]:
+                    held = {batch.column("shard")[low].as_py(): CuckooFilter.read(batch.column("filter")[low].as_py())}
+                yield _known(batch.slice(low + int(lead[low]), high - low - int(lead[low])), held)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
