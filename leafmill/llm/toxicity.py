@@ -1,19 +1,23 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
 A lexicon is learned: units are whole words and their first 4 to 9 bytes, A-Z lower-cased; a unit
-enters if documents labelled toxic hold it far more often than others (log-odds).  Features
+enters if documents labelled toxic hold it far more often than others (log-odds), and enough of them do.  Features
 of a whole text are lexicon densities, nearness of lexicon words to second-person words, rates of
 capitals, punctuation, runs of one character, and obfuscation (a digit or symbol between two letters).
 
-Labelled rows are split by a hash of the id in three: one part for the lexicon, one for the trees,
-one for the calibration, so that none is fitted on what another has already seen.  At most TRAIN_ROWS
-labelled rows are used, those of the smallest hashes; that is the documented bound of the sample.
+Labelled rows are dealt to three parts, each label evenly, by a hash of the id.  The features of a part come from a
+lexicon of the other two, and a model of trees per part is fitted on the other two, so that its chances of the part's own rows, on
+which the calibration is fitted, are of rows it has not seen.  A document's features come from the lexicon of all
+parts, its chance is the models' mean.  This holds at every size, so that few labels serve every step.  At most TRAIN_ROWS
+labelled rows are used, those of the smallest hashes, and at most LEXICON_UNITS units, those of the largest odds; these are
+the documented bounds of the sample.
 All documents are scored, each as a whole, without shuffling their texts.
 
 Defined results: null and empty texts have all features 0 and get the score of such a row; of
 labels that repeat an id the largest counts, null labels are skipped; a null id counts as the text ""
-when rows are held out; repeated rows are scored alike; without both labels in every part, each row's score is
-the share of label 1 (0 without labels); an empty table gives no rows; other columns are ignored.
+when rows are held out; repeated rows are scored alike; with rows of one label only, each row's score is
+the share of label 1 (0 without labels); a part whose other parts hold one label only gets no model, and if
+there is no other part, one model is fitted and calibrated on all rows; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import stage
@@ -33,10 +37,10 @@ from leafmill.llm.words import _bytes, slices, strings, words
 
 TRAIN_ROWS = 30_000
 PREFIXES = (4, 5, 6, 7, 8, 9)
-LEAST_DOCS, LEAST_ODDS, STRONG_ODDS = 4, 1.8, 3.0
+LEAST_DOCS, LEAST_SHARE, LEAST_ODDS, STRONG_ODDS = 3, 0.015, 1.8, 3.0
 LEXICON_UNITS = 20_000
 NEAR_WORDS = 5
-TREES, DEPTH = 30, 4
+TREES, DEPTH, LEAST_LEAF, FOLDS = 30, 4, 3, 3
 SECOND_PERSON = "you your yours yourself u ur du dich dir dein deine ihr euch tu te ti toi ton ta tes vous votre usted ustedes tus"
 FEATURES = ("log_words", "lexicon", "strong", "highest", "log_hits", "second_person", "near_share", "near_density",
             "capitals", "exclaims", "questions", "punctuation", "runs", "obfuscated", "digits")
@@ -75,7 +79,7 @@ def learn_lexicon(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = (
         labelled.select("text", "toxic").mapInArrow(held, "unit long, toxic long")
         .groupBy("unit").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
-        .where(F.col("a") >= LEAST_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+        .where(F.col("a") >= max(LEAST_DOCS, LEAST_SHARE * a)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
         .orderBy(F.desc("odds"), "unit").limit(LEXICON_UNITS).collect())
     units = np.array([r["unit"] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(units)
@@ -160,28 +164,46 @@ def with_features(docs: DataFrame, keep: list[str], lexicon: tuple[np.ndarray, n
     return docs.select(*keep, "text").mapInArrow(run, f"{shape}, features array<double>")
 
 
+def _folds(train: DataFrame) -> DataFrame:
+    """(label, part, vector): features of each part with a lexicon of the other parts, as a stage table."""
+    rows = None
+    for part in range(FOLDS):
+        own = with_features(train.where(F.col("part") == part), ["toxic", "part"], learn_lexicon(train.where(F.col("part") != part)))
+        rows = own if rows is None else rows.union(own)
+    return stage(rows, "toxicity-features").select(F.col("toxic").cast("double").alias("label"), "part", array_to_vector("features").alias("vector"))
+
+
 def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, score) of all ``docs`` (doc_id, text), learned from ``labels`` (doc_id, toxic) of their own ids."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = (labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
-    # at most train_rows ids, so they may be sent to all tasks
-    train = docs.join(F.broadcast(stage(chosen, "toxicity-labels")), "doc_id").withColumn(
-        "part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10)).cast("int"))
-    train = stage(train.select("doc_id", "text", "toxic", "part"), "toxicity-train")
-    lexicon = learn_lexicon(train.where("part < 4"))
-    fitted = stage(with_features(train.where("part >= 4"), ["toxic", "part"], lexicon), "toxicity-features")
-    fitted = fitted.withColumn("vector", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double"))
-    seen = {(r["late"], r["toxic"]): r["n"] for r in fitted.groupBy((F.col("part") >= 8).alias("late"), "toxic").agg(F.count("*").alias("n")).collect()}
-    if len(seen) < 4:
+    # at most train_rows ids, so they may be sent to all tasks; parts take turns within each label
+    turn = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit("part")), "doc_id"))
+    dealt = stage(chosen.withColumn("part", turn % FOLDS), "toxicity-labels")
+    train = stage(docs.join(F.broadcast(dealt), "doc_id").select("doc_id", "text", "toxic", "part"), "toxicity-train")
+    held = {(r["toxic"], r["part"]) for r in train.select("toxic", "part").distinct().collect()}
+    if len({toxic for toxic, _ in held}) < 2:
         mean = train.agg(F.avg("toxic")).first()[0] or 0.0
         return docs.select("doc_id", F.lit(float(mean)).alias("score"))
-    trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=5,
-                          stepSize=0.2, seed=1).fit(fitted.where("part < 8"))
+    folds = _folds(train)
     chance = F.element_at(vector_to_array("probability"), 2)
-    late = trees.transform(fitted.where("part >= 8")).select("label", chance.alias("raw"))
+    learner = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAST_LEAF,
+                            stepSize=0.2, seed=1)
+    # the other parts of a label's single row hold one label only
+    able = [p for p in sorted({p for _, p in held}) if len({toxic for toxic, q in held if q != p}) == 2]
+    models = [learner.fit(folds.where(F.col("part") != p)) for p in able] or [learner.fit(folds)]
+    late = None
+    for trees, unseen in zip(models, [F.col("part") == p for p in able] or [F.lit(True)]):
+        own = trees.transform(folds.where(unseen)).select("label", chance.alias("raw"))
+        late = own if late is None else late.union(own)
     steps = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="level").fit(late)
-    scored = with_features(docs, ["doc_id"], lexicon).withColumn("vector", array_to_vector("features"))
-    scored = steps.transform(trees.transform(scored).select("doc_id", chance.alias("raw")))
+    scored = with_features(docs, ["doc_id"], learn_lexicon(train)).withColumn("vector", array_to_vector("features"))
+    raw = F.lit(0.0)
+    for k, trees in enumerate(models):
+        scored = (trees.setProbabilityCol("probability").transform(scored).withColumn(f"raw{k}", chance)
+                  .drop("rawPrediction", "probability", "prediction"))
+        raw = raw + F.col(f"raw{k}")
+    scored = steps.transform(scored.select("doc_id", (raw / len(models)).alias("raw")))
     # the trees' own order stays visible within a level of the calibration
     return scored.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.999 * F.col("level") + 0.001 * F.col("raw"))).alias("score"))
