@@ -9,12 +9,16 @@ Candidates within the radius are checked exactly: weighted Jaccard similarity of
 at least 0.8.  A shingle weighs ``ln(1 + items / items that hold it)``; one that no item holds
 weighs as one that a single item holds.
 
-The benchmark is a query set: it goes through in blocks of at most ``BLOCK_WORDS`` words, each sent
+A document is compared with items that share a shingle with it only; lists of each shingle's items give them, so that
+the work of a document does not grow with the number of other items.
+
+The benchmark is a query set: it goes through in blocks of about ``BLOCK_WORDS`` words, each sent
 to all tasks, and any number of blocks may follow.  Documents are read whole and never shuffled.
 
 Defined results: null and empty texts and items match nothing; an item or document of fewer than
 five words is one shingle as a whole, so such an item matches only a document equal to it; repeated
-documents and items each give their rows; empty tables give no rows; other columns are ignored.
+documents and items each give their rows, as do those with null ids; ``clean_documents`` judges each row by its
+text, whatever its id is; empty tables give no rows; other columns are ignored, and kept by ``clean_documents``.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import word_count
@@ -64,10 +68,14 @@ class ItemIndex:
     known: np.ndarray
     weight: np.ndarray
     rare: float
+    #: items that hold the known shingle k: held_by[starts[k]:starts[k + 1]], by their number
+    starts: np.ndarray
+    held_by: np.ndarray
+    #: length -> numbers of the items, their fingerprints, blocks near them, sets, weights
     by_length: dict
 
     @classmethod
-    def of(cls, ids: np.ndarray, texts: pa.Array, n: int, n_items: int, held: dict) -> ItemIndex:
+    def of(cls, texts: pa.Array, n: int, n_items: int, held: dict) -> ItemIndex:
         hashes, begin = words(texts)
         value, bounds = shingles(hashes, begin, n)
         known = np.unique(value)
@@ -76,6 +84,9 @@ class ItemIndex:
         bitmap = np.zeros(1 << _BITMAP_BITS, bool)
         bitmap[(known & _U((1 << _BITMAP_BITS) - 1)).astype(np.int64)] = True
         sizes = np.diff(begin)
+        number = np.repeat(np.arange(len(sizes)), np.diff(bounds))
+        pair = np.unique(np.searchsorted(known, value) * max(len(sizes), 1) + number)
+        starts = np.searchsorted(pair, np.arange(len(known) + 1) * max(len(sizes), 1))
         by_length = {}
         for length in np.unique(sizes[sizes > 0]).tolist():
             rows = np.flatnonzero(sizes == length)
@@ -85,21 +96,31 @@ class ItemIndex:
             near = np.zeros((BLOCKS, 256, len(rows)), bool)
             for b in range(BLOCKS):
                 near[b] = _POPCOUNT[np.arange(256)[:, None] ^ prints[None, :, b]] <= NEAR_BITS
-            by_length[length] = (ids[rows], prints, near, sets, [float(w.sum()) for w in weights])
-        return cls(bitmap, known, weight, float(np.log1p(n_items)), by_length)
+            by_length[length] = (rows, prints, near, sets, [float(w.sum()) for w in weights])
+        return cls(bitmap, known, weight, float(np.log1p(n_items)), starts, pair % max(len(sizes), 1), by_length)
 
     def lookup(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(where known, weights of those)."""
+        """(where known, which known shingles)."""
         maybe = np.flatnonzero(self.bitmap[(value & _U((1 << _BITMAP_BITS) - 1)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.known, value[maybe]), len(self.known) - 1)
         good = self.known[at] == value[maybe]
-        return maybe[good], self.weight[at[good]]
+        return maybe[good], at[good]
+
+    def holders(self, known: np.ndarray) -> np.ndarray:
+        """Numbers of the items that hold any of the known shingles; all others have nothing in common with them."""
+        known = np.unique(known)
+        size = self.starts[known + 1] - self.starts[known]
+        at = np.repeat(self.starts[known] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
+        return np.unique(self.held_by[at])
 
 
-def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights: np.ndarray, n: int, n_words: int,
+def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, shared: np.ndarray, n: int, n_words: int,
             similarity: float) -> Iterator[tuple[int, float, int, int]]:
-    """(item_id, similarity, first word, words) of the best window of each item in one document."""
+    """(item's number, similarity, first word, words) of the best window of each item in one document."""
     best: dict[int, tuple[float, int, int]] = {}
+    hit_weights = index.weight[shared]
+    # only items that share a shingle with the document are looked at, however many there are
+    asked = index.holders(shared)
     # only shingles near a known one can be in a window that holds one
     widest = max(max(1, length - n + 1) for length in index.by_length)
     close = np.bincount(np.maximum(hits - widest, 0), minlength=len(value) + 1)
@@ -117,14 +138,17 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
     order = np.argsort(value, kind="stable")
     same = np.flatnonzero(value[order[1:]] == value[order[:-1]])
     again, before = order[same + 1], order[same]
-    for length, (ids, prints, near, sets, totals) in index.by_length.items():
+    for length, (numbers, prints, near, sets, totals) in index.by_length.items():
+        mine = np.flatnonzero(np.isin(numbers, asked, assume_unique=True)).tolist()
+        if not mine:
+            continue
         # a document shorter than the item is one window as a whole
         size = min(length, n_words)
         wide = max(1, size - n + 1)
         if wide > len(at) or (size < n and n_words != length):
             continue
         # a window is of neighbours, and can share no more than its known shingles weigh
-        fits = (at[wide - 1:] - at[: len(at) - wide + 1] == wide - 1) & (known[wide:] - known[:-wide] >= (similarity - 1e-9) * min(totals))
+        fits = (at[wide - 1:] - at[: len(at) - wide + 1] == wide - 1) & (known[wide:] - known[:-wide] >= (similarity - 1e-9) * min(totals[i] for i in mine))
         first = np.flatnonzero(fits)
         if not len(first):
             continue
@@ -137,7 +161,7 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
                       + _running(signs[again[closes]])[np.searchsorted(before[closes], first, side="left")])
         window = _pack(window)
         pairs = []
-        for i in range(len(ids)):
+        for i in mine:
             candidate = near[0, window[:, 0], i]
             for b in range(1, BLOCKS):
                 candidate = candidate | near[b, window[:, b], i]
@@ -146,7 +170,7 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
             pairs += [(d, i, w) for d, w in zip(apart.tolist(), own.tolist()) if d <= RADIUS]
         for _, i, w in sorted(pairs):
             # the nearest first: nothing is better than equal, and of equal ones the first is kept
-            item = int(ids[i])
+            item = int(numbers[i])
             if best.get(item, (0.0,))[0] >= 1.0 - 1e-12:
                 continue
             own, where = np.unique(value[first[w]: first[w] + wide], return_index=True)
@@ -159,7 +183,7 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, hit_weights:
         yield item, min(alike, 1.0), start, size
 
 
-def _match(get_index, n: int, similarity: float):
+def _match(get_index, ids: list, n: int, similarity: float):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),
                         ("first_word", pa.int64()), ("n_words", pa.int64())])
 
@@ -169,15 +193,15 @@ def _match(get_index, n: int, similarity: float):
             for piece in slices(batch, "text"):
                 hashes, begin = words(piece.column("text"))
                 value, bounds = shingles(hashes, begin, n)
-                hits, weight = index.lookup(value)
+                hits, shared = index.lookup(value)
                 rows = np.searchsorted(bounds, hits, side="right") - 1
-                ids, out = piece.column("doc_id").to_pylist(), []
+                docs, out = piece.column("doc_id").to_pylist(), []
                 cuts = np.append(np.flatnonzero(np.diff(rows, prepend=-1)), len(rows))
                 for start, end in zip(cuts[:-1], cuts[1:]):
                     row, own = rows[start], slice(start, end)
                     low, high = bounds[row], bounds[row + 1]
-                    out += [(ids[row], *x) for x in _search(
-                        index, value[low:high], hits[own] - low, weight[own], n, int(begin[row + 1] - begin[row]), similarity)]
+                    out += [(docs[row], ids[x[0]], *x[1:]) for x in _search(
+                        index, value[low:high], hits[own] - low, shared[own], n, int(begin[row + 1] - begin[row]), similarity)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[k] for x in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
@@ -188,25 +212,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, similarity
     """(doc_id, item_id, similarity, first_word, n_words): each item's best window in each document."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
-    # blocks of a bounded number of words; the window runs over the query set only
-    running = Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = items.withColumn("words", word_count(F.col("text"))).where("words > 0").withColumn(
-        "block", F.floor(F.coalesce(F.sum("words").over(running), F.lit(0)) / BLOCK_WORDS)).drop("words")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").withColumn("words", word_count(F.col("text")))
     found = spark.createDataFrame([], "doc_id long, item_id long, similarity double, first_word long, n_words long")
-    n_items = items.count()
+    total = items.agg(F.count("*").alias("items"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
+    # items are dealt to blocks of about BLOCK_WORDS words by a hash
+    n_items, n_blocks = total["items"], -(-total["words"] // BLOCK_WORDS)
+    blocks = items.where("words > 0").withColumn("block", F.pmod(F.xxhash64("text", "item_id"), F.lit(n_blocks)))
     held = _held(items, n)
-    for row in blocks.select("block").distinct().orderBy("block").collect():
-        own = blocks.where(F.col("block") == row["block"]).orderBy("item_id", "text").collect()
+    for block in range(n_blocks):
+        own = blocks.where(F.col("block") == block).orderBy("item_id", "text").collect()
+        if not own:
+            continue
         own_texts = pa.array([x["text"] for x in own], pa.string())
         value, _ = shingles(*words(own_texts), n)
         mine = np.unique(value).view(np.int64)
         counts = {x["shingle"] & 0xFFFFFFFFFFFFFFFF: x["items"] for x in held.join(
             F.broadcast(spark.createDataFrame(pa.table({"shingle": mine}))), "shingle").collect()}
-        index = ItemIndex.of(np.array([x["item_id"] for x in own], np.int64), own_texts, n, n_items, counts)
+        index = ItemIndex.of(own_texts, n, n_items, counts)
         shipped = spark.sparkContext.broadcast(cloudpickle.dumps(index))
+        ids = [x["item_id"] for x in own]
         found = found.union(texts.mapInArrow(
-            _match(lambda shipped=shipped: pickle.loads(shipped.value), n, similarity),
+            _match(lambda shipped=shipped: pickle.loads(shipped.value), ids, n, similarity),
             "doc_id long, item_id long, similarity double, first_word long, n_words long"))
     return found
 
@@ -225,6 +251,7 @@ def _held(items: DataFrame, n: int) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a copy of an item."""
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak_id")).distinct()
-    return docs.join(leaks, docs["doc_id"] == F.col("_leak_id"), "left_anti")
+    """``docs`` without those that hold a copy of an item; ids do not matter, as rows of one text fare alike."""
+    key = F.xxhash64("text")
+    leaks = find_leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_leak_key")).distinct()
+    return docs.join(leaks, key == F.col("_leak_key"), "left_anti")

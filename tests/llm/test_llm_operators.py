@@ -7,12 +7,15 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from brute import components, documents, odd_rows, shingle_set, words
 from leafmill.llm import ann, chat, decontaminate, langid, lines, lm, mixing, ngram_join, queries, toxicity, warc
 from leafmill.llm.shared import components as graph_components
+from leafmill.llm.words import shingles
+from leafmill.llm.words import words as words_of
 
 
 # 1: similarity join
@@ -106,6 +109,48 @@ def test_toxicity_held_out(spark):
     assert sum(right) / len(right) > 0.97
 
 
+def test_lexicon_against_plain_counts(spark):
+    rows = [("Bad bad thing", 1), ("bad day, thing", 1), ("bad thing", 1), ("good thing", 0), ("good day", 0), (None, 0), ("", 1)] * 2
+    units, odds = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    total = Counter(t for _, t in rows)
+    want = {}
+    for word in ("bad", "thing", "good", "day,", "day"):
+        held = [t for x, t in rows if word in (x or "").lower().split()]
+        a = sum(held)
+        value = math.log((a + 0.5) / (total[1] + 1)) - math.log((len(held) - a + 0.5) / (total[0] + 1))
+        if a >= toxicity.LEAST_DOCS and value >= toxicity.LEAST_ODDS:
+            want[int(words_of(pa.array([word]))[0][0])] = value
+    assert want and {u: round(o, 9) for u, o in zip(units.tolist(), odds) if u in want} == {u: round(o, 9) for u, o in want.items()}
+    good = int(words_of(pa.array(["good"]))[0][0])
+    assert good not in units
+
+
+def test_features_against_plain_rates():
+    lexicon = words_of(pa.array(["grot"]))[0]
+    second = words_of(pa.array([toxicity.SECOND_PERSON]))[0]
+    texts = ["You GROT! a b c d e f g h grot?", "", "aaa b0b 77 x", None]
+    got = toxicity._features(pa.array(texts), lexicon, np.array([3.5]), second)
+    one = dict(zip(toxicity.FEATURES, got[0]))
+    assert one["lexicon"] == 0 and one["second_person"] == pytest.approx(1 / 11) and one["exclaims"] == pytest.approx(1 / 11)
+    again = dict(zip(toxicity.FEATURES, toxicity._features(pa.array(["you grot a b c d e f g h grot"]), lexicon, np.array([3.5]), second)[0]))
+    assert again["lexicon"] == pytest.approx(7 / 11) and again["strong"] == pytest.approx(2 / 11) and again["highest"] == 3.5
+    assert again["near_share"] == pytest.approx(1 / 2) and again["near_density"] == pytest.approx(1 / 11) and again["log_hits"] == pytest.approx(math.log(3))
+    assert not got[1].any() and not got[3].any()
+    third = dict(zip(toxicity.FEATURES, got[2]))
+    assert third["runs"] == pytest.approx(1 / 4) and third["obfuscated"] == pytest.approx(1 / 4) and third["digits"] == pytest.approx(3 / 12)
+
+
+@pytest.mark.parametrize("positives", [1, 2, 4])
+def test_toxicity_of_few_labels_is_no_constant(spark, positives):
+    rng = random.Random(positives)
+    rows = [(k, " ".join([f"w{rng.randrange(30)}" for _ in range(30)] + ["grot!!!", "vile!!!"] * 3 * (k < 2 * positives))) for k in range(60)]
+    labels = spark.createDataFrame([(k, int(k < positives)) for k in range(60) if not positives <= k < 2 * positives], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(documents(spark, rows), labels).collect()}
+    assert len(set(got.values())) > 1
+    if positives == 4:
+        assert min(got[k] for k in range(4, 8)) > np.median([got[k] for k in range(8, 60)])
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     odd = documents(spark, odd_rows(), clashing=True)
@@ -299,6 +344,41 @@ def test_line_index_is_reversible(spark):
     assert sorted(index.clean(first).select("doc_id", "text").collect()) == sorted(before)
 
 
+def test_line_index_goes_on_from_its_folder(spark, tmp_path):
+    rows = _line_rows()
+    first, second = documents(spark, rows[:4]), documents(spark, rows[4:])
+    folder = str(tmp_path / "index")
+    before = sorted(lines.LineIndex(spark, folder).insert(first).clean(first).select("doc_id", "text").collect())
+    lines.LineIndex.open(spark, folder).insert(second)
+    again = lines.LineIndex.open(spark, folder)
+    got = again.clean(documents(spark, rows)).select("doc_id", F.coalesce("text", F.lit("")), "n_lines", "n_dropped").collect()
+    assert Counter(map(tuple, got)) == _plain_clean(rows)
+    again.delete(second.select("doc_id"))
+    last = lines.LineIndex.open(spark, folder)
+    assert last.version == 3 and sorted(last.clean(first).select("doc_id", "text").collect()) == before
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_filters_keep_rare_keys_from_the_exact_table(spark, monkeypatch, sent):
+    """Of 20,000 distinct keys and one common one, few but the common one's rows are looked up, by either way to the filters."""
+    monkeypatch.setattr(lines, "FILTER_BYTES", (64 << 20) if sent else 0)
+    shared = "this line is common to a lot of the documents"
+    rows = [(d, "\n".join([shared, *(f"line {k} of document {d} is its own and long" for k in range(200))])) for d in range(100)]
+    docs = documents(spark, rows).repartition(6)
+    index = lines.LineIndex(spark).insert(docs)
+    asked = index.maybe_common(index.entries()).collect()
+    assert len(asked) < 100 + 20_000 * 0.01 and len({(r.k1, r.k2) for r in asked if sum(x.k1 == r.k1 for x in asked) >= 5}) == 1
+    assert {r.doc for r in index.drops(index.entries()).collect()} == set(range(99))
+
+
+def test_filters_of_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(lines, "KEYS_PER_SHARD", 3)
+    monkeypatch.setattr(lines, "FILTER_BYTES", 0)
+    rows = [(d, "\n".join(f"common line number {k} of a whole lot of documents" for k in range(d % 3, 40))) for d in range(30)]
+    got = lines.dedup_lines(documents(spark, rows)).select("doc_id", "text", "n_lines", "n_dropped").collect()
+    assert Counter(map(tuple, got)) == _plain_clean(rows)
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 2**63, 30_000).astype(np.uint64)
@@ -377,9 +457,9 @@ def test_few_or_no_neighbours(spark):
 
 # 9: decontamination
 def _leaks(docs, items, at_least=0.8):
-    sets = {i: shingle_set(t) for i, t in items if i is not None and words(t)}
+    sets = {i: shingle_set(t) for i, t in items if words(t)}
     held = Counter(s for own in sets.values() for s in own)
-    weight = lambda s: math.log1p(sum(i is not None for i, _ in items) / max(held[s], 1))
+    weight = lambda s: math.log1p(len(items) / max(held[s], 1))
     out = {}
     for d, t in docs:
         w, whole = words(t), shingle_set(t)
@@ -397,6 +477,27 @@ def _leaks(docs, items, at_least=0.8):
     return out
 
 
+def test_clean_documents_judge_rows_by_their_text(spark):
+    item = " ".join(f"item{k}" for k in range(30))
+    other = " ".join(f"other{k}" for k in range(30))
+    docs = [(None, f"a b {item} c"), (1, item), (1, "clean words " * 9), (2, other), (None, None), (3, "")]
+    bench = spark.createDataFrame([(None, other), (5, item), (5, "third " * 9), (6, None)], "item_id long, text string")
+    got = decontaminate.clean_documents(documents(spark, docs, clashing=True), bench)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, docs[2][1]), (None, None), (3, "")], key=str)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(documents(spark, docs), bench).collect()} == {(None, 5), (1, 5), (2, None)}
+
+
+def test_only_items_that_share_a_shingle_are_looked_at():
+    texts = pa.array([" ".join(f"i{i}w{k}" for k in range(12)) + " five shared words of all" * (i < 3) for i in range(400)])
+    value, _ = shingles(*words_of(texts), 5)
+    index = decontaminate.ItemIndex.of(texts, 5, 400, dict.fromkeys(np.unique(value).tolist(), 1))
+    own, _ = shingles(*words_of(texts.slice(7, 1)), 5)
+    at, known = index.lookup(own)
+    assert len(at) == len(own) and index.holders(known).tolist() == [7]
+    common, _ = shingles(*words_of(pa.array(["five shared words of all"])), 5)
+    assert index.holders(index.lookup(common)[1]).tolist() == [0, 1, 2]
+
+
 def test_leaks_against_all_windows(spark):
     rng = random.Random(9)
     vocabulary = ["v%d" % k for k in range(300)]
