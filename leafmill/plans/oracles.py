@@ -277,6 +277,7 @@ SELECT ks AS frn, {_CHANGED} AS make,
 ORACLES["table_lookup"] = _with(BASE) + """
 SELECT ks AS frn, country, type, make FROM b WHERE country = 'ASIA' AND type = 'F'"""
 ORACLES["json_roundtrip"] = ORACLES["table_frn_note"]
+ORACLES["json_array_roundtrip"] = ORACLES["json_mixed_layouts"] = ORACLES["table_frn_note"]
 
 _REPORT = """
 SELECT 'dbo_frn' AS table_name, (SELECT count(*) FROM b){rep_b} AS n_rows

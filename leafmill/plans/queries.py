@@ -13,10 +13,10 @@ from leafmill.operators import (
     assemble, ids, integrity, manifest, normalize, pages, runs, search,
 )
 from leafmill.plans.flow import run_flow
-from leafmill.plans.render import line_pages, rendered_pages, table
+from leafmill.plans.render import dealt, line_pages, rendered_pages, table
 from leafmill.session import scratch_path, settle
 from leafmill.sources.pages import read_paged_text, split_pages
-from leafmill.sources.records import read_records, write_records
+from leafmill.sources.records import read_records, write_record_array, write_record_arrays, write_records
 from leafmill.sources.tables import read_table, write_table
 from leafmill.spec import (
     DEFAULT_SPEC, TABLE_BLOB, TABLE_NOTE, TABLE_RECORD, TABLE_SUB, TABLE_XREF,
@@ -332,6 +332,25 @@ def json_roundtrip(spark, sf):
     return normalize.note_table(read_records(spark, folder, "lines"))
 
 
+@query
+def json_array_roundtrip(spark, sf):
+    """All records as one JSON array in framed part files, lexed in parallel."""
+    folder = scratch_path(spark, "json_array")
+    write_record_array(settle(_records(spark, sf)), folder)
+    return normalize.note_table(read_records(spark, folder, "parts"))
+
+
+@query
+def json_mixed_layouts(spark, sf):
+    """Files of lines and files that each hold an array, side by side in one folder."""
+    folder = scratch_path(spark, "json_mixed")
+    records = settle(_records(spark, sf))
+    even = F.crc32("frn") % 2 == 0
+    write_records(records.where(even), folder)
+    write_record_arrays(records.where(~even), folder, mode="append")
+    return normalize.note_table(read_records(spark, folder))
+
+
 @query
 def load_report(spark, sf):
     return integrity.load_report(normalize.tables(settle(_records(spark, sf))))
@@ -424,8 +443,8 @@ def search_text(spark, sf):
 
 def _searchable_documents(spark, sf):
     """The search text is a stored column, so it is settled before it is searched."""
-    return settle(search_text_of(table(spark, sf, "documents").select("doc_id", "lang", "text"), "text")
-                  .drop("text"))
+    docs = dealt(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
+    return settle(search_text_of(docs, "text").drop("text"))
 
 
 def _searchable_parts(spark, sf):

@@ -107,13 +107,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def dealt(df: DataFrame, *key: str) -> DataFrame:
+    """Rows dealt by key to as many tasks as the scan has or the cluster runs at once; a number given is not coalesced."""
+    tasks = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *key)
+
+
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BASE_SQL, **_dims(spark, sf_dir))
 
 
 def _dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     dims = {n: table(spark, sf_dir, n) for n in ("customer", "nation", "region")}
-    return {"orders": table(spark, sf_dir, "orders").repartition("o_orderkey"), **dims}
+    return {"orders": dealt(table(spark, sf_dir, "orders"), "o_orderkey"), **dims}
 
 
 def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,4 +128,4 @@ def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
-        LINE_PAGES_SQL, lineitem=table(spark, sf_dir, "lineitem").repartition("l_orderkey", "l_linenumber"), part=table(spark, sf_dir, "part"))
+        LINE_PAGES_SQL, lineitem=dealt(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber"), part=table(spark, sf_dir, "part"))

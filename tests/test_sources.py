@@ -9,9 +9,11 @@ from leafmill.operators import integrity, normalize
 from leafmill.operators.assemble import records
 from leafmill.plans.flow import run_flow
 from leafmill.plans.render import rendered_pages
+from leafmill.session import settle
+from leafmill.sources import jsontext
 from leafmill.sources.blobs import list_files, read_blobs
 from leafmill.sources.pages import read_paged_text, read_pages
-from leafmill.sources.records import read_records, write_records
+from leafmill.sources.records import read_records, write_record_array, write_record_arrays, write_records
 from leafmill.sources.tables import read_table, write_tables
 from leafmill.spec import TABLE_BLOB, TABLE_NOTE, TABLE_RECORD
 
@@ -69,6 +71,70 @@ def test_broken_line_fails(spark, folder):
         read_records(spark, str(folder)).collect()
 
 
+ODD = [{"a": 'brace } and { in "quotes" \\', "b": {"c": [1, {"d": "]["}]}}, {}, {"e": "\\\\"}, {"é}": "ü\n}" * 40, "f": [[], {}]}, {"g": "x" * 500}]
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "211")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("layout", ["pretty", "one line", "lines", "lines end", "spaced"])
+def test_objects_over_many_splits(spark, folder, tiny_splits, layout):
+    """Strings and objects cross splits of 211 bytes; every object comes out whole, once."""
+    objects = ODD * 5
+    text = {"pretty": json.dumps(objects, indent=3, ensure_ascii=False), "one line": json.dumps(objects),
+            "lines": "\n".join(json.dumps(o) for o in objects), "lines end": "\n".join(json.dumps(o) for o in objects) + "\n",
+            "spaced": "\n [ " + " , ".join(json.dumps(o) for o in objects) + " ]\n\n"}[layout]
+    (folder / "a.json").write_text(text, encoding="utf-8")
+    (folder / "b.json").write_text("[]", encoding="utf-8")
+    (folder / "c.json").write_text(json.dumps([{"other": 1}]), encoding="utf-8")
+    states = jsontext.split_states(spark, str(folder)).collect()
+    assert len(states) > 12 and any(r.in_string for r in states)
+    got = [json.loads(r.value) for r in jsontext.json_objects(spark, str(folder)).collect()]
+    key = lambda o: json.dumps(o, sort_keys=True)
+    assert sorted(map(key, got)) == sorted(map(key, [*objects, {"other": 1}]))
+
+
+def test_one_array_over_part_files(spark, tmp_path, sf_dir, request):
+    made = settle(records(rendered_pages(spark, sf_dir)).limit(40))
+    write_record_array(made, str(tmp_path / "parts"), files=4)
+    files = sorted(p for p in (tmp_path / "parts").iterdir() if p.name.startswith("part-"))
+    whole = json.loads("".join(p.read_text(encoding="utf-8") for p in files))
+    assert len(files) > 1 and len(whole) == 40
+    order = [r.frn for r in made.orderBy("doc_id", "first_page_idx").collect()]
+    assert [r.get("frn") for r in whole] == order
+    write_records(made, str(tmp_path / "lines"))
+    write_record_arrays(made, str(tmp_path / "arrays"), files=3)
+    for p in (tmp_path / "arrays").iterdir():
+        if p.name.startswith("part-"):
+            assert isinstance(json.loads(p.read_text(encoding="utf-8") or "[]"), list)
+    want = sorted(map(str, read_records(spark, str(tmp_path / "lines"), "lines").collect()))
+    request.getfixturevalue("tiny_splits")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    assert sorted(map(str, read_records(spark, str(tmp_path / "parts"), "parts").collect())) == want
+    assert sorted(map(str, read_records(spark, str(tmp_path / "arrays")).collect())) == want
+    assert sorted(map(str, read_records(spark, str(tmp_path / "lines")).collect())) == want
+    assert len(jsontext.split_states(spark, str(tmp_path / "parts"), concatenated=True).collect()) > len(files)
+
+
+def test_array_of_nothing(spark, tmp_path, sf_dir):
+    write_record_array(records(rendered_pages(spark, sf_dir)).limit(0), str(tmp_path / "none"))
+    assert read_records(spark, str(tmp_path / "none"), "parts").count() == 0
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}', '[{"a": "1}]', '{"a": [}', "[{}]]"])
+def test_incomplete_texts_fail(spark, folder, text):
+    (folder / "a.json").write_text(text)
+    with pytest.raises(Exception):
+        read_records(spark, str(folder)).collect()
+
+
 def test_note_order_is_kept(spark, folder):
     (folder / "a.jsonl").write_text(json.dumps(RECORDS[0]), encoding="utf-8")
     (row,) = read_records(spark, str(folder)).collect()
