@@ -274,6 +274,38 @@ _CHANGED = "CASE WHEN level IS NULL THEN 'changed-' || ks ELSE make END"
 ORACLES["upserted_search_text"] = _with(BASE) + f"""
 SELECT ks AS frn, {_CHANGED} AS make,
   {_full(_RECORD_TEXT.replace(_FIELD_TEXT["make"], _CHANGED))} AS "fullText" FROM b"""
+
+
+def _updates(source: str, keep: str, gone: str, changed: dict[str, str], first: str, added: dict[str, str]) -> str:
+    """Rows of a child table after a merge: without ``gone`` ones, with changed columns, and with added rows."""
+    def columns(values: dict[str, str], when: str | None) -> str:
+        return ", ".join(f"CASE WHEN {when} THEN {values[c]} ELSE {c} END AS {c}" if c in values and when
+                         else f"{values[c]} AS {c}" if c in values else c for c in keep.split(", "))
+
+    return f"""
+up AS (
+  SELECT {columns(changed, "k % 5 = 0")} FROM (SELECT *, ks AS frn FROM {source}) WHERE NOT (k % 7 = 0 AND {gone})
+  UNION ALL SELECT {columns(added, None)} FROM (SELECT *, ks AS frn FROM {source}) WHERE k % 11 = 0 AND {first}
+)"""
+
+
+_NOTE_UP = _updates("nt", "frn, note_key, bullet_index, note_value", "bullet_index = 1", {"note_value": "note_value || ' amended'"},
+                    "bullet_index = 0", {"bullet_index": "100", "note_value": "'An added note'"})
+ORACLES["updated_notes"] = _with(BASE, NOTES, _NOTE_UP) + f"""
+SELECT frn, note_key, bullet_index, note_value, {_full("note_value || ' ' || bullet_index")} AS "fullText" FROM up"""
+_SUB_UP = _updates("(SELECT *, sub_class AS sub_legal FROM sb)", "p0, frn, pos, sub_frn, calibre, shots, barrel_length, sub_legal", "pos = 0",
+                   {"shots": "'9 shots'"}, "pos = 0", {"pos": "100", "calibre": "'new'"})
+ORACLES["updated_sub_entries"] = _with(BASE, SUBS, _SUB_UP) + f"""
+SELECT p0 AS first_page_idx, frn, pos, sub_frn, calibre, shots, barrel_length, sub_legal AS legal_classification,
+  {_full("frn || ' ' || sub_frn || ' ' || calibre || ' ' || shots || ' ' || barrel_length || ' ' || sub_legal")} AS "fullText" FROM up"""
+_XREF_UP = _updates("xr", "p0, frn, pos, ref_frn, description", "pos = 0", {"description": "'see ' || description"},
+                    "pos = 0", {"pos": "100", "description": "'added'"})
+ORACLES["updated_cross_references"] = _with(BASE, XREFS, _XREF_UP) + f"""
+SELECT p0 AS first_page_idx, frn, pos, ref_frn, description, {_full("ref_frn || ' ' || description")} AS "fullText" FROM up"""
+ORACLES["updated_note_lookup"] = _with(BASE, NOTES, _NOTE_UP) + """
+SELECT frn, note_key, bullet_index, state FROM up, (VALUES ('parts'), ('compact')) AS s(state) WHERE note_value LIKE '% wrapped tail%'
+UNION ALL SELECT frn, note_key, bullet_index, state FROM up, (VALUES ('parts'), ('compact')) AS s(state) WHERE note_value LIKE '% amended'
+UNION ALL SELECT frn, note_key, bullet_index, state FROM up, (VALUES ('parts'), ('compact')) AS s(state) WHERE note_value = 'An added note'"""
 ORACLES["table_lookup"] = _with(BASE) + """
 SELECT ks AS frn, country, type, make FROM b WHERE country = 'ASIA' AND type = 'F'"""
 ORACLES["json_roundtrip"] = ORACLES["table_frn_note"]

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions import keys, links, text
-from leafmill.functions.search import register_functions, search_text_of
+from leafmill.functions.search import register_functions, search_text_of, with_full_text
 from leafmill.operators import (
     assemble, ids, integrity, manifest, normalize, pages, runs, search,
 )
 from leafmill.plans.flow import run_flow
 from leafmill.plans.render import dealt, line_pages, rendered_pages, table
 from leafmill.session import scratch_path, settle
+from leafmill.sources.keyed import KeyedTable, PostingIndex
 from leafmill.sources.pages import read_paged_text, split_pages
 from leafmill.sources.records import read_records, write_record_array, write_record_arrays, write_records
 from leafmill.sources.tables import read_table, write_table
@@ -317,6 +318,68 @@ def upserted_search_text(spark, sf):
     return normalize.upsert(current, changes, TABLE_RECORD).select("frn", "make", "fullText")
 
 
+def _frn(modulus, rest=0):
+    return F.col("frn").cast("long") % modulus == rest
+
+
+def _updated(spark, rows, keys, name, gone, changed, added):
+    """A stored child table after a merge of conditions on its rows: (table, changes with their text, deleted keys)."""
+    rows = settle(rows, "child-rows")
+    stored = KeyedTable.create(spark, scratch_path(spark, "keyed"), rows, keys, buckets=16)
+    condition, column, value = changed
+    changes = rows.where(condition & ~gone).withColumn(column, value)
+    condition, values = added
+    new = rows.where(condition).withColumns(values)
+    changes = settle(with_full_text(changes.unionByName(new).drop("fullText"), name), "changes")
+    deleted = rows.where(gone)
+    return rows, stored.merge(changes, deleted), changes, deleted
+
+
+def _updated_notes(spark, sf):
+    return _updated(
+        spark, normalize.note_table(_records(spark, sf)), NOTE_KEY, TABLE_NOTE,
+        _frn(7) & (F.col("bullet_index") == 1),
+        (_frn(5), "note_value", F.concat("note_value", F.lit(" amended"))),
+        (_frn(11) & (F.col("bullet_index") == 0), {"bullet_index": F.lit(100), "note_value": F.lit("An added note")}))
+
+
+@query
+def updated_notes(spark, sf):
+    """Bullets deleted, changed and added by their keys; text of the changed ones is computed."""
+    return _updated_notes(spark, sf)[1].rows()
+
+
+@query
+def updated_sub_entries(spark, sf):
+    _, table_, _, _ = _updated(
+        spark, normalize.sub_entry_table(_records(spark, sf), "first_page_idx"), ("frn", "pos"), TABLE_SUB,
+        _frn(7) & (F.col("pos") == 0), (_frn(5), "shots", F.lit("9 shots")),
+        (_frn(11) & (F.col("pos") == 0), {"pos": F.lit(100), "calibre": F.lit("new")}))
+    return table_.rows()
+
+
+@query
+def updated_cross_references(spark, sf):
+    _, table_, _, _ = _updated(
+        spark, normalize.cross_reference_table(_records(spark, sf), "first_page_idx"), ("frn", "pos"), TABLE_XREF,
+        _frn(7) & (F.col("pos") == 0), (_frn(5), "description", F.concat(F.lit("see "), "description")),
+        (_frn(11) & (F.col("pos") == 0), {"pos": F.lit(100), "description": F.lit("added")}))
+    return table_.rows()
+
+
+@query
+def updated_note_lookup(spark, sf):
+    """Postings that follow the changes of the notes, before and after they are compacted."""
+    rows, _, changes, deleted = _updated_notes(spark, sf)
+    index = PostingIndex.create(spark, scratch_path(spark, "posting_index"), rows, NOTE_KEY).apply(changes, deleted)
+    out = None
+    for kind, state in (("parts", index), ("compact", index.compact())):
+        found = search.term_lookup(state.live(), "wrapped; tail", NOTE_KEY).union(search.prefix_lookup(state.live(), "amend", NOTE_KEY))
+        found = found.union(search.suffix_lookup(state.live(), "dded", NOTE_KEY)).withColumn("state", F.lit(kind))
+        out = found if out is None else out.union(found)
+    return out
+
+
 @query
 def table_lookup(spark, sf):
     folder = scratch_path(spark, "table_lookup")
