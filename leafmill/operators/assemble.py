@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.operators.pages import page_extract
-from leafmill.operators.runs import BLOCK, with_run_start
+from leafmill.operators.runs import with_run_start
 from leafmill.session import settle
 from leafmill.spec import DEFAULT_SPEC, PageSpec
 
@@ -53,14 +53,14 @@ def assemble_global(extracts: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataF
 
 
 def assemble_runs(extracts: DataFrame, spec: PageSpec = DEFAULT_SPEC,
-                  block: int = BLOCK, levels: int | None = None) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """One record per run of parent pages; a key that comes back later is a new record.
 
     Runs are found on document, position and key alone; the wide columns are shuffled once
     to meet their run, and after that only as partial aggregates.
     """
     narrow = extracts.select("doc_id", "page_idx", "frn")
-    started = with_run_start(narrow, "frn", block=block, levels=levels).select(
+    started = with_run_start(narrow, "frn", partitions=partitions).select(
         F.col("doc_id").alias("_doc"), F.col("page_idx").alias("_page"), "run_start")
     joined = extracts.join(
         started, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("page_idx") == F.col("_page"))).drop("_doc", "_page")

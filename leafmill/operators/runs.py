@@ -1,10 +1,10 @@
 """Run detection: consecutive pages with the same key, per document.
 
-A window over a whole document would put a huge document into one task.  Here the
-document is cut into blocks of positions; windows work inside a block, one summary
-row per block is carried over between blocks, and the summaries are themselves scanned
-the same way, so that no window group grows beyond ``block`` rows.  The number of levels
-follows the largest position; the result does not depend on it.
+A window over a whole document would put a huge document into one task.  Here document,
+position and key are sorted by ranges, whatever the documents are, and runs are found inside
+each range.  One row per range says how the range begins and ends; a running scan over those rows
+alone tells which range goes on with the run before it, and where that run began.  There is one
+level of this for any number and size of positions.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from leafmill.session import settle
 
-BLOCK = 4096
 NO_KEY = ""
 
 
@@ -23,92 +22,58 @@ def _known(key: str) -> Column:
     return F.when(F.col(key).isNull(), NO_KEY).otherwise(F.concat(F.lit("k"), F.col(key).cast("string")))
 
 
-def levels_for(largest: int | None, block: int = BLOCK) -> int:
-    """Summary levels above the items, so that the top window has at most ``block`` rows."""
-    levels, rest = 0, largest or 0
-    while rest >= block:
-        levels, rest = levels + 1, rest // block
-    return levels
-
-
-def _scan(items: DataFrame, doc: str, block: int, levels: int) -> DataFrame:
-    """Add ``_prev_key`` and ``_open_start`` (state before each item) to the items.
-
-    An item covers a stretch of positions and has ``_ord``, ``_first_pos``, ``_first_key``,
-    ``_last_key`` and ``_inner`` (position of the last key change inside, if any).
-    """
-    if levels == 0:
-        w = Window.partitionBy(doc).orderBy("_ord")
-        return (
-            items.withColumn("_prev_key", F.coalesce(F.lag("_last_key").over(w), F.lit(NO_KEY)))
-            .withColumn("_start", _start("_prev_key"))
-            .withColumn("_open_start", _latest_before("_start", w))
-            .drop("_start")
-        )
-    w = Window.partitionBy(doc, "_block").orderBy("_ord")
-    local = (
-        items.withColumn("_block", F.expr(f"_ord DIV {block}"))
-        .withColumn("_lag_key", F.lag("_last_key").over(w))
-    )
-    blocks = local.groupBy(doc, F.col("_block").alias("_ord")).agg(
-        F.min("_first_pos").alias("_first_pos"),
-        F.min_by("_first_key", "_ord").alias("_first_key"),
-        F.max_by("_last_key", "_ord").alias("_last_key"),
-        F.max(F.coalesce("_inner", F.when(F.col("_lag_key").isNotNull(), _start("_lag_key"))))
-        .alias("_inner"),
-    )
-    # One row per block: settled, so that the levels above do not read the items again.
-    carried = _scan(settle(blocks), doc, block, levels - 1).select(
-        F.col(doc).alias("_up_doc"), F.col("_ord").alias("_up_block"),
-        F.col("_prev_key").alias("_up_key"), F.col("_open_start").alias("_up_start"))
-    return (
-        local.join(carried, F.col(doc).eqNullSafe(F.col("_up_doc")) & F.col("_block").eqNullSafe(F.col("_up_block")))
-        .withColumn("_prev_key", F.coalesce("_lag_key", "_up_key"))
-        .withColumn("_start", _start("_prev_key"))
-        .withColumn("_open_start", F.coalesce(_latest_before("_start", w), "_up_start"))
-        .drop("_block", "_lag_key", "_up_doc", "_up_block", "_up_key", "_up_start", "_start")
-    )
-
-
-def _latest_before(start: str, w) -> Column:
-    return F.max(start).over(w.rowsBetween(Window.unboundedPreceding, -1))
-
-
-def _start(prev: str) -> Column:
-    """Last position inside the item at which a new run starts."""
-    return F.coalesce("_inner", F.when(F.col("_first_key") != F.col(prev), F.col("_first_pos")))
+def _local_runs(df: DataFrame, key: str, doc: str, pos: str, partitions: int | None) -> DataFrame:
+    """Stage table of the rows with their range ``_part``, the number ``_no`` of their run in it and where that run begins there."""
+    rows = df.withColumn("_key", _known(key))
+    ranged = rows.repartitionByRange(partitions, doc, pos) if partitions else rows.repartitionByRange(doc, pos)
+    placed = ranged.sortWithinPartitions(doc, pos).withColumn("_mid", F.monotonically_increasing_id())
+    placed = placed.withColumn("_part", F.shiftright("_mid", 33).cast("int"))
+    inside = Window.partitionBy("_part").orderBy("_mid")
+    own = F.struct(F.col(doc).alias("doc"), F.col("_key").alias("key"))
+    changed = placed.withColumn("_own", own).withColumn("_before", F.lag("_own").over(inside))
+    changed = changed.withColumn("_new", F.col("_before").isNull() | ~F.col("_own").eqNullSafe(F.col("_before")))
+    return settle(
+        changed.withColumn("_no", F.sum(F.col("_new").cast("int")).over(inside))
+        .withColumn("_begin", F.last(F.when(F.col("_new"), F.struct(F.col(pos).alias("pos"))), ignorenulls=True).over(inside))
+        .drop("_before", "_new", "_key"), "run-ranges")
+
+
+def _carried(local: DataFrame) -> DataFrame:
+    """(_part, _goes_on, _since): whether a range's first run began before it, and where; one row a range."""
+    ends = local.groupBy("_part").agg(
+        F.min_by("_own", "_mid").alias("first"), F.max_by("_own", "_mid").alias("last"),
+        F.max("_no").alias("n_runs"), F.max_by("_begin", "_mid").alias("begin"))
+    order = Window.orderBy("_part")
+    met = ends.withColumn("before", F.lag("last").over(order)).withColumn(
+        "_goes_on", F.col("before").isNotNull() & F.col("first").eqNullSafe(F.col("before")))
+    # the run that is open at a range's end began in it, unless all of the range is the run before
+    begun = F.when(~(F.col("_goes_on") & (F.col("n_runs") == 1)), F.col("begin"))
+    opened = met.withColumn("open", F.last(begun, ignorenulls=True).over(order))
+    return opened.select("_part", "_goes_on", F.lag("open").over(order).alias("_since"))
 
 
 def with_run_start(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "page_idx",
-                   block: int = BLOCK, levels: int | None = None) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Add ``run_start``, the position of the first row of the row's run.
 
     NULL keys end a run and belong to none (``run_start`` is NULL).  To let such rows be
     passed over instead, filter them out first.  Positions are unique within a document.
-    Rows of a NULL document are a document of their own; a NULL position comes first.
-    The input is read for (document, position, key) more than once; settle or stage it where
-    that is expensive.  ``levels`` is derived from the largest position unless given.
+    Rows of a NULL document are a document of their own; a NULL position comes first, and is the
+    start of the run it begins.  All columns are sorted, so pass narrow rows; ``partitions`` is the
+    number of ranges, by default what their size asks for.
     """
-    columns = df.columns
-    if levels is None:
-        levels = levels_for(df.agg(F.max(pos)).first()[0], block)
-    items = df.select(
-        "*", F.col(pos).alias("_ord"), F.col(pos).alias("_first_pos"),
-        _known(key).alias("_first_key"),
-        _known(key).alias("_last_key"),
-        F.lit(None).cast("bigint").alias("_inner"),
-    )
-    start = F.coalesce(_start("_prev_key"), F.col("_open_start"))
-    return _scan(items, doc, block, levels).select(
-        *columns, F.when(F.col(key).isNotNull(), start).alias("run_start"))
+    local = _local_runs(df, key, doc, pos, partitions)
+    # one row per range: a side of proven size
+    joined = local.join(F.broadcast(_carried(local)), "_part")
+    start = F.when((F.col("_no") == 1) & F.col("_goes_on"), F.col("_since.pos")).otherwise(F.col("_begin.pos"))
+    return joined.select(*df.columns, F.when(F.col(key).isNotNull(), start).alias("run_start"))
 
 
-def runs(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "page_idx",
-         block: int = BLOCK, levels: int | None = None) -> DataFrame:
+def runs(df: DataFrame, key: str, doc: str = "doc_id", pos: str = "page_idx", partitions: int | None = None) -> DataFrame:
     """One row per run: key, first and last position, number of rows."""
     narrow = df.select(doc, pos, key)
     return (
-        with_run_start(narrow, key, doc, pos, block, levels)
+        with_run_start(narrow, key, doc, pos, partitions)
         .filter(F.col(key).isNotNull())
         .groupBy(doc, "run_start")
         .agg(F.min(key).alias(key), F.max(pos).alias("run_end"), F.count("*").alias("n_pages"))

@@ -197,7 +197,7 @@ def event_runs(spark, sf):
         F.substring("event_type", 1, 1))
     events = table(spark, sf, "events").select(
         F.expr("event_id DIV 5000").alias("part"), "event_id", key.alias("kind"))
-    return runs.runs(events, "kind", doc="part", pos="event_id", block=16).select(
+    return runs.runs(events, "kind", doc="part", pos="event_id", partitions=16).select(
         "part", "kind", "run_start", "run_end", F.col("n_pages").alias("n_events"))
 
 

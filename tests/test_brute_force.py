@@ -183,11 +183,11 @@ def expected_runs(rows):
     return out
 
 
-@pytest.mark.parametrize("block,levels", [(2, 3), (4, 2), (16, 1), (64, 0), (4096, 2)])
-def test_runs_over_blocks(spark, block, levels):
-    rows = random_pages(random.Random(block), 3, 250)
+@pytest.mark.parametrize("partitions", [1, 2, 5, 16, 90, None])
+def test_runs_over_ranges(spark, partitions):
+    rows = random_pages(random.Random(partitions or 0), 3, 250)
     df = spark.createDataFrame(rows, "doc_id string, page_idx bigint, frn string")
-    got = with_run_start(df, "frn", block=block, levels=levels).collect()
+    got = with_run_start(df, "frn", partitions=partitions).collect()
     assert sorted(map(tuple, got), key=lambda r: r[:2]) == expected_runs(rows)
 
 
@@ -195,7 +195,7 @@ def test_page_lists_of_hot_key_are_split_not_cut(spark):
     """One key owns every page: its list comes in bounded parts and is complete."""
     df = spark.range(1000).select(
         F.lit("d").alias("doc_id"), F.col("id").alias("page_idx"), F.lit("9").alias("frn"))
-    parts = manifest.run_parts(df, block=16, levels=2, part=64)
+    parts = manifest.run_parts(df, partitions=6, part=64)
     assert parts.count() == 16
     lists = manifest.page_lists(manifest.pages_of_parts(df, manifest.last_parts(parts), part=64), part=64)
     rows = sorted(lists.collect(), key=lambda r: r["part"])
@@ -206,7 +206,7 @@ def test_page_lists_of_hot_key_are_split_not_cut(spark):
 def test_last_runs_of_random_pages(spark):
     rows = random_pages(random.Random(5), 2, 300)
     df = spark.createDataFrame(rows, "doc_id string, page_idx bigint, frn string")
-    parts = manifest.run_parts(df, block=8, levels=2, part=32)
+    parts = manifest.run_parts(df, partitions=9, part=32)
     kept = manifest.pages_of_parts(df, manifest.last_parts(parts), part=32)
     runs = {}
     for (doc, key, start), group in groupby(

@@ -249,13 +249,23 @@ def test_chunks_keep_rows_of_no_document_or_position(spark):
 def test_empty_keys_are_keys(spark):
     rows = [("d", 0, "a"), ("d", 1, None), ("d", 2, ""), ("d", 3, ""), ("e", 0, ""), ("e", 1, "x")]
     df = spark.createDataFrame(rows, "doc_id string, page_idx long, k string")
-    for block in (2, 4096):
-        got = {(r.doc_id, r.page_idx): r.run_start for r in runs.with_run_start(df, "k", block=block).collect()}
+    for partitions in (1, 2, 6):
+        got = {(r.doc_id, r.page_idx): r.run_start for r in runs.with_run_start(df, "k", partitions=partitions).collect()}
         assert got == {("d", 0): 0, ("d", 1): None, ("d", 2): 2, ("d", 3): 2, ("e", 0): 0, ("e", 1): 1}
 
 
-def test_levels_follow_the_largest_position():
-    assert [runs.levels_for(x, 4) for x in (None, 0, 3, 4, 15, 16, 64)] == [0, 0, 0, 1, 1, 2, 3]
+def test_runs_over_far_positions_and_many_ranges(spark):
+    """One run over several ranges, positions up to 2^60, a null document, a null position, and rows of no key."""
+    far = 1 << 60
+    rows = [("d", far + k, "a") for k in range(400)] + [("d", far + 400 + k, "b" if k % 2 else None) for k in range(20)]
+    rows += [(None, k, "a") for k in range(50)] + [("e", None, "a"), ("e", 1, "a"), ("e", 2, "b")]
+    df = spark.createDataFrame(rows, "doc_id string, page_idx long, k string")
+    for partitions in (1, 7, 40):
+        got = {(r.doc_id, r.page_idx): r.run_start for r in runs.with_run_start(df, "k", partitions=partitions).collect()}
+        assert len(got) == len(rows) and all(got["d", far + k] == far for k in range(400))
+        assert all(got["d", far + 400 + k] == (far + 400 + k if k % 2 else None) for k in range(20))
+        assert all(got[None, k] == 0 for k in range(50)) and got["e", 1] is None and got["e", 2] == 2
+    assert runs.with_run_start(df.limit(0), "k").count() == 0
 
 
 def test_page_lists_of_alternating_keys_are_linear(spark):
