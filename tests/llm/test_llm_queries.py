@@ -121,3 +121,13 @@ def test_pipeline_stages(spark, duck, sf_dir):
         total[r.source] += r.taken
         assert r.taken <= 2 * r.size
     assert all(abs(total[r.source] - r.target) <= 1 for r in five) and len(five) == four.count()
+
+
+def test_toxicity_learns_from_few_labels(spark, duck, sf_dir):
+    """52 labels to learn from, 6 of them toxic: no constant, and better than chance on those held out."""
+    toxic = dict(rows(duck, "SELECT doc_id, max(toxic) FROM labels GROUP BY doc_id"))
+    got = QUERIES["op2_toxicity"](spark, sf_dir).collect()
+    assert len({r.score for r in got}) > 20 and all(r.predicted == int(r.score >= 0.7) for r in got)
+    held = [(r.score, toxic[r.doc_id]) for r in got if r.held_out and r.doc_id in toxic]
+    pairs = [(a > b) + (a == b) / 2 for a, x in held if x == 1 for b, y in held if y == 0]
+    assert np.mean(pairs) > 0.6
