@@ -69,9 +69,9 @@ def load_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def blob_report(blobs: DataFrame, parent: DataFrame, key: str = "frn") -> DataFrame:
-    """Loaded and skipped blobs, counted per key first so that content is never shuffled.
+    """Loaded, repeated and skipped blobs, counted per key first so that content is never shuffled.
 
-    One blob of every known key is loaded; further ones and those of other keys are skipped.
+    One blob of every known key is loaded, further ones are repeated; those of other keys are skipped.
     """
     counted = blobs.groupBy(key).agg(F.count("*").alias("n_rows"))
     keys = parent.select(F.col(key).alias("_key")).distinct()
@@ -79,8 +79,8 @@ def blob_report(blobs: DataFrame, parent: DataFrame, key: str = "frn") -> DataFr
     known = F.col("_key").isNotNull()
     return joined.agg(
         F.coalesce(F.sum(F.when(known, 1)), F.lit(0)).cast("bigint").alias("n_loaded"),
-        F.coalesce(F.sum(F.when(known, F.col("n_rows") - 1).otherwise(F.col("n_rows"))), F.lit(0))
-        .cast("bigint").alias("n_skipped"),
+        F.coalesce(F.sum(F.when(known, F.col("n_rows") - 1)), F.lit(0)).cast("bigint").alias("n_repeated"),
+        F.coalesce(F.sum(F.when(~known, F.col("n_rows"))), F.lit(0)).cast("bigint").alias("n_skipped"),
     )
 
 
@@ -96,11 +96,16 @@ def flow_report(facts: DataFrame, records: DataFrame, blobs: DataFrame | None =
         records.filter(~keyed).agg(F.count("*").alias("n")).select(F.lit("records_skipped").alias("measure"), "n"),
     ]
     if blobs is not None:
-        counts = blob_report(blobs, records.filter(keyed), key)
-        totals.append(counts.select(F.expr("stack(2, 'blobs_loaded', n_loaded, 'blobs_skipped', n_skipped) AS (measure, n)")))
+        totals.append(blob_measures(blob_report(blobs, records.filter(keyed), key)))
     return reduce(DataFrame.unionByName, totals)
 
 
+def blob_measures(counts: DataFrame) -> DataFrame:
+    """:func:`blob_report` as ``(measure, n)``."""
+    return counts.select(F.expr(
+        "stack(3, 'blobs_loaded', n_loaded, 'blobs_repeated', n_repeated, 'blobs_skipped', n_skipped) AS (measure, n)"))
+
+
 def first_errors(rejects: DataFrame, message: str, k: int = SHOWN_ERRORS) -> DataFrame:
     """The first ``k`` messages and, if there are more, a row with the remaining number."""
     found = settle(rejects.select(F.col(message).cast("string").alias("message")))

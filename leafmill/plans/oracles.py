@@ -270,6 +270,14 @@ ORACLES["table_frn_pdf"] = """
 SELECT CAST(doc_id AS VARCHAR) AS frn, md5(to_base64(encode(text))) AS pdf64_md5 FROM documents
 WHERE doc_id IN (SELECT doc_id FROM labels)"""
 
+ORACLES["file_blobs"] = """
+SELECT CAST(page_id AS VARCHAR) AS frn, md5(c) AS pdf64_md5, CAST(length(c) AS INTEGER) AS n_chars
+FROM (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN '' ELSE coalesce(to_base64(encode(html)), '') END AS c FROM pages)"""
+ORACLES["file_list"] = """
+SELECT row_number() OVER (ORDER BY folder || '/' || page_id || '.pdf') AS id, CAST(page_id AS VARCHAR) AS frn, folder, length FROM (
+  SELECT page_id, 'a' AS folder, CASE WHEN page_id % 7 = 0 THEN 0 ELSE coalesce(octet_length(encode(html)), 0) END AS length FROM pages
+  UNION ALL SELECT page_id, 'b', octet_length(encode('second ' || page_id)) FROM pages WHERE page_id % 10 = 0)"""
+
 _CHANGED = "CASE WHEN level IS NULL THEN 'changed-' || ks ELSE make END"
 ORACLES["upserted_search_text"] = _with(BASE) + f"""
 SELECT ks AS frn, {_CHANGED} AS make,
@@ -308,6 +316,21 @@ UNION ALL SELECT frn, note_key, bullet_index, state FROM up, (VALUES ('parts'),
 UNION ALL SELECT frn, note_key, bullet_index, state FROM up, (VALUES ('parts'), ('compact')) AS s(state) WHERE note_value = 'An added note'"""
 ORACLES["table_lookup"] = _with(BASE) + """
 SELECT ks AS frn, country, type, make FROM b WHERE country = 'ASIA' AND type = 'F'"""
+ORACLES["clustered_lookup"] = _with(BASE) + """
+SELECT ks AS frn, country, legal_classification, make FROM b WHERE country = 'EUROPE' AND legal_classification = 'Antique'"""
+ORACLES["sub_entry_lookup"] = _with(BASE, SUBS) + """
+SELECT ks AS frn, sub_frn, shots, barrel_length FROM sb WHERE calibre = '308 WIN' AND sub_class = 'CC 84(3) Exempted'"""
+ORACLES["note_lookup"] = _with(BASE, NOTES) + """
+SELECT ks AS frn, note_key, bullet_index, note_value FROM nt WHERE ks = '34' AND note_key = 'legalLawComments'"""
+ORACLES["cross_reference_lookup"] = _with(BASE, XREFS) + """
+SELECT ks AS frn, ref_frn, description FROM xr WHERE ks = '34'"""
+ORACLES["blob_lookup"] = """
+SELECT 'v1.' || doc_id AS frn, md5(to_base64(encode(text))) AS pdf64_md5 FROM documents WHERE doc_id = 17"""
+ORACLES["appended_records"] = _with(BASE) + f"""
+SELECT ks AS frn, make, {_full(_RECORD_TEXT)} AS "fullText" FROM b"""
+ORACLES["replaced_key_pages"] = f"""
+SELECT doc_id, frn, run_start, page_idx, CASE WHEN CAST(frn AS BIGINT) % 5 = 0 THEN 'again ' ELSE '' END || first_line AS first_line
+FROM ({ORACLES["key_pages"]}) WHERE NOT (CAST(frn AS BIGINT) % 5 = 0 AND page_idx <> run_start)"""
 ORACLES["json_roundtrip"] = ORACLES["table_frn_note"]
 ORACLES["json_array_roundtrip"] = ORACLES["json_mixed_layouts"] = ORACLES["table_frn_note"]
 
@@ -329,7 +352,8 @@ SELECT 'pages_processed' AS measure, CAST(sum(1 + CAST(two AS INT) + CAST(k % 50
 UNION ALL SELECT 'records_loaded', count(*) FROM b
 UNION ALL SELECT 'records_skipped', CAST(0 AS BIGINT)
 UNION ALL SELECT 'blobs_loaded', (SELECT count(*) FROM known)
-UNION ALL SELECT 'blobs_skipped', CAST((SELECT sum(n) FROM f) - (SELECT count(*) FROM known) AS BIGINT)"""
+UNION ALL SELECT 'blobs_repeated', (SELECT CAST(sum(n) - count(*) AS BIGINT) FROM known)
+UNION ALL SELECT 'blobs_skipped', CAST((SELECT sum(n) FROM f) - (SELECT sum(n) FROM known) AS BIGINT)"""
 
 # --------------------------------------------------------------- integrity
 ORACLES["duplicate_keys"] = """
@@ -349,7 +373,7 @@ ORACLES["referential_violations"] = "\nUNION ALL\n".join(
         ("dbo_frnCrossReference", "conversations", "conv_id"), ("dbo_frnPdf", "documents", "doc_id")))
 ORACLES["blob_report"] = """
 SELECT count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels)) AS n_loaded,
-  count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS n_skipped FROM documents"""
+  CAST(0 AS BIGINT) AS n_repeated, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS n_skipped FROM documents"""
 ORACLES["first_errors"] = """
 WITH r AS (SELECT 'order ' || o_orderkey || ' has no line items' AS message FROM orders
   WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))
@@ -395,6 +419,9 @@ _NOTE_KEY = "SELECT DISTINCT ks AS frn, note_key, bullet_index FROM p"
 ORACLES["note_term_lookup"] = _NOTE_P + """
 SELECT ks AS frn, note_key, bullet_index FROM p WHERE side = 'f' AND token IN ('bullet', 'of', 'tail')
 GROUP BY ALL HAVING count(DISTINCT token) = 3"""
+ORACLES["note_block_lookup"] = _NOTE_P + """
+SELECT ks AS frn, note_key, bullet_index FROM p WHERE side = 'f' AND token IN ('bullet', 'of', '34')
+GROUP BY ALL HAVING count(DISTINCT token) = 3"""
 ORACLES["note_prefix_lookup"] = _NOTE_P + _NOTE_KEY + " WHERE side = 'f' AND token LIKE 'mark%'"
 ORACLES["note_suffix_lookup"] = _NOTE_P + _NOTE_KEY + " WHERE side = 'f' AND token LIKE '%ail'"
 

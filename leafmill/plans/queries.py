@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from leafmill.functions import keys, links, text
 from leafmill.functions.search import register_functions, search_text_of, with_full_text
 from leafmill.operators import (
-    assemble, ids, integrity, manifest, normalize, pages, runs, search,
+    assemble, blocks, ids, integrity, manifest, normalize, pages, runs, search,
 )
 from leafmill.plans.flow import run_flow
 from leafmill.plans.render import dealt, line_pages, rendered_pages, table
 from leafmill.session import scratch_path, settle
+from leafmill.sources.blobs import list_files, read_blobs, write_files
 from leafmill.sources.keyed import KeyedTable, PostingIndex
 from leafmill.sources.pages import read_paged_text, split_pages
 from leafmill.sources.records import read_records, write_record_array, write_record_arrays, write_records
 from leafmill.sources.tables import read_table, write_table
 from leafmill.spec import (
-    DEFAULT_SPEC, TABLE_BLOB, TABLE_NOTE, TABLE_RECORD, TABLE_SUB, TABLE_XREF,
+    DEFAULT_SPEC, LOOKUP_COLUMNS, TABLE_BLOB, TABLE_NOTE, TABLE_RECORD, TABLE_SUB, TABLE_XREF,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,6 +311,38 @@ def table_frn_pdf(spark, sf):
     return normalize.blob_rows(files, known).select("frn", F.md5("pdf64").alias("pdf64_md5"))
 
 
+def _page_files(spark, sf):
+    """Every page as a file of its own: some are empty, some keys have a second file in a later folder, some have another ending."""
+    folder = scratch_path(spark, "page_files")
+    html = F.when(F.col("page_id") % 7 != 0, F.encode("html", "UTF-8")).otherwise(F.expr("X''"))
+
+    def file(where: str, ending: str, content):
+        return F.struct(F.concat(F.lit(where + "/"), "page_id", F.lit(ending)).alias("name"), content.alias("content"))
+
+    second = F.encode(F.concat(F.lit("second "), "page_id"), "UTF-8")
+    every = F.array(
+        file("a", ".pdf", html), F.when(F.col("page_id") % 10 == 0, file("b", ".pdf", second)),
+        F.when(F.col("page_id") % 50 == 0, file("b", ".txt", second)))
+    rows = dealt(table(spark, sf, "pages").select("page_id", "html"), "page_id")
+    write_files(rows.select(F.explode_outer(F.filter(every, lambda f: f.isNotNull())).alias("f")).select("f.*"), folder)
+    return folder
+
+
+@query
+def file_blobs(spark, sf):
+    """Files read back by pattern, through all folders, the empty ones too; the lowest path of a key is loaded."""
+    return read_blobs(spark, _page_files(spark, sf), recursive=True).select(
+        "frn", F.md5("pdf64").alias("pdf64_md5"), F.length("pdf64").alias("n_chars"))
+
+
+@query
+def file_list(spark, sf):
+    """Files in the order of their paths, without their contents."""
+    listed = list_files(spark, _page_files(spark, sf), recursive=True)
+    return ids.with_row_id(listed, "path").select(
+        "id", "frn", F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder"), "length")
+
+
 @query
 def upserted_search_text(spark, sf):
     current = settle(normalize.record_table(_records(spark, sf)))
@@ -388,6 +421,63 @@ def table_lookup(spark, sf):
     return search.lookup(stored, country="ASIA", type="F").select("frn", "country", "type", "make")
 
 
+def _clustered(spark, rows, name):
+    """A table laid out by all its lookup columns together, read back."""
+    folder = scratch_path(spark, "clustered")
+    write_table(rows, folder, name, cluster=LOOKUP_COLUMNS[name])
+    return read_table(spark, folder, name)
+
+
+@query
+def clustered_lookup(spark, sf):
+    stored = _clustered(spark, normalize.record_table(_records(spark, sf)), TABLE_RECORD)
+    return search.lookup(stored, legal_classification="Antique", country="EUROPE").select("frn", "country", "legal_classification", "make")
+
+
+@query
+def sub_entry_lookup(spark, sf):
+    stored = _clustered(spark, normalize.sub_entry_table(_records(spark, sf)), TABLE_SUB)
+    return search.lookup(stored, calibre="308 WIN", legal_classification="CC 84(3) Exempted").select("frn", "sub_frn", "shots", "barrel_length")
+
+
+@query
+def note_lookup(spark, sf):
+    stored = _clustered(spark, normalize.note_table(_records(spark, sf)), TABLE_NOTE)
+    return search.lookup(stored, frn="34", note_key="legalLawComments").select("frn", "note_key", "bullet_index", "note_value")
+
+
+@query
+def cross_reference_lookup(spark, sf):
+    stored = _clustered(spark, normalize.cross_reference_table(_records(spark, sf)), TABLE_XREF)
+    return search.lookup(stored, frn="34").select("frn", "ref_frn", "description")
+
+
+@query
+def blob_lookup(spark, sf):
+    stored = _clustered(spark, normalize.blob_rows(_document_files(spark, sf)), TABLE_BLOB)
+    return search.lookup(stored, frn="v1.17").select("frn", F.md5("pdf64").alias("pdf64_md5"))
+
+
+@query
+def appended_records(spark, sf):
+    """Records in two loads; the keys of the second are tested against those stored."""
+    rows = settle(normalize.record_table(_records(spark, sf)))
+    later = F.crc32("frn") % 3 == 0
+    stored = KeyedTable.create(spark, scratch_path(spark, "appended"), rows.where(~later), ["frn"], buckets=8)
+    return stored.append(rows.where(later)).rows().select("frn", "make", "fullText")
+
+
+@query
+def replaced_key_pages(spark, sf):
+    """Page groups stored by key; a second load of every fifth key, with the first page of each only, replaces these keys."""
+    kept = manifest.last_parts(_run_parts(spark, sf))
+    grouped = settle(manifest.key_pages(rendered_pages(spark, sf), kept), "grouped")
+    stored = KeyedTable.create(spark, scratch_path(spark, "key_pages"), grouped, PAGE_KEY, buckets=64)
+    again = grouped.where(_frn(5) & (F.col("page_idx") == F.col("run_start"))).withColumn("text", F.concat(F.lit("again "), "text"))
+    return stored.replace(again, ("doc_id", "frn")).rows().select(
+        "doc_id", "frn", "run_start", "page_idx", F.split_part("text", F.lit("\n"), F.lit(1)).alias("first_line"))
+
+
 @query
 def json_roundtrip(spark, sf):
     folder = scratch_path(spark, "json_roundtrip")
@@ -560,6 +650,7 @@ def suffix_lookup(spark, sf):
 
 
 NOTE_KEY = ("frn", "note_key", "bullet_index")
+PAGE_KEY = ("doc_id", "frn", "page_idx")
 
 
 def _stored_note_postings(spark, sf):
@@ -574,6 +665,15 @@ def note_term_lookup(spark, sf):
     return search.term_lookup(_stored_note_postings(spark, sf), "Bullet of; tail", NOTE_KEY)
 
 
+@query
+def note_block_lookup(spark, sf):
+    """Two frequent terms and a rare one, in stored blocks of postings."""
+    folder = scratch_path(spark, "note_blocks")
+    posted = search.postings(normalize.note_table(_records(spark, sf)), NOTE_KEY, mirrored=False)
+    blocks.write_blocks(blocks.posting_blocks(posted, NOTE_KEY, block=256), folder)
+    return blocks.block_lookup(spark.read.parquet(folder), "Bullet of; 34", NOTE_KEY)
+
+
 @query
 def note_prefix_lookup(spark, sf):
     return search.prefix_lookup(_stored_note_postings(spark, sf), "Mark", NOTE_KEY)

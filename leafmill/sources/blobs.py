@@ -2,24 +2,82 @@
 
 from __future__ import annotations
 
+import re
+import sys
+import uuid
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import file_stem
 from leafmill.operators.normalize import blob_rows
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def read_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
+    """``(path, modificationTime, length, content)`` of every file.
 
-def read_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    Spark's scan leaves out files without bytes.  They are those of its own listing that it has no row for, and get a row
+    with empty content and no time; paths are compared for that, contents are neither read nor moved.
+    """
+    scan = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", str(recursive).lower()).load(folder))
+    scan = scan.select("path", "modificationTime", "length", "content")
+    # The listing names paths as URIs, the scan as plain text.
+    listed = [(re.sub(r"\A([\w+.-]+:)///", r"\1/", unquote(uri)),) for uri in scan.inputFiles()]
+    empty = spark.createDataFrame(listed, "path string").join(scan.select("path"), "path", "left_anti")
+    return scan.unionByName(empty.select(
+        "path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("bigint").alias("length"),
+        F.expr("X''").alias("content")))
 
 
-def read_blobs(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
+def read_blobs(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
     """``(frn, pdf64)`` of every file."""
-    return blob_rows(read_files(spark, folder, pattern))
+    return blob_rows(read_files(spark, folder, pattern, recursive))
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
     """Files in path order with their key; contents are not read."""
-    files = read_files(spark, folder, pattern).select(
+    files = read_files(spark, folder, pattern, recursive).select(
         "path", file_stem(F.col("path")).alias("frn"), "length")
     return files.orderBy("path")
+
+
+def _file_writer(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    uri = re.sub(r"\Afile:/+", "file:///", folder) if re.match(r"[\w+.-]+:", folder) else f"file://{folder}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = pafs.FileSystem.from_uri(uri)
+        made = set()
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content")):
+                path = f"{base}/{name}"
+                parent = path.rpartition("/")[0]
+                if parent not in made:
+                    store.create_dir(parent, recursive=True)
+                    made.add(parent)
+                # Scans pass over names with a leading dot; a task that runs again replaces the file by its like.
+                part = f"{parent}/.{uuid.uuid4().hex}"
+                with store.open_output_stream(part, compression=None) as out:
+                    out.write(content.as_buffer() if content.is_valid else b"")
+                if store.get_file_info(path).type != pafs.FileType.NotFound:
+                    store.delete_file(path)
+                store.move(part, path)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return run
+
+
+def write_files(files: DataFrame, folder: str) -> int:
+    """Write ``(name, content)`` as one file each, null as an empty one, and count them.
+
+    Tasks write their own rows; ``name`` may have folders.  All executors must reach ``folder``.
+    """
+    written = files.select("name", "content").mapInArrow(_file_writer(folder.rstrip("/")), "n long")
+    return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -18,10 +18,11 @@ from pyspark.sql.types import StructType
 from leafmill.functions.search import with_full_text
 from leafmill.operators.integrity import require_unique
 from leafmill.operators.search import postings, write_postings
+from leafmill.session import settle
 
 BUCKET = "keyed_bucket"
 ROWS_PER_BUCKET = 1_000_000
-_TABLE_STATE = "version int, keys array<string>, buckets int, schema string, parts map<int,string>"
+_TABLE_STATE = "version int, keys array<string>, buckets int, schema string, parts map<int,array<string>>"
 _INDEX_STATE = "version int, keys array<string>, base string, born int, parts array<struct<path:string,version:int>>, gone array<struct<path:string,version:int>>"
 
 
@@ -32,6 +33,12 @@ def _last_version(spark: SparkSession, folder: str, version: int | None):
     return states.orderBy(F.desc("version")).first()
 
 
+def _require_keys(rows: DataFrame, keys: Sequence[str]) -> None:
+    if rows.where(" OR ".join(f"`{c}` IS NULL" for c in keys)).take(1):
+        raise ValueError(f"null in a key of {list(keys)}")
+    require_unique(rows, *keys)
+
+
 def _commit(spark: SparkSession, folder: str, state: tuple, schema: str) -> None:
     spark.createDataFrame([state], schema).coalesce(1).write.mode("append").parquet(f"{folder}/versions")
 
@@ -40,18 +47,19 @@ class KeyedTable:
     """A table whose rows are named by one or several columns together, without nulls.
 
     Rows lie in buckets by a hash of the whole key, so that no key of a parent, however many rows it has, fills one.
-    A merge reads and rewrites the buckets of its keys, and leaves the files of all others as they are.
+    A merge reads and rewrites the buckets of its keys, and leaves the files of all others as they are; an append adds files.
     """
 
     def __init__(self, spark: SparkSession, folder: str, state):
         self.spark, self.folder = spark, folder
         self.version, self.keys, self.buckets = state["version"], list(state["keys"]), state["buckets"]
-        self.schema, self.parts = StructType.fromJson(json.loads(state["schema"])), dict(state["parts"])
+        self.schema = StructType.fromJson(json.loads(state["schema"]))
+        self.parts = {b: list(paths) for b, paths in state["parts"].items()}
 
     @classmethod
     def create(cls, spark: SparkSession, folder: str, rows: DataFrame, keys: Sequence[str], buckets: int | None = None) -> KeyedTable:
-        """Write ``rows``; fails if a key stands twice."""
-        require_unique(rows, *keys)
+        """Write ``rows``; fails if a key stands twice or has a null."""
+        _require_keys(rows, keys)
         buckets = buckets or max(1, -(-rows.count() // ROWS_PER_BUCKET))
         table = cls(spark, folder, {"version": -1, "keys": list(keys), "buckets": buckets, "schema": rows.schema.json(), "parts": {}})
         return table._put(rows, ())
@@ -65,7 +73,7 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def _read(self, buckets=None) -> DataFrame:
-        paths = [f"{self.folder}/{p}" for b, p in sorted(self.parts.items()) if buckets is None or b in buckets]
+        paths = [f"{self.folder}/{p}" for b, own in sorted(self.parts.items()) if buckets is None or b in buckets for p in own]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -73,14 +81,18 @@ class KeyedTable:
     def rows(self) -> DataFrame:
         return self._read()
 
+    def _buckets_of(self, keys: DataFrame) -> set[int]:
+        return {r[0] for r in keys.select(self._bucket().alias("b")).distinct().collect()}
+
     def _put(self, rows: DataFrame, touched) -> KeyedTable:
-        """Write ``rows`` as the whole content of the touched buckets, and commit."""
+        """Write ``rows`` as the whole content of the touched buckets and as more of the others, and commit."""
         path = f"data/{uuid.uuid4().hex}"
         (rows.withColumn(BUCKET, self._bucket()).repartition(BUCKET).sortWithinPartitions(BUCKET, *self.keys)
          .write.partitionBy(BUCKET).parquet(f"{self.folder}/{path}"))
         written = self.spark.read.schema(f"{BUCKET} int").parquet(f"{self.folder}/{path}").distinct().collect()
         parts = {b: p for b, p in self.parts.items() if b not in touched}
-        parts |= {r[0]: f"{path}/{BUCKET}={r[0]}" for r in written}
+        for (b,) in written:
+            parts[b] = [*parts.get(b, ()), f"{path}/{BUCKET}={b}"]
         state = (self.version + 1, self.keys, self.buckets, self.schema.json(), parts)
         _commit(self.spark, self.folder, state, _TABLE_STATE)
         return KeyedTable(self.spark, self.folder, dict(zip(("version", "keys", "buckets", "schema", "parts"), state)))
@@ -98,16 +110,49 @@ class KeyedTable:
         if text_of:
             changes = with_full_text(changes.drop("fullText"), text_of)
         changes = self._typed(changes, self.schema.names)
-        require_unique(changes, *self.keys)
+        _require_keys(changes, self.keys)
         asked = changes.select(*self.keys)
         if deleted is not None:
             asked = asked.union(self._typed(deleted, self.keys)).distinct()
-        touched = {r[0] for r in asked.select(self._bucket().alias("b")).distinct().collect()}
+        touched = self._buckets_of(asked)
         if not touched:
             return self
         kept = self._read(touched).join(asked, self.keys, "left_anti").select(*self.schema.names)
         return self._put(kept.union(changes), touched)
 
+    def append(self, rows: DataFrame) -> KeyedTable:
+        """Add rows of new keys; fails, with nothing written, if one of their keys is stored already.
+
+        Files of the table stay, the rows get files of their own.  Only key columns are read, of the buckets that the new keys
+        fall into, and of their row groups those between the least and the greatest new key.
+        """
+        rows = self._typed(rows, self.schema.names)
+        _require_keys(rows, self.keys)
+        touched = self._buckets_of(rows)
+        if not touched:
+            return self
+        clash = self._near(rows, touched).join(rows.select(*self.keys), self.keys, "left_semi").take(1)
+        if clash:
+            raise ValueError(f"duplicate key {clash[0].asDict()}")
+        return self._put(rows, ())
+
+    def _near(self, rows: DataFrame, buckets) -> DataFrame:
+        """Keys stored in the buckets, each column between the least and the greatest value in ``rows``."""
+        ends = rows.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(self.keys) for n, f in (("low", F.min), ("high", F.max))]).first()
+        stored = self._read(buckets).select(*self.keys)
+        for i, c in enumerate(self.keys):
+            stored = stored.where(F.col(c).between(F.lit(ends[f"low_{i}"]), F.lit(ends[f"high_{i}"])))
+        return stored
+
+    def replace(self, rows: DataFrame, by: Sequence[str]) -> KeyedTable:
+        """``rows`` take the place of all stored rows of their parents, which the key columns ``by`` name.
+
+        Buckets without rows of these parents, old or new, keep their files.
+        """
+        parents = rows.select(*by).distinct()
+        old = settle(self._read().select(*self.keys).join(parents, list(by), "left_semi").select(*self.keys), "replaced")
+        return self.merge(rows, old)
+
 
 class PostingIndex:
     """Postings of a table's search text that follow its changes.

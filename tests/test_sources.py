@@ -168,7 +168,7 @@ def test_blobs(spark, folder):
     parent = spark.createDataFrame([("12",)], "frn string")
     blobs = read_blobs(spark, str(folder))
     assert [r["frn"] for r in integrity.known_only(blobs, parent, "frn").collect()] == ["12"]
-    assert integrity.blob_report(blobs, parent).collect()[0].asDict() == {"n_loaded": 1, "n_skipped": 1}
+    assert integrity.blob_report(blobs, parent).collect()[0].asDict() == {"n_loaded": 1, "n_repeated": 0, "n_skipped": 1}
 
 
 def test_paged_text_in_splits(spark, folder):
@@ -197,6 +197,12 @@ def test_flow(spark, sf_dir, tmp_path):
     counts = {r["table_name"]: r["n_rows"] for r in result.load_report.collect()}
     assert counts == {"dbo_frn": 1500, "dbo_frnSubEntry": 2250, "dbo_frnNote": 2773,
                       "dbo_frnCrossReference": 1500, "dbo_frnPdf": 1}
+    counted = integrity.load_report(result.tables).collect()
+    assert {tuple(r) for r in counted} == set(counts.items())
+    facts = spark.read.parquet(out + "/stage/page_facts")
+    keys = spark.createDataFrame([("1",), ("none",)], "frn string")
+    assert {tuple(r) for r in result.report.collect()} == {
+        tuple(r) for r in integrity.flow_report(facts, result.records, keys).collect()}
     assert result.violations.count() == 0
     assert result.manifest.count() == 1500
     numbered = run_flow(spark, read_pages(spark, pages_path), str(tmp_path / "ids"), row_ids=True,
