@@ -412,6 +412,70 @@ def test_language_fusion(spark):
     assert langid.identify(langid.of_documents(documents(spark, [])), ["doc_id"]).count() == 0
 
 
+def _posteriors(rows):
+    """Plain sums of the fused posterior: rows are (id, text, declared, suffix, host, site)."""
+    def codes(text):
+        raw = [32 if b < 33 else b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()]
+        return [((a | b << 8 | c << 16) * 2654435761 % 2**32) >> 17 for a, b, c in zip(raw, raw[1:], raw[2:])]
+
+    known, names, size = langid.LANGUAGES, (*langid.LANGUAGES, "und"), 2**15
+    counts = {k: Counter() for k in known}
+    for _, text, declared, *_ in rows:
+        if declared in counts:
+            counts[declared].update(codes(text))
+    sums = {k: sum(counts[k].values()) + 0.01 * size for k in known}
+    evidence = []
+    for _, text, *_ in rows:
+        own = codes(text)
+        logs = [sum(math.log((counts[k][c] + 0.01) / sums[k]) for c in own) for k in known] + [-math.log(size) * len(own)]
+        evidence.append([x / (1 + len(own) / 100) for x in logs])
+    best = [e.index(max(e)) for e in evidence]
+    total, everything = Counter(best), len(rows)
+
+    def held(column):
+        out = defaultdict(Counter)
+        for r, b in zip(rows, best):
+            out[r[column] or ""][b] += 1
+        return out
+
+    by = {c: held(c) for c in (2, 3, 4, 5)}
+
+    def given(column, value, k):
+        own = by[column][value or ""]
+        return math.log((own[k] + 20 * own.total() / everything) / (total[k] + 20))
+
+    def host(r, k):
+        site, own = by[5][r[5] or ""], by[4][r[4] or ""]
+        p = (site[k] + 20 * (total[k] + 1) / (everything + 5)) / (site.total() + 20)
+        return math.log((own[k] + 20 * p) / (own.total() + 20))
+
+    for r, e in zip(rows, evidence):
+        logs = [e[k] + given(2, r[2], k) + given(3, r[3], k) + host(r, k) for k in range(5)]
+        share = [math.exp(x - max(logs)) for x in logs]
+        at = share.index(1.0)
+        yield r[0], names[at], 1 / sum(share), names[e.index(max(e))], names[at] == "und" or 1 / sum(share) < 0.5
+
+
+def test_language_posterior_against_plain_sums(spark):
+    rng = random.Random(31)
+    rows = []
+    for k, text, lang, _ in _language_rows()[:120]:
+        words_ = text.split()[: rng.choice((0, 1, 2, 5, 40))]
+        declared = rng.choice((lang, lang, "en", "xx", None))
+        host = rng.choice((f"{lang}.a.example", "b.example", None))
+        site = None if host is None else ".".join(host.split(".")[-2:])
+        rows.append((k, " ".join(words_).title() or None, declared, rng.choice((lang, "com", None)), host, site))
+    shape = "doc_id long, text string, declared string, suffix string, host string, site string"
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, shape), ["doc_id"]).collect()}
+    assert len(got) == len(rows) and len({r.lang for r in got.values()}) >= 4
+    for i, lang, posterior, text_lang, rejected in _posteriors(rows):
+        assert math.isclose(got[i].posterior, posterior, rel_tol=1e-3), i
+        assert got[i].text_lang == text_lang and (got[i].lang, got[i].rejected) == (lang, rejected), i
+    # nothing known of any text: all evidence is equal, and the language named first takes ties
+    blank = spark.createDataFrame([(i, "", None, None, None, None) for i in range(5)], shape)
+    assert {(r.lang, r.text_lang) for r in langid.identify(blank, ["doc_id"]).collect()} == {("en", "en")}
+
+
 def test_language_of_pages(spark):
     pages = spark.createDataFrame([(1, "https://m.x.example.com/de/1?q=2", '<!DOCTYPE html><html class=a lang="de-AT"><script>var x="<p>";</script><p>Text'),
                                    (2, None, None), (3, "http://y.fr", "<HTML LANG=fr>x")], "page_id long, url string, html string")
