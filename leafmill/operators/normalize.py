@@ -9,6 +9,7 @@ from leafmill.functions.search import with_full_text
 from leafmill.functions.text import base64_text, file_stem, table_text
 from leafmill.operators.ids import with_row_id
 from leafmill.operators.integrity import require_unique
+from leafmill.session import settle
 from leafmill.spec import (
     DEFAULT_SPEC, TABLE_BLOB, TABLE_NOTE, TABLE_RECORD, TABLE_SUB, TABLE_XREF, PageSpec,
 )
@@ -94,18 +95,27 @@ def cross_reference_table(records: DataFrame, *keep: str) -> DataFrame:
     return with_full_text(flat, TABLE_XREF)
 
 
-def blob_rows(files: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def blob_rows(files: DataFrame, known: DataFrame | None = None, paths: DataFrame | None = None) -> DataFrame:
     """``(path, content)`` -> ``(frn, pdf64)``: key from the file name, content as text.
 
     One blob per key, that of the lowest path.  With ``known`` keys other blobs are dropped.  Both
-    is decided on path and key alone, before any content is moved or encoded.
+    is decided on path and key alone, before any content is moved or encoded; ``paths`` are those of
+    ``files`` where they are known already.  Without ``known`` keys the join is with the further paths of
+    keys that have several, so that contents stay where they are read while those are few.
     """
-    chosen = files.select(file_stem(F.col("path")).alias("frn"), "path")
+    named = (files if paths is None else paths).select(file_stem(F.col("path")).alias("frn"), "path")
     if known is not None:
-        chosen = chosen.join(known.select("frn").distinct(), "frn", "left_semi")
-    chosen = chosen.groupBy("frn").agg(F.min("path").alias("path"))
-    return files.select("path", "content").join(chosen, "path").select(
-        "frn", base64_text(F.col("content")).alias("pdf64"))
+        named = named.join(known.select("frn").distinct(), "frn", "left_semi")
+    chosen = named.groupBy("frn").agg(F.min("path").alias("_first"))
+    if known is not None:
+        kept = files.select("path", "content").join(chosen.withColumnRenamed("_first", "path"), "path")
+    else:
+        # Settled, so that its size is known.  An anti join would be moved below the packing of small files into tasks.
+        further = settle(named.join(chosen, "frn").where("path != _first").select("path").distinct(), "further")
+        kept = (files.select("path", "content").where("path IS NOT NULL")
+                .join(further.withColumn("_further", F.lit(True)), "path", "left").where("_further IS NULL")
+                .withColumn("frn", file_stem(F.col("path"))))
+    return kept.select("frn", base64_text(F.col("content")).alias("pdf64"))
 
 
 def tables(records: DataFrame, blobs: DataFrame | None = None, *keep: str,

@@ -323,8 +323,7 @@ def _page_files(spark, sf):
     every = F.array(
         file("a", ".pdf", html), F.when(F.col("page_id") % 10 == 0, file("b", ".pdf", second)),
         F.when(F.col("page_id") % 50 == 0, file("b", ".txt", second)))
-    rows = dealt(table(spark, sf, "pages").select("page_id", "html"), "page_id")
-    write_files(rows.select(F.explode_outer(F.filter(every, lambda f: f.isNotNull())).alias("f")).select("f.*"), folder)
+    write_files(table(spark, sf, "pages").select(F.explode_outer(F.filter(every, lambda f: f.isNotNull())).alias("f")).select("f.*"), folder)
     return folder
 
 

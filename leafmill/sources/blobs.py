@@ -16,37 +16,61 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.text import file_stem
 from leafmill.operators.normalize import blob_rows
+from leafmill.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+TASK_BYTES = 128 << 20
 
-def read_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
-    """``(path, modificationTime, length, content)`` of every file.
+
+def _scan(spark: SparkSession, folder: str, pattern: str, recursive: bool) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", str(recursive).lower()).load(folder))
+
+
+def _packed(scan: DataFrame, size: int) -> DataFrame:
+    """As many tasks as run at once or as ``size`` bytes ask for; Spark would give each a handful of small files."""
+    return scan.coalesce(max(scan.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+
+
+def _listing(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """``(path, modificationTime, length)`` of every file, as a stage table.
 
     Spark's scan leaves out files without bytes.  They are those of its own listing that it has no row for, and get a row
-    with empty content and no time; paths are compared for that, contents are neither read nor moved.
+    without a time; contents are not read.
     """
-    scan = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-            .option("recursiveFileLookup", str(recursive).lower()).load(folder))
-    scan = scan.select("path", "modificationTime", "length", "content")
+    seen = settle(_packed(scan.select("path", "modificationTime", "length"), 0), "files")
     # The listing names paths as URIs, the scan as plain text.
     listed = [(re.sub(r"\A([\w+.-]+:)///", r"\1/", unquote(uri)),) for uri in scan.inputFiles()]
-    empty = spark.createDataFrame(listed, "path string").join(scan.select("path"), "path", "left_anti")
-    return scan.unionByName(empty.select(
-        "path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("bigint").alias("length"),
-        F.expr("X''").alias("content")))
+    empty = spark.createDataFrame(listed, "path string").join(seen.select("path"), "path", "left_anti")
+    return seen.unionByName(settle(empty.select(
+        "path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("bigint").alias("length")), "empty"))
+
+
+def _contents(scan: DataFrame, listing: DataFrame) -> DataFrame:
+    size = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    columns = ["path", "modificationTime", "length", "content"]
+    return _packed(scan.select(*columns), size).unionByName(
+        listing.where("length = 0").withColumn("content", F.expr("X''")).select(*columns))
+
+
+def read_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
+    """``(path, modificationTime, length, content)`` of every file, empty ones too."""
+    scan = _scan(spark, folder, pattern, recursive)
+    return _contents(scan, _listing(spark, scan))
 
 
 def read_blobs(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
     """``(frn, pdf64)`` of every file."""
-    return blob_rows(read_files(spark, folder, pattern, recursive))
+    scan = _scan(spark, folder, pattern, recursive)
+    listing = _listing(spark, scan)
+    return blob_rows(_contents(scan, listing), paths=listing)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
     """Files in path order with their key; contents are not read."""
-    files = read_files(spark, folder, pattern, recursive).select(
-        "path", file_stem(F.col("path")).alias("frn"), "length")
-    return files.orderBy("path")
+    listing = _listing(spark, _scan(spark, folder, pattern, recursive))
+    return listing.select("path", file_stem(F.col("path")).alias("frn"), "length").orderBy("path")
 
 
 def _file_writer(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
