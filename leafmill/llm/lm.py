@@ -5,8 +5,12 @@ to the shard of the context.  A shard adds them up and writes one file to the sh
 sorted 64-bit hashes of its pairs with their counts, and sorted contexts with their totals and the
 numbers of followers seen once, twice and more.  It passes on how many contexts each word follows; word
 shards add these up and write sorted words with counts and continuation counts.  The
-number of shards follows the bytes of the texts, so a shard's task is of bounded size; a single
-context's followers are bounded by the vocabulary.
+number of shards follows the bytes of the texts, so a shard's task is of bounded size.
+
+*Hot contexts.*  A scan before finds every context that is a HOT_SHARE-th of all tokens (and no more than
+twice as many as that, in all).  Their pairs are dealt to all shards by the whole pair, and the shards'
+totals and follower counts of such a context are added up afterwards and go with the model's figures, so that no word
+makes a shard large.  Which contexts are found changes where pairs lie, never a probability.
 
 *Scoring.*  Workers map the files into memory and search them with sorted blocks of the
 pairs of a text slice.  Only pages that are asked for are read; nothing is shuffled or broadcast but the list of
@@ -42,6 +46,7 @@ from leafmill.llm.words import mix, slices, words
 SHARD_BYTES = 24 << 20
 TASK_PAIRS = 3_000_000
 SCORE_BYTES = 8 << 20
+HOT_SHARE = 1000
 _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)
 _PAIR = _U(0xD1B54A32D192ED03)
@@ -49,7 +54,11 @@ _PAIR = _U(0xD1B54A32D192ED03)
 
 @dataclass(frozen=True)
 class Model:
-    """Files by shard (path, number of pairs, of contexts / words), and global figures."""
+    """Files by shard (path, number of pairs, of contexts / words), and global figures.
+
+    ``hot``: sorted hashes of the contexts whose pairs lie in all shards; ``hot_facts``: for each its total and
+    the numbers of followers seen once, twice and more.
+    """
 
     pairs: dict[int, tuple[str, int, int]]
     words: dict[int, tuple[str, int]]
@@ -60,6 +69,8 @@ class Model:
     discounts: tuple[float, float, float]
     word_discounts: tuple[float, float, float]
     word_rest: float
+    hot: np.ndarray
+    hot_facts: np.ndarray
 
 
 def _pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,6 +92,13 @@ def _shard(x: np.ndarray, shards: int) -> np.ndarray:
     return ((mix(x ^ _PAIR) >> _U(33)) % _U(shards)).astype(np.int64)
 
 
+def _among(sorted_: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Whether each of ``asked`` is in ``sorted_``, which may be empty."""
+    if not len(sorted_):
+        return np.zeros(len(asked), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, asked), len(sorted_) - 1)] == asked
+
+
 def _pair_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * _PAIR + word)
 
@@ -95,11 +113,45 @@ def _summed(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[n
     return context[at], word[at], np.add.reduceat(count, at) if len(at) else count
 
 
-def _count(shards: int):
-    def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        context, word = (np.concatenate(x) for x in zip(*held))
+def _flushed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Contexts and words of a task's texts, about TASK_PAIRS at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            context, word, _ = _pairs(piece.column("text"))
+            held.append((context, word))
+            size += len(word)
+            if size >= TASK_PAIRS:
+                yield tuple(np.concatenate(x) for x in zip(*held))
+                held, size = [], 0
+    if size:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of half a HOT_SHARE-th of the tokens of a flush, and without a context the number of these tokens.
+
+    A context of a HOT_SHARE-th of all tokens has at least half of them in flushes that report it.
+    """
+    for context, _ in _flushed(batches):
+        own, count = np.unique(context, return_counts=True)
+        often = 2 * HOT_SHARE * count >= len(context)
+        yield pa.record_batch({"context": pa.array([None, *own[often].view(np.int64).tolist()], pa.int64()),
+                               "n": pa.array([len(context), *count[often].tolist()], pa.int64())})
+
+
+def hot_contexts(texts: DataFrame) -> np.ndarray:
+    """Sorted hashes of all contexts of a HOT_SHARE-th of the tokens of ``texts`` (text), and of some of half as many."""
+    counted = stage(texts.select("text").mapInArrow(_frequent, "context long, n long").groupBy("context").agg(F.sum("n").alias("n")), "lm-hot")
+    total = counted.where("context is null").agg(F.sum("n")).first()[0] or 0
+    found = counted.where(F.col("context").isNotNull() & (2 * HOT_SHARE * F.col("n") >= total)).select("context").collect()
+    return np.sort(np.array([r["context"] for r in found], np.int64).view(np.uint64))
+
+
+def _count(shards: int, hot: np.ndarray):
+    def flush(context: np.ndarray, word: np.ndarray) -> Iterator[pa.RecordBatch]:
         context, word, count = _summed(context, word, np.ones(len(word), np.int64))
-        part = _shard(context, shards)
+        part = _shard(np.where(_among(hot, context), _pair_hash(context, word), context), shards)
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(shards + 1))
         for s in np.flatnonzero(np.diff(cuts)):
@@ -112,17 +164,8 @@ def _count(shards: int):
                                    "counts": pa.array([k.tobytes()], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                context, word, _ = _pairs(piece.column("text"))
-                held.append((context, word))
-                size += len(word)
-                if size >= TASK_PAIRS:
-                    yield from flush(held)
-                    held, size = [], 0
-        if held:
-            yield from flush(held)
+        for context, word in _flushed(batches):
+            yield from flush(context, word)
 
     return run
 
@@ -141,7 +184,7 @@ def _blobs(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
 
 
-def _merge_pairs(folder: str, shards: int):
+def _merge_pairs(folder: str, shards: int, hot: np.ndarray):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         context = np.repeat(_blobs(table, "contexts", np.uint64), _blobs(table, "runs", np.uint32))
@@ -158,14 +201,18 @@ def _merge_pairs(folder: str, shards: int):
         part = _shard(own, shards)
         by = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[by], np.arange(shards + 1))
+        spread = np.flatnonzero(_among(hot, context[head]))
+        facts = [{"context": int(c), "facts": [int(f[i]) for f in (total, *followers)]}
+                 for i, c in zip(spread, context[head][spread].view(np.int64))]
         rows = {"path": [path], "shard": [shard], "size": [len(key)], "others": [len(head)],
-                "seen": [[int((count == k).sum()) for k in (1, 2, 3, 4)]], "words": [None], "kinds": [None], "tokens": [None]}
+                "seen": [[int((count == k).sum()) for k in (1, 2, 3, 4)]], "hot": [facts], "words": [None], "kinds": [None], "tokens": [None]}
         for s in np.flatnonzero(np.diff(cuts)):
             mine = by[cuts[s]: cuts[s + 1]]
-            for c, v in (("path", None), ("shard", int(s)), ("size", None), ("others", None), ("seen", None), ("words", own[mine].tobytes()),
+            for c, v in (("path", None), ("shard", int(s)), ("size", None), ("others", None), ("seen", None), ("hot", None), ("words", own[mine].tobytes()),
                          ("kinds", kinds[mine].tobytes()), ("tokens", tokens[mine].astype(np.uint32).tobytes())):
                 rows[c].append(v)
-        types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+        shared = pa.list_(pa.struct([("context", pa.int64()), ("facts", pa.list_(pa.int64()))]))
+        types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), shared, pa.binary(), pa.binary(), pa.binary())
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(rows.items(), types)})
 
     return run
@@ -200,20 +247,24 @@ def train(texts: DataFrame) -> tuple[str, Model]:
     folder = new_folder(spark, "lm")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    counted = texts.select("text").mapInArrow(_count(shards), "shard int, contexts binary, runs binary, words binary, counts binary")
+    hot = hot_contexts(texts)
+    counted = texts.select("text").mapInArrow(_count(shards, hot), "shard int, contexts binary, runs binary, words binary, counts binary")
     merged = stage(counted.groupBy("shard").applyInArrow(
-        _merge_pairs(folder, shards),
-        "path string, shard int, size long, others long, seen array<long>, words binary, kinds binary, tokens binary"), "lm-pairs")
+        _merge_pairs(folder, shards, hot),
+        "path string, shard int, size long, others long, seen array<long>, hot array<struct<context long, facts array<long>>>, words binary, kinds binary, tokens binary"), "lm-pairs")
     pairs = merged.where("path is not null").select("path", "shard", "size", "others", "seen").collect()
     words_ = stage(merged.where("path is null").select("shard", "words", "kinds", "tokens").groupBy("shard").applyInArrow(
         _merge_words(folder), "path string, shard int, size long, seen array<long>"), "lm-words").collect()
+    shared = merged.select(F.inline("hot")).groupBy("context").agg(F.array(*(F.sum(F.col("facts")[i]) for i in range(4))).alias("facts")).collect()
+    facts = {r["context"]: r["facts"] for r in shared}
     n = np.sum([r["seen"] for r in pairs], 0) if pairs else np.zeros(4, int)
     m = np.sum([r["seen"] for r in words_], 0) if words_ else np.zeros(7, int)
     d = discounts(*(int(x) for x in m[:4]))
     rest = float(d[0] * m[0] + d[1] * m[1] + d[2] * m[4])
     return folder, Model(
         {r["shard"]: (r["path"], r["size"], r["others"]) for r in pairs}, {r["shard"]: (r["path"], r["size"]) for r in words_},
-        shards, int(m[5]), sum(r["size"] for r in words_), int(m[6]), discounts(*(int(x) for x in n)), d, rest)
+        shards, int(m[5]), sum(r["size"] for r in words_), int(m[6]), discounts(*(int(x) for x in n)), d, rest,
+        hot, np.array([facts[c] for c in hot.view(np.int64).tolist()], np.int64).reshape(-1, 4))
 
 
 class _Maps:
@@ -276,25 +327,26 @@ def _log_probabilities(model: Model, maps: _Maps, context: np.ndarray, word: np.
     low = (_take_off(kinds, model.word_discounts) + model.word_rest * unknown) / model.kinds if model.kinds else np.full(len(own), unknown)
 
     first, of = np.unique(context, return_inverse=True)
-    high, rest = np.zeros(len(word)), np.ones(len(first))
-    by_context = np.argsort(of, kind="stable")
-    ends = np.searchsorted(of[by_context], np.arange(len(first) + 1))
+    high, sums, rest = np.zeros(len(word)), np.zeros(len(first)), np.ones(len(first))
     d1, d2, d3 = model.discounts
-    for s, rows in _by_shard(first, model.shards):
+    is_hot = _among(model.hot, first)
+    total, n1, n2, n3 = model.hot_facts[np.searchsorted(model.hot, first[is_hot])].T
+    sums[is_hot], rest[is_hot] = total, (d1 * n1 + d2 * n2 + d3 * n3) / total
+    key = _pair_hash(context, word)
+    for s, rows in _by_shard(np.where(is_hot[of], key, context), model.shards):
         if s not in model.pairs:
             continue
         path, n, m = model.pairs[s]
         keys, contexts, total, n1, n2, n3, count = maps.arrays(
             path, [(np.uint64, n), (np.uint64, m), (np.int64, m), (np.uint32, m), (np.uint32, m), (np.uint32, m), (np.uint32, n)])
-        got, at = _find(contexts, first[rows])
-        sums = np.zeros(len(first))
-        sums[rows[got]] = total[at]
-        rest[rows[got]] = (d1 * n1[at] + d2 * n2[at] + d3 * n3[at]) / total[at]
-        at_pairs = by_context[np.concatenate([np.arange(ends[r], ends[r + 1]) for r in rows[got]])] if len(got) else np.zeros(0, np.int64)
-        key = _pair_hash(context[at_pairs], word[at_pairs])
-        order = np.argsort(key)
+        own = np.unique(of[rows])
+        own = own[~is_hot[own]]
+        got, at = _find(contexts, first[own])
+        sums[own[got]] = total[at]
+        rest[own[got]] = (d1 * n1[at] + d2 * n2[at] + d3 * n3[at]) / total[at]
+        order = rows[np.argsort(key[rows])]
         found, where = _find(keys, key[order])
-        here = at_pairs[order[found]]
+        here = order[found]
         high[here] = _take_off(count[where].astype(np.int64), model.discounts) / sums[of[here]]
     return np.log10(high + rest[of] * low[back]), tokens[back]
 

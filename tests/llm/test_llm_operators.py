@@ -251,7 +251,10 @@ def test_warc_archives_and_damage():
 
 
 # 5: language model
-def test_kneser_ney_against_plain_sums(spark):
+@pytest.mark.parametrize("shard_bytes, hot_share", [(lm.SHARD_BYTES, lm.HOT_SHARE), (300, 12), (300, 1)])
+def test_kneser_ney_against_plain_sums(spark, monkeypatch, shard_bytes, hot_share):
+    monkeypatch.setattr(lm, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(lm, "HOT_SHARE", hot_share)
     rng = random.Random(6)
     texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(rng.randrange(0, 30))) for _ in range(60)] + [None, "", "Zz zz"]
     rows = list(enumerate(texts))
@@ -264,6 +267,8 @@ def test_kneser_ney_against_plain_sums(spark):
         if i % 4:
             tokens.update(s)
             pairs.update(zip(["<s>"] + s, s))
+    assert 0 < len(model.hot) <= 2 * hot_share if hot_share > 1 else len(model.hot) == 0
+    assert (model.shards > 4) == (shard_bytes == 300)
     followers, before, total = defaultdict(Counter), Counter(), Counter()
     for (u, w), c in pairs.items():
         followers[u][min(c, 3)] += 1
@@ -292,6 +297,17 @@ def test_kneser_ney_against_plain_sums(spark):
         assert math.isclose(r.score, sum(math.log10(prob(u, w)) for u, w in zip(["<s>"] + s, s)), rel_tol=1e-9)
 
 
+def test_followers_of_a_hot_word_are_dealt_to_all_shards(spark, monkeypatch):
+    """A word is a third of all tokens, with 4,000 different followers."""
+    monkeypatch.setattr(lm, "SHARD_BYTES", 8000)
+    rows = [(k, " ".join("the f%d x%d" % (40 * k + j, rng) for j, rng in enumerate(random.Random(k).sample(range(10**6), 40)))) for k in range(100)]
+    _, model = lm.train(documents(spark, rows))
+    sizes = [size for _, size, _ in model.pairs.values()]
+    assert len(model.pairs) == model.shards > 5 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    the = words_of(pa.array(["the"]))[0]
+    assert list(model.hot_facts[np.searchsorted(model.hot, the)][0]) == [4000, 4000, 0, 0]
+
+
 def test_language_model_edges(spark):
     folder, model = lm.train(documents(spark, []))
     got = lm.score(documents(spark, odd_rows(), clashing=True), folder, model).collect()
