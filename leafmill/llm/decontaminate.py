@@ -12,8 +12,10 @@ weighs as one that a single item holds.
 A document is compared with items that share a shingle with it only; lists of each shingle's items give them, so that
 the work of a document does not grow with the number of other items.
 
-The benchmark is a query set: it goes through in blocks of about ``BLOCK_WORDS`` words, each sent
-to all tasks, and any number of blocks may follow.  Documents are read whole and never shuffled.
+The benchmark is a query set in blocks of about ``BLOCK_WORDS`` words.  A task per block builds its index and writes it to
+the shared folder; nothing of an item passes through the driver.  Documents are read once, whole, and never shuffled:
+a worker hashes a slice of texts and goes through the blocks with it, holding one index at a time, in turns forwards and
+backwards, so that a single block is loaded once.  Files have names of their own attempt and are reported, so a lost executor leaves nothing that counts.
 
 Defined results: null and empty texts and items match nothing; an item or document of fewer than
 five words is one shingle as a whole, so such an item matches only a document equal to it; repeated
@@ -24,22 +26,24 @@ text, whatever its id is; empty tables give no rows; other columns are ignored,
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import word_count
+from leafmill.llm.shared import file_system, new_folder, stage, word_count
 from leafmill.llm.words import mix, shingles, slices, words
 
 WORDS, SIMILARITY = 5, 0.8
 BLOCKS, NEAR_BITS = 8, 2
 RADIUS = BLOCKS * (NEAR_BITS + 1) - 1
 BLOCK_WORDS = 2_000_000
+SLICE_BYTES = 16 << 20
+_LEAKS = "doc_id long, item_id long, similarity double, first_word long, n_words long"
 _BITMAP_BITS = 22
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _U = np.uint64
@@ -183,71 +187,106 @@ def _search(index: ItemIndex, value: np.ndarray, hits: np.ndarray, shared: np.nd
         yield item, min(alike, 1.0), start, size
 
 
-def _match(get_index, ids: list, n: int, similarity: float):
+class _Blocks:
+    """The written indexes, one in memory at a time."""
+
+    def __init__(self, folder: str, files: list[str]):
+        self.folder, self.files, self.name, self.held = folder, files, None, None
+
+    def __iter__(self) -> Iterator[tuple[ItemIndex, list]]:
+        """All (index, item ids); the last one asked for comes last this time and first the next."""
+        for name in self.files:
+            if name != self.name:
+                self.held = None
+                fs, base = file_system(self.folder)
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as source:
+                    fields, ids = pickle.loads(source.read())
+                self.name, self.held = name, (ItemIndex(*fields), ids)
+            yield self.held
+        self.files = self.files[::-1]
+
+
+def _match(folder: str, files: list[str], n: int, similarity: float):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),
                         ("first_word", pa.int64()), ("n_words", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = get_index()
+        blocks = _Blocks(folder, files)
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE_BYTES if len(files) > 1 else SLICE_BYTES // 4):
                 hashes, begin = words(piece.column("text"))
                 value, bounds = shingles(hashes, begin, n)
-                hits, shared = index.lookup(value)
-                rows = np.searchsorted(bounds, hits, side="right") - 1
                 docs, out = piece.column("doc_id").to_pylist(), []
-                cuts = np.append(np.flatnonzero(np.diff(rows, prepend=-1)), len(rows))
-                for start, end in zip(cuts[:-1], cuts[1:]):
-                    row, own = rows[start], slice(start, end)
-                    low, high = bounds[row], bounds[row + 1]
-                    out += [(docs[row], ids[x[0]], *x[1:]) for x in _search(
-                        index, value[low:high], hits[own] - low, shared[own], n, int(begin[row + 1] - begin[row]), similarity)]
+                for index, ids in blocks:
+                    hits, shared = index.lookup(value)
+                    rows = np.searchsorted(bounds, hits, side="right") - 1
+                    cuts = np.append(np.flatnonzero(np.diff(rows, prepend=-1)), len(rows))
+                    for start, end in zip(cuts[:-1], cuts[1:]):
+                        row, own = rows[start], slice(start, end)
+                        low, high = bounds[row], bounds[row + 1]
+                        out += [(docs[row], ids[x[0]], *x[1:]) for x in _search(
+                            index, value[low:high], hits[own] - low, shared[own], n, int(begin[row + 1] - begin[row]), similarity)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[k] for x in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, item_id, similarity, first_word, n_words): each item's best window in each document."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _write_index(folder: str, n: int, n_items: int):
+    def run(items: pa.Table, counts: pa.Table) -> pa.Table:
+        files = []
+        if items.num_rows:
+            items = items.sort_by([("item_id", "ascending"), ("text", "ascending")])
+            held = dict(zip(counts["shingle"].to_numpy().view(np.uint64).tolist(), counts["items"].to_pylist()))
+            index = ItemIndex.of(items["text"].combine_chunks(), n, n_items, held)
+            fs, base = file_system(folder)
+            fs.create_dir(base, recursive=True)
+            files.append(f"items-{items['block'][0].as_py()}-{uuid.uuid4().hex}.bin")
+            fields = tuple(getattr(index, f) for f in ItemIndex.__dataclass_fields__)
+            with fs.open_output_stream(f"{base}/{files[0]}", compression=None) as sink:
+                sink.write(pickle.dumps((fields, items["item_id"].to_pylist()), protocol=5))
+        return pa.table({"file": pa.array(files, pa.string())})
+
+    return run
+
+
+def _index_files(benchmark: DataFrame, n: int) -> tuple[str, list[str]]:
+    """Folder and names of the written indexes of all items, one file per block."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").withColumn("words", word_count(F.col("text")))
-    found = spark.createDataFrame([], "doc_id long, item_id long, similarity double, first_word long, n_words long")
     total = items.agg(F.count("*").alias("items"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
-    # items are dealt to blocks of about BLOCK_WORDS words by a hash
-    n_items, n_blocks = total["items"], -(-total["words"] // BLOCK_WORDS)
-    blocks = items.where("words > 0").withColumn("block", F.pmod(F.xxhash64("text", "item_id"), F.lit(n_blocks)))
-    held = _held(items, n)
-    for block in range(n_blocks):
-        own = blocks.where(F.col("block") == block).orderBy("item_id", "text").collect()
-        if not own:
-            continue
-        own_texts = pa.array([x["text"] for x in own], pa.string())
-        value, _ = shingles(*words(own_texts), n)
-        mine = np.unique(value).view(np.int64)
-        counts = {x["shingle"] & 0xFFFFFFFFFFFFFFFF: x["items"] for x in held.join(
-            F.broadcast(spark.createDataFrame(pa.table({"shingle": mine}))), "shingle").collect()}
-        index = ItemIndex.of(own_texts, n, n_items, counts)
-        shipped = spark.sparkContext.broadcast(cloudpickle.dumps(index))
-        ids = [x["item_id"] for x in own]
-        found = found.union(texts.mapInArrow(
-            _match(lambda shipped=shipped: pickle.loads(shipped.value), ids, n, similarity),
-            "doc_id long, item_id long, similarity double, first_word long, n_words long"))
-    return found
-
-
-def _held(items: DataFrame, n: int) -> DataFrame:
-    """(shingle, items): how many items of the whole benchmark hold a shingle."""
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            value, bounds = shingles(*words(batch.column("text")), n)
-            sets = [np.unique(value[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["shingle"])
+    folder = new_folder(benchmark.sparkSession, "benchmark")
+    n_blocks = -(-total["words"] // BLOCK_WORDS)
+    if not n_blocks:
+        return folder, []
+    # items are dealt to blocks by a hash
+    block = F.pmod(F.xxhash64("text", "item_id"), F.lit(n_blocks)).cast("int").alias("block")
+    blocks = items.where("words > 0").select(block, "item_id", "text")
+    own = stage(blocks.select("block", "text").mapInArrow(lambda batches: _distinct_shingles(batches, n), "block int, shingle long"),
+                "benchmark-shingles")
+    held = own.groupBy("shingle").agg(F.count("*").alias("items"))
+    counts = own.distinct().join(held, "shingle").select("block", "shingle", "items")
+    files = stage(blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
+        _write_index(folder, n, total["items"]), "file string"), "benchmark-files")
+    return folder, sorted(r["file"] for r in files.collect())
+
+
+def _distinct_shingles(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """(block, shingle) of each distinct shingle of each item."""
+    for batch in batches:
+        value, bounds = shingles(*words(batch.column("text")), n)
+        sets = [np.unique(value[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        block = np.repeat(batch.column("block").to_numpy(), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array(flat.view(np.int64))], ["block", "shingle"])
 
-    return items.select("text").mapInArrow(own, "shingle long").groupBy("shingle").agg(F.count("*").alias("items"))
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, item_id, similarity, first_word, n_words): each item's best window in each document."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    folder, files = _index_files(benchmark, n)
+    if not files:
+        return docs.sparkSession.createDataFrame([], _LEAKS)
+    return texts.mapInArrow(_match(folder, files, n, similarity), _LEAKS)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -36,11 +36,10 @@ from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import new_folder, stage
+from leafmill.llm.shared import file_system, new_folder, stage
 from leafmill.llm.words import mix, slices, words
 
 SHARD_BYTES = 24 << 20
@@ -171,7 +170,7 @@ def _count(shards: int, hot: np.ndarray):
 
 
 def _save(folder: str, kind: str, shard: int, arrays: list[np.ndarray]) -> str:
-    fs, base = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    fs, base = file_system(folder)
     fs.create_dir(base, recursive=True)
     name = f"{kind}-{shard}-{uuid.uuid4().hex}.bin"
     with fs.open_output_stream(f"{base}/{name}", compression=None) as sink:
@@ -281,7 +280,7 @@ class _Maps:
                 with open(f"{unquote(parsed.path)}/{name}", "rb") as f:
                     self.open[name] = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
             else:
-                fs, base = pafs.FileSystem.from_uri(self.uri)
+                fs, base = file_system(self.uri)
                 with tempfile.TemporaryFile() as f, fs.open_input_stream(f"{base}/{name}", compression=None) as source:
                     while block := source.read(1 << 22):
                         f.write(block)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +32,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder as a worker reaches it, and the folder's path there."""
+    return pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a stage table to the shared folder and go on from the written rows."""
     path = new_folder(df.sparkSession, name)

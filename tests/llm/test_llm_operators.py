@@ -578,7 +578,10 @@ def test_only_items_that_share_a_shingle_are_looked_at():
     assert index.holders(index.lookup(common)[1]).tolist() == [0, 1, 2]
 
 
-def test_leaks_against_all_windows(spark):
+@pytest.mark.parametrize("block_words, slice_bytes", [(decontaminate.BLOCK_WORDS, decontaminate.SLICE_BYTES), (100, 2000)])
+def test_leaks_against_all_windows(spark, monkeypatch, block_words, slice_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", slice_bytes)
     rng = random.Random(9)
     vocabulary = ["v%d" % k for k in range(300)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(9, 50)))) for k in range(25)]
@@ -594,7 +597,12 @@ def test_leaks_against_all_windows(spark):
             text[cut:cut] = item
         docs.append((k, "  ".join(text).upper() if k % 3 else " ".join(text)))
     docs += [(200, None), (201, ""), (202, "Tiny item"), (203, "a tiny item here"), (204, items[0][1]), (204, items[0][1])]
-    got = decontaminate.find_leaks(documents(spark, docs, clashing=True), spark.createDataFrame(items, "item_id long, text string")).collect()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert (len(decontaminate._index_files(bench, 5)[1]) > 4) == (block_words == 100)
+    found = decontaminate.find_leaks(documents(spark, docs, clashing=True), bench)
+    got = found.collect()
+    # the documents are scanned once, whatever the number of blocks
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     want = _leaks(docs, items)
     assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
     assert len(want) > 30 and (202, 51) in want and (203, 51) not in want
