@@ -44,6 +44,8 @@ from leafmill.llm.words import mix, slices, words
 
 SHARD_BYTES = 24 << 20
 TASK_PAIRS = 3_000_000
+#: a merge task has about one shard up to this many tasks, and several shards one after the other beyond
+MERGE_TASKS = 20_000
 SCORE_BYTES = 8 << 20
 HOT_SHARE = 1000
 _U = np.uint64
@@ -248,11 +250,13 @@ def train(texts: DataFrame) -> tuple[str, Model]:
     shards = max(1, -(-size // SHARD_BYTES))
     hot = hot_contexts(texts)
     counted = texts.select("text").mapInArrow(_count(shards, hot), "shard int, contexts binary, runs binary, words binary, counts binary")
-    merged = stage(counted.groupBy("shard").applyInArrow(
+    # four times as many tasks as shards, so that few shards meet in a task
+    tasks = min(4 * shards, MERGE_TASKS)
+    merged = stage(counted.repartition(tasks, "shard").groupBy("shard").applyInArrow(
         _merge_pairs(folder, shards, hot),
         "path string, shard int, size long, others long, seen array<long>, hot array<struct<context long, facts array<long>>>, words binary, kinds binary, tokens binary"), "lm-pairs")
     pairs = merged.where("path is not null").select("path", "shard", "size", "others", "seen").collect()
-    words_ = stage(merged.where("path is null").select("shard", "words", "kinds", "tokens").groupBy("shard").applyInArrow(
+    words_ = stage(merged.where("path is null").select("shard", "words", "kinds", "tokens").repartition(tasks, "shard").groupBy("shard").applyInArrow(
         _merge_words(folder), "path string, shard int, size long, seen array<long>"), "lm-words").collect()
     shared = merged.select(F.inline("hot")).groupBy("context").agg(F.array(*(F.sum(F.col("facts")[i]) for i in range(4))).alias("facts")).collect()
     facts = {r["context"]: r["facts"] for r in shared}
