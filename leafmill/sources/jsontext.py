@@ -24,6 +24,11 @@ from pyspark.sql import functions as F
 from leafmill.session import settle
 
 END = "}"
+# brackets that open are 1, those that close -1, quotes 2
+_KIND = np.zeros(256, np.int8)
+_KIND[[ord("{"), ord("[")]] = 1
+_KIND[[ord("}"), ord("]")]] = -1
+_KIND[ord('"')] = 2
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,37 +39,45 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.col("_metadata.file_size").alias("file_size"))
 
 
-def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte: quotes that open or close a string up to it, and how it changes the depth outside strings."""
-    quotes = data == 34
+def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where brackets and quotes are, the quotes that open or close a string up to each, and how each changes the depth outside strings."""
+    kind = _KIND[data]
+    at = np.flatnonzero(kind)
+    kind = kind[at]
+    quotes = kind == 2
     slashes = data == 92
     if slashes.any():
-        at = np.arange(len(data))
+        every = np.arange(len(data))
         # length of the run of backslashes that ends before each byte
-        before = np.concatenate(([-1], np.maximum.accumulate(np.where(slashes, -1, at))[:-1]))
-        quotes &= (at - 1 - before) % 2 == 0
-    step = ((data == 123) | (data == 91)).astype(np.int8) - ((data == 125) | (data == 93)).astype(np.int8)
-    return np.cumsum(quotes, dtype=np.int32), step
+        before = np.concatenate(([-1], np.maximum.accumulate(np.where(slashes, -1, every))[:-1]))
+        quotes &= ((every - 1 - before) % 2 == 0)[at]
+    return at, np.cumsum(quotes, dtype=np.int32), np.where(kind == 2, 0, kind)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str]]:
-    """((file, start, ...), text) of neighbouring pieces of a split, without the last piece's end."""
+def _texts(column: pa.StringArray, low: int, high: int) -> np.ndarray:
+    """The bytes of these pieces, an end behind each."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset + low: column.offset + high + 1]
+    first, size = int(offsets[0]), int(offsets[-1] - offsets[0])
+    out = np.full(size + high - low, ord(END), np.uint8)
+    if size:
+        own = np.ones(len(out), bool)
+        own[(offsets[1:] - first) + np.arange(high - low)] = False
+        out[own] = np.frombuffer(column.buffers()[2], np.uint8)[first: first + size]
+    return out
+
+
+def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """(file, start, ...) and the bytes of neighbouring pieces of a split, in order; an end is added behind every piece."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = batch.column("value").to_pylist()
+        column = batch.column("value").cast(pa.string())
         names = [f for f in batch.schema.names if f != "value"]
         split = batch.column("file").dictionary_encode().indices.to_numpy()
         starts = batch.column("start").to_numpy()
         cuts = np.flatnonzero((np.diff(split) != 0) | (np.diff(starts) != 0)) + 1
-        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
-            yield tuple(batch.column(c)[low].as_py() for c in names), END.join(texts[low:high])
-
-
-def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Iterator[np.ndarray]]]:
-    """Each split's key and its bytes, in order; an end is added behind every piece."""
-    for key, text in _runs(batches):
-        yield key, np.frombuffer((text + END).encode(), np.uint8)
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(column)]):
+            yield tuple(batch.column(c)[low].as_py() for c in names), _texts(column, low, high)
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +93,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held is not None:
                 yield row()
             held, total = key, [0, 0, 0, 0, None]
-        quotes, step = _marks(data)
+        _, quotes, step = _marks(data)
         closed = quotes % 2 == 0
         even, odd = int(step[closed].sum()), int(step[~closed].sum())
         total[0] += len(data)
@@ -107,7 +120,7 @@ def split_states(spark: SparkSession, path: str | list[str], concatenated: bool
     ``base`` is the depth at which objects are top-level; ``extra`` marks a split whose last end the file does not have.
     With ``concatenated``, all files are one text in the order of their names.  Fails if a text does not end as it must.
     """
-    found = _pieces(spark, path).mapInArrow(_summaries, _SUMMARY_SQL)
+    found = settle(_pieces(spark, path).mapInArrow(_summaries, _SUMMARY_SQL), "json-splits")
     file = Window.partitionBy("file")
     text = (F.lit("") if concatenated else F.col("file")).alias("text")
     order = Window.partitionBy("text").orderBy("file", "start")
@@ -137,18 +150,19 @@ def _objects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(found: list[tuple[int, str]]) -> pa.RecordBatch:
         file, start = held[0], held[1]
         n = len(found)
-        return pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array([start] * n, pa.int64()),
+        return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(file, pa.string()), n), pa.repeat(pa.scalar(start, pa.int64()), n),
                                            pa.array([p for p, _ in found], pa.int32()), pa.array([t for _, t in found], pa.string())],
                                           ["file", "start", "part", "value"])
 
     def feed(data: np.ndarray) -> list[tuple[int, str]]:
-        quotes, step = _marks(data)
+        at, quotes, step = _marks(data)
         inside = (quotes + state["in_string"]) % 2 == 1
-        depth = state["depth"] + np.cumsum(np.where(inside, 0, step), dtype=np.int64)
-        base = state["base"]
-        opens = np.flatnonzero((step == 1) & ~inside & (depth == base + 1) & (data == 123))
-        closes = np.flatnonzero((step == -1) & ~inside & (depth == base) & (data == 125)) + 1
-        out, at = [], 0
+        step = np.where(inside, 0, step)
+        depth = state["depth"] + np.cumsum(step, dtype=np.int64)
+        base, sign = state["base"], data[at]
+        opens = at[(step == 1) & (depth == base + 1) & (sign == 123)]
+        closes = at[(step == -1) & (depth == base) & (sign == 125)] + 1
+        out = []
         if state["open"]:
             if not len(closes):
                 state["carry"].append(data.tobytes())
@@ -164,8 +178,9 @@ def _objects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((1, raw[low:high].decode()))
             if len(opens) > len(closes):
                 state["open"], state["carry"] = "here", [raw[int(opens[-1]):]]
-        state["in_string"] = int(inside[-1])
-        state["depth"] = int(depth[-1])
+        if len(at):
+            state["in_string"] = int(inside[-1])
+            state["depth"] = int(depth[-1])
         return out
 
     def last() -> list[tuple[int, str]]:

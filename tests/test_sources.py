@@ -3,6 +3,7 @@
 import base64
 import json
 
+import pyarrow as pa
 import pytest
 
 from leafmill.operators import integrity, normalize
@@ -217,3 +218,17 @@ def test_flow(spark, sf_dir, tmp_path):
     assert again is None and read_table(spark, out + "/second", TABLE_BLOB).count() == 0
     with pytest.raises(ValueError):
         run_flow(spark, read_pages(spark, pages_path), str(tmp_path / "runs"), mode="runs", strict=True)
+
+
+def test_array_files_are_scanned_once_for_their_states(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": "}\\"{"}, {"b": [1]}]')
+    states = jsontext.split_states(spark, str(tmp_path))
+    assert [tuple(r) for r in states.select("in_string", "depth", "base").collect()] == [(False, 0, 1)]
+    assert "MapInArrow" not in states._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("low,high", [(0, 5), (1, 4), (2, 3), (4, 5)])
+def test_pieces_are_joined_from_their_buffers(low, high):
+    pieces = ["skipped", "{\"é\":1", "", "世{", "", "x"]
+    column = pa.array(pieces)[1:]
+    assert jsontext._texts(column, low, high).tobytes().decode() == "".join(p + "}" for p in pieces[1:][low:high])
