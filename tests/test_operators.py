@@ -7,6 +7,7 @@ from leafmill.functions import links, text
 from leafmill.functions.search import register_functions, search_text_of, tokens, with_full_text
 from leafmill import session
 from leafmill.operators import assemble, ids, integrity, manifest, normalize, pages, runs, search
+from leafmill.plans.queries import QUERIES
 from leafmill.plans.render import rendered_pages
 from leafmill.sources.tables import read_table, write_table
 from leafmill.spec import LINK_FILE_PATTERN, TABLE_NOTE, TABLE_RECORD
@@ -331,3 +332,27 @@ def test_shared_folder_is_required_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+def test_filter_on_a_field_parses_each_page_once(spark, sf_dir):
+    out = QUERIES["indirect_values"](spark, sf_dir)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+
+
+def test_rows_with_a_value(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "")], "id int, make string")
+    got = pages.with_value(df, "make")
+    assert got.columns == ["id", "make"]
+    assert sorted(map(tuple, got.collect())) == [(1, "a"), (3, "")]
+
+
+def test_label_lines_are_taken_apart_without_patterns(stored_pages):
+    text_plan = stored_pages.transform(pages.with_fields)._jdf.queryExecution().optimizedPlan().toString()
+    assert text_plan.count("regexp_replace") == 2
+
+
+def test_whitespace_runs_collapse_and_single_blanks_stay(spark):
+    texts = ["a b", "a  b", "a \tb", "a\t b", "a\tb", " a   b ", "\x1ca\n\nb c  ", "   ", "", "a 　"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r["x"] for r in df.select(text.collapse(F.col("s")).alias("x")).collect()]
+    assert got == [" ".join(t.split()) for t in texts]
