@@ -20,9 +20,9 @@ have a passage in common fail this at once, and so do the far members of a group
 the same nodes one is kept.  In each of ``STARS`` rounds every shingle proposes one centre against its other
 nodes of another component, which is one pair per posting: first the node with the fewest
 shingles of its own, later a random one.  Verified links join components.  After these rounds each
-shingle proposes the pairs across components that were not tried, each pair at its first shared shingle, of the
-same or neighbouring classes of size, and
-only if the bounds allow it and enough of the prefix that ends earlier is common.
+shingle proposes the pairs across components that were not tried, of the same or neighbouring classes of size, and
+only if the bounds allow it and enough of the prefix that ends earlier is common from this shingle on; at the first
+shared shingle that is all they have in common.
 Within a component no pair needs to be tried, so a group of many near copies stays linear.
 
 Defined results: a null, empty or blank text has an empty set and no links; texts of fewer than five
@@ -102,9 +102,9 @@ def frequency_sketch(docs: DataFrame, n: int = WORDS) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _marks(ids: DataFrame) -> np.ndarray:
-    """A bitmap of 2**MARK_BITS bits with the hashes of ``ids`` (doc_id)."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS))
+def _marks(ids: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of 2**MARK_BITS bits with the hashes of ``ids`` (key)."""
+    place = F.pmod(F.xxhash64(key), F.lit(1 << MARK_BITS))
     words = (ids.select(place.alias("h")).groupBy(F.shiftright("h", 5).cast("int").alias("word"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(h & 31 as int)))").alias("bits")).toArrow())
     out = np.zeros(1 << MARK_BITS - 5, np.uint32)
@@ -112,19 +112,19 @@ def _marks(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _marked(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``texts`` (doc_id, text) whose id may be among ``ids``: what is surely not goes before any shuffle."""
-    marks = texts.sparkSession.sparkContext.broadcast(_marks(ids))
+def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` may be among ``ids``: what is surely not goes before any shuffle."""
+    marks, columns = rows.sparkSession.sparkContext.broadcast(_marks(ids, key)), rows.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = marks.value
         for batch in batches:
             h = batch.column("h").to_numpy()
             known = (bits[h >> 5] >> (h & 31).astype(np.uint32)) & np.uint32(1)
-            yield batch.select(["doc_id", "text"]).filter(pa.array(known.astype(bool)))
+            yield batch.select(columns).filter(pa.array(known.astype(bool)))
 
-    hashed = texts.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS)).alias("h"))
-    return hashed.mapInArrow(keep, "doc_id long, text string")
+    hashed = rows.where(F.col(key).isNotNull()).withColumn("h", F.pmod(F.xxhash64(key), F.lit(1 << MARK_BITS)))
+    return hashed.mapInArrow(keep, rows.schema)
 
 
 def _prefix(size: np.ndarray | int, percent: int):
@@ -259,19 +259,21 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         _prepare(lambda: counters.value, n, percent),
         "doc_id long, n_shingles long, node long, first array<long>, last long, second binary"), "join-sets")
 
-    posted = prepared.where("first is not null").select("node", F.explode("first").alias("shingle"))
-    common = posted.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    # dealt by shingle once: the groups and the join read the same shuffle, as both need the node
+    posted = prepared.where("first is not null").select("node", F.explode("first").alias("shingle")).repartition("shingle")
+    common = posted.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("shingle")
     met = stage(posted.join(common, "shingle").distinct(), "join-met")
     lists = met.groupBy("shingle").agg(
         F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("all"))
     lists = stage(lists.where("low < high"), "join-lists")
     shared = met.join(lists.select("shingle"), "shingle", "left_semi")
+    held = prepared.where("first is not null").select("node", "n_shingles", "doc_id", "last", "second", F.size("first").alias("n_first"))
     nodes = stage(
-        prepared.where("first is not null").join(shared.groupBy("node").agg(
+        _marked(held, shared, "node").join(shared.groupBy("node").agg(
             F.count("*").alias("n_shared"), F.sort_array(F.collect_list("shingle")).alias("own")), "node")
         .groupBy("node").agg(
             F.first("n_shingles").alias("size"), F.first("second").alias("body"), F.min("doc_id").alias("doc_id"),
-            F.first("last").alias("last"), F.first("own").alias("own"), (F.first("n_shingles") - F.first(F.size("first")) + F.first("n_shared")).alias("most")),
+            F.first("last").alias("last"), F.first("own").alias("own"), (F.first("n_shingles") - F.first("n_first") + F.first("n_shared")).alias("most")),
         "join-nodes")
     kept = lists.groupBy("n", "low", "high", "all").agg(F.min("shingle").alias("shingle")).select("shingle")
     # a node's own figures travel with its postings: x.node, x.size, x.last, x.most
@@ -300,7 +302,7 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         left = stage(_compare(pairs, second, light), "join-candidates")
         asked = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
         wanted = stage(nodes.join(asked, "node", "left_semi").select("node", "doc_id"), "join-wanted")
-        sets = stage(_marked(texts, wanted).join(wanted, "doc_id").select("node", "text").mapInArrow(bodies, "node long, size long, body binary"),
+        sets = stage(_marked(texts, wanted, "doc_id").join(wanted, "doc_id").select("node", "text").mapInArrow(bodies, "node long, size long, body binary"),
                      "join-bodies").dropDuplicates(["node"])
         return stage(_compare(left, sets, full), "join-links")
 
@@ -320,15 +322,19 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
             pairs = (grouped.join(spans.select("shingle", F.col("centre.x").alias("y"), F.col("centre.comp").alias("comp2")), "shingle")
                      .where(F.col("comp") != F.col("comp2")))
         else:
+            # of a pair's first shared shingle, all it shares come behind: the part in front need not travel
+            # it travels as upper halves of the hashes; ``lost`` of them are equal to another one's
+            halves = F.transform(F.filter("own", lambda v: v >= F.col("shingle")), lambda v: F.shiftright(v, 32).cast("int"))
+            own = F.array_distinct("halves").alias("own")
             open_ = stage(grouped.join(spans.select("shingle"), "shingle").join(nodes.select("node", "own"), "node")
-                          .select("shingle", "x", "comp", "own", _size_class(F.col("x.size"), percent).alias("class")), "join-open")
-            other = open_.select("shingle", F.col("x").alias("y"), F.col("comp").alias("comp2"), F.col("own").alias("own2"),
+                          .withColumn("halves", halves).select("shingle", "x", "comp", own, (F.size("halves") - F.size(own)).alias("lost"), _size_class(F.col("x.size"), percent).alias("class")), "join-open")
+            other = open_.select("shingle", F.col("x").alias("y"), F.col("comp").alias("comp2"), F.col("own").alias("own2"), F.col("lost").alias("lost2"),
                                  F.col("class").alias("class2"), F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
-            common = F.array_intersect("own", "own2")
+            common = F.size(F.array_intersect("own", "own2")) + F.least("lost", "lost2")
             apart = F.when(F.col("class") == F.col("class2"), F.col("comp") < F.col("comp2")).otherwise(F.col("comp") != F.col("comp2"))
             pairs = open_.join(other, ["shingle", "class"]).where(
                 apart & _allowed(F.col("x"), F.col("y"), percent)
-                & _enough(F.col("x"), F.col("y"), F.size(common), percent) & (F.array_min(common) == F.col("shingle")))
+                & _enough(F.col("x"), F.col("y"), common, percent))
         pairs = pairs.where(_allowed(F.col("x"), F.col("y"), percent)).select(
             F.col("x.node").alias("node"), F.col("y.node").alias("other"))
         pairs = _ordered(pairs.select(F.col("node").alias("a"), F.col("other").alias("b")))

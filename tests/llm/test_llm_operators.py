@@ -55,6 +55,28 @@ def test_join_when_no_star_proposes_a_pair(spark):
     assert {c for _, c in got.values()} == {1, 10, 20}
 
 
+def test_join_moves_only_what_is_compared(spark, monkeypatch):
+    staged = {}
+
+    def stage(df, name):
+        staged.setdefault(name, []).append((df, kept(df, name)))
+        return staged[name][-1][1]
+
+    kept = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", stage)
+    passages = [" ".join("%s%d" % (name, k) for k in range(100)) for name in "pq"]
+    rows = [(1, " ".join(passages))]
+    rows += [(10 * (k + 1) + c, text + " " + " ".join("own%d_%d_%d" % (k, c, j) for j in range(8)))
+             for k, text in enumerate(passages) for c in range(3)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_components(documents(spark, rows)).collect()}
+    assert got == components(dict(rows))
+    # prefixes are counted before nodes are joined; behind a shared shingle only the rest is kept, in halves
+    assert "first(size(" not in staged["join-nodes"][0][0]._jdf.queryExecution().optimizedPlan().toString()
+    for _, left in staged["join-open"]:
+        assert left.schema["own"].dataType.simpleString() == "array<int>"
+        assert all(v >= r.shingle >> 32 for r in left.collect() for v in r.own)
+
+
 def test_join_of_texts_that_rows_without_id_repeat(spark):
     base = ["t%d" % k for k in range(60)]
     near = base[:-1] + ["other"]
