@@ -53,13 +53,14 @@ def assemble_global(extracts: DataFrame, spec: PageSpec = DEFAULT_SPEC) -> DataF
 
 
 def assemble_runs(extracts: DataFrame, spec: PageSpec = DEFAULT_SPEC,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, keyed: DataFrame | None = None) -> DataFrame:
     """One record per run of parent pages; a key that comes back later is a new record.
 
     Runs are found on document, position and key alone; the wide columns are shuffled once
-    to meet their run, and after that only as partial aggregates.
+    to meet their run, and after that only as partial aggregates.  ``keyed`` are these three
+    columns of ``extracts``, where they are stored already.
     """
-    narrow = extracts.select("doc_id", "page_idx", "frn")
+    narrow = extracts.select("doc_id", "page_idx", "frn") if keyed is None else keyed
     started = with_run_start(narrow, "frn", partitions=partitions).select(
         F.col("doc_id").alias("_doc"), F.col("page_idx").alias("_page"), "run_start")
     joined = extracts.join(
@@ -74,6 +75,12 @@ def assemble(extracts: DataFrame, mode: str = "global", spec: PageSpec = DEFAULT
 
 
 def records(pages: DataFrame, mode: str = "global", spec: PageSpec = DEFAULT_SPEC) -> DataFrame:
-    """Page table to records; page text is read once in either mode."""
+    """Page table to records.
+
+    For runs, the keys are read first and settled; everything else is extracted on the way to
+    the join with the runs, so that only columns somebody asks for are parsed, and no wide stage table is written.
+    """
     extracts = page_extract(pages, spec)
-    return assemble(settle(extracts) if mode == "runs" else extracts, mode, spec)
+    if mode != "runs":
+        return assemble(extracts, mode, spec)
+    return assemble_runs(extracts, spec, keyed=settle(extracts.select("doc_id", "page_idx", "frn"), "run-keys"))

@@ -211,6 +211,21 @@ def test_keys_read_no_more_than_needed(stored_pages):
     assert "regexp_extract_all" not in text_plan
 
 
+def test_runs_settle_keys_alone(stored_pages, monkeypatch):
+    settled = []
+
+    def settle(df, *name):
+        settled.append(df.columns)
+        return session.settle(df, *name)
+
+    monkeypatch.setattr(assemble, "settle", settle)
+    found = assemble.records(stored_pages, "runs")
+    assert settled == [["doc_id", "page_idx", "frn"]]
+    assert "regexp_extract_all" not in plan(integrity.duplicate_keys(found, "frn"))
+    wanted = assemble.assemble_runs(session.settle(pages.page_extract(stored_pages)))
+    assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
+
+
 def test_lookup_is_pushed_down(spark, stored_pages, tmp_path):
     write_table(normalize.record_table(assemble.records(stored_pages)), str(tmp_path), TABLE_RECORD)
     found = search.lookup(read_table(spark, str(tmp_path), TABLE_RECORD), make="Customer#000000001")
