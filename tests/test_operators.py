@@ -226,6 +226,10 @@ def test_runs_settle_keys_alone(stored_pages, monkeypatch):
     assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
 
 
+def test_heads_are_cut_once(stored_pages):
+    assert plan(manifest.keyed_positions(stored_pages)).count("substring(text") == 1
+
+
 def test_lookup_is_pushed_down(spark, stored_pages, tmp_path):
     write_table(normalize.record_table(assemble.records(stored_pages)), str(tmp_path), TABLE_RECORD)
     found = search.lookup(read_table(spark, str(tmp_path), TABLE_RECORD), make="Customer#000000001")
