@@ -38,7 +38,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import components, stage
@@ -259,10 +259,11 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         _prepare(lambda: counters.value, n, percent),
         "doc_id long, n_shingles long, node long, first array<long>, last long, second binary"), "join-sets")
 
-    # dealt by shingle once: the groups and the join read the same shuffle, as both need the node
-    posted = prepared.where("first is not null").select("node", F.explode("first").alias("shingle")).repartition("shingle")
-    common = posted.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("shingle")
-    met = stage(posted.join(common, "shingle").distinct(), "join-met")
+    # dealt by shingle once and sorted, without a table of all shingles in memory; most stand alone
+    posted = prepared.where("first is not null").select("node", F.explode("first").alias("shingle"))
+    same = Window.partitionBy("shingle")
+    met = posted.withColumns({"low": F.min("node").over(same), "high": F.max("node").over(same)}).where("low < high")
+    met = stage(met.select("shingle", "node").distinct(), "join-met")
     lists = met.groupBy("shingle").agg(
         F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("all"))
     lists = stage(lists.where("low < high"), "join-lists")
