@@ -47,6 +47,7 @@ from leafmill.llm.words import mix, shingles, slices, words
 WORDS, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_PARTS = 22, 256
 MARK_BITS = 26
+SLICE = 1 << 20  # bytes of text a worker hashes at a time; arrays on the way are some twenty times that
 EXTRA = 32
 STARS = 2
 _U = np.uint64
@@ -72,12 +73,11 @@ def frequency_sketch(docs: DataFrame, n: int = WORDS) -> np.ndarray:
     part = size // SKETCH_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(size, np.int64)
+        seen = np.zeros(size, np.int32)
         for batch in batches:
-            for piece in slices(batch, "text"):
-                found = [own for _, own in _sets(piece, n)]
-                if found:
-                    seen += np.bincount((np.concatenate(found) & _U(size - 1)).astype(np.int64), minlength=size)
+            for piece in slices(batch, "text", SLICE):
+                for _, own in _sets(piece, n):
+                    np.add.at(seen, (own & _U(size - 1)).view(np.int64), 1)
         # a task's counter stops at 255, which keeps frequent shingles frequent and the blocks small
         few = np.minimum(seen, 255).astype(np.uint8).reshape(SKETCH_PARTS, part)
         for p in np.flatnonzero(few.any(1)):
@@ -102,9 +102,12 @@ def frequency_sketch(docs: DataFrame, n: int = WORDS) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _marks(ids: DataFrame, key: str) -> np.ndarray:
-    """A bitmap of 2**MARK_BITS bits with the hashes of ``ids`` (key)."""
-    place = F.pmod(F.xxhash64(key), F.lit(1 << MARK_BITS))
+def _place(value: Column) -> Column:
+    return F.pmod(value, F.lit(1 << MARK_BITS))
+
+
+def _marks(ids: DataFrame, place: Column) -> np.ndarray:
+    """A bitmap of 2**MARK_BITS bits with the places of ``ids``."""
     words = (ids.select(place.alias("h")).groupBy(F.shiftright("h", 5).cast("int").alias("word"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(h & 31 as int)))").alias("bits")).toArrow())
     out = np.zeros(1 << MARK_BITS - 5, np.uint32)
@@ -112,19 +115,25 @@ def _marks(ids: DataFrame, key: str) -> np.ndarray:
     return out
 
 
-def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` may be among ``ids``: what is surely not goes before any shuffle."""
-    marks, columns = rows.sparkSession.sparkContext.broadcast(_marks(ids, key)), rows.columns
+def _is_marked(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return ((bits[place >> 5] >> (place & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+
+def _marked(rows: DataFrame, ids: DataFrame, key: str, then: Callable | None = None, shape: str = "") -> DataFrame:
+    """Rows whose ``key`` may be among ``ids``: what is surely not goes before any shuffle.
+
+    ``then`` makes rows of ``shape`` of a batch of them, in the same worker.
+    """
+    marks, columns = rows.sparkSession.sparkContext.broadcast(_marks(ids, _place(F.xxhash64(key)))), rows.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = marks.value
         for batch in batches:
-            h = batch.column("h").to_numpy()
-            known = (bits[h >> 5] >> (h & 31).astype(np.uint32)) & np.uint32(1)
-            yield batch.select(columns).filter(pa.array(known.astype(bool)))
+            kept = batch.select(columns).filter(pa.array(_is_marked(bits, batch.column("h").to_numpy())))
+            yield from then(kept) if then else (kept,)
 
-    hashed = rows.where(F.col(key).isNotNull()).withColumn("h", F.pmod(F.xxhash64(key), F.lit(1 << MARK_BITS)))
-    return hashed.mapInArrow(keep, rows.schema)
+    hashed = rows.where(F.col(key).isNotNull()).withColumn("h", _place(F.xxhash64(key)))
+    return hashed.mapInArrow(keep, shape or rows.schema)
 
 
 def _prefix(size: np.ndarray | int, percent: int):
@@ -142,7 +151,7 @@ def _prepare(sketch: Callable[[], np.ndarray], n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met = sketch(), set()
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 sizes, nodes = np.zeros(piece.num_rows, np.int64), np.full(piece.num_rows, -1, np.int64)
                 first: list = [None] * piece.num_rows
                 second: list = [None] * piece.num_rows
@@ -290,21 +299,26 @@ def join_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         same = len(np.intersect1d(np.frombuffer(a[1], np.uint64), np.frombuffer(b[1], np.uint64), assume_unique=True))
         return 100 * same >= percent * (a[0] + b[0] - same)
 
-    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                named = piece.column("node").to_pylist()
-                got = [(_node(own)[0], len(own), own.tobytes()) for row, own in _sets(piece, n) if _node(own)[0] == named[row]]
+    def bodies(wanted: DataFrame) -> Callable:
+        """Sets of texts whose node may be wanted; a set too many is joined with no pair."""
+        marks = spark.sparkContext.broadcast(_marks(wanted, _place(F.col("node"))))
+
+        def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for piece in slices(batch, "text", SLICE):
+                got = [(_node(own), own) for _, own in _sets(piece, n)]
+                got = [(name[0], len(own), own.tobytes()) for name, own in got if _is_marked(marks.value, name % (1 << MARK_BITS))[0]]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], kind) for k, kind in
                                                   enumerate((pa.int64(), pa.int64(), pa.binary()))], ["node", "size", "body"])
 
+        return run
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Order two, then whole sets: from (a, b) to the links among them."""
         left = stage(_compare(pairs, second, light), "join-candidates")
         asked = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
         wanted = stage(nodes.join(asked, "node", "left_semi").select("node", "doc_id"), "join-wanted")
-        sets = stage(_marked(texts, wanted, "doc_id").join(wanted, "doc_id").select("node", "text").mapInArrow(bodies, "node long, size long, body binary"),
-                     "join-bodies").dropDuplicates(["node"])
+        # one worker a task: the rows are found and made to sets in it, without a join in between
+        sets = stage(_marked(texts, wanted, "doc_id", bodies(wanted), "node long, size long, body binary"), "join-bodies").dropDuplicates(["node"])
         return stage(_compare(left, sets, full), "join-links")
 
     grouped = postings.withColumn("comp", F.col("node"))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -77,6 +78,36 @@ def test_join_moves_only_what_is_compared(spark, monkeypatch):
         assert all(v >= r.shingle >> 32 for r in left.collect() for v in r.own)
 
 
+def test_join_makes_sets_in_one_worker_a_task(spark, monkeypatch):
+    plans = []
+    kept = ngram_join.stage
+
+    def stage(df, name):
+        if name == "join-bodies":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(ngram_join, "stage", stage)
+    base = ["w%d" % k for k in range(60)]
+    rows = [(k, " ".join([*base, "own%d" % k])) for k in range(6)] + [(0, "other words under an id that is held twice"), (9, "none")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join_components(documents(spark, rows)).collect())
+    assert got == sorted([(k, 57, 0) for k in range(6)] + [(0, 5, 0), (9, 1, 9)])
+    assert plans and all(p.count("MapInArrow") == 1 for p in plans)
+
+
+def test_join_hashes_a_large_batch_in_small_slices():
+    rng = np.random.default_rng(7)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 30, 9_000))) for _ in range(80)]
+    batch = pa.record_batch({"doc_id": pa.array(range(80), pa.int64()), "text": pa.array(texts)})
+    counts = np.zeros(1 << ngram_join.SKETCH_BITS, np.int32)
+    run = ngram_join._prepare(lambda: counts, 5, 80)
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in run([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 80 and peak < 24 << 20
+
+
 def test_join_of_texts_that_rows_without_id_repeat(spark):
     base = ["t%d" % k for k in range(60)]
     near = base[:-1] + ["other"]
