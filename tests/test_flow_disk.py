@@ -7,10 +7,12 @@ import os
 import pytest
 
 from leafmill import session
-from leafmill.operators import assemble, pages
+from leafmill.operators import assemble, manifest, normalize, pages
 from leafmill.plans import flow
 from leafmill.plans.flow import run_flow
 from leafmill.sources.records import read_records, write_records
+from leafmill.sources.tables import read_table, write_table
+from leafmill.spec import SEARCH_COLUMNS
 
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 HEAD = "Firearm Reference Number (FRN): "
@@ -95,3 +97,50 @@ def test_stored_tables_are_compressed_well(spark, page_rows, tmp_path):
     run_flow(spark, page_rows, str(tmp_path))
     found = glob.glob(f"{tmp_path}/**/*.parquet", recursive=True)
     assert found and all(f.endswith(".zstd.parquet") for f in found)
+
+
+@pytest.mark.parametrize("row_ids", [False, True])
+def test_search_text_is_made_behind_the_shuffle(spark, page_rows, tmp_path, monkeypatch, row_ids):
+    dealt = []
+    deal = type(page_rows).repartitionByRange
+
+    def repartition_by_range(self, *args):
+        dealt.append(self.columns)
+        return deal(self, *args)
+
+    monkeypatch.setattr(type(page_rows), "repartitionByRange", repartition_by_range)
+    result = run_flow(spark, page_rows, str(tmp_path), group_pages=False, json_records=False, row_ids=row_ids)
+    assert len(dealt) >= 4 and not any("fullText" in columns for columns in dealt)
+    monkeypatch.undo()
+    wanted = normalize.tables(result.records)
+    for name in SEARCH_COLUMNS:
+        got = result.tables[name].drop("id")
+        assert got.columns == wanted[name].columns and got.columns[-1] == "fullText"
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted[name].collect()))
+
+
+def test_bloom_filters_are_as_large_as_their_values(spark, tmp_path):
+    rows = spark.range(400).selectExpr("cast(id as string) frn", "concat('maker ', id) make", "concat('by ', id) manufacturer")
+    write_table(rows, str(tmp_path), "dbo_frn", files=1)
+    (file,) = glob.glob(f"{tmp_path}/dbo_frn/*.parquet")
+    assert os.path.getsize(file) < 1_000_000
+    stored = read_table(spark, str(tmp_path), "dbo_frn")
+    assert [r["frn"] for r in stored.where("make = 'maker 77'").collect()] == ["77"]
+    assert stored.where("make = 'maker 400'").count() == 0
+
+
+def test_run_ranges_hold_document_and_key_once(spark, page_rows, monkeypatch):
+    from leafmill.operators import runs
+
+    settled = []
+
+    def settle(df, *name):
+        settled.append(df.columns)
+        return session.settle(df, *name)
+
+    monkeypatch.setattr(runs, "settle", settle)
+    found = manifest.page_runs(manifest.run_parts(manifest.keyed_positions(page_rows), partitions=3))
+    got = sorted((r.doc_id, r.run_start, r.frn, r.run_end, r.n_pages) for r in found.collect())
+    want = [(f"d{k % 2}", 8 * k, str(k), 8 * k + 1, 2) for k in range(1, 41)]
+    assert got == sorted([*want, ("d1", 792, "7", 792, 1)])
+    assert settled == [["doc_id", "page_idx", "frn", "_mid", "_block", "_no", "_begin"]]
